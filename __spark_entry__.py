@@ -221,6 +221,223 @@ def q_features(spark, sf):
                          s["dim_diagnosis"])
 
 
+# ---------------------------------------------------------------- quality
+from wardstar.operators import quality as qa  # noqa: E402
+from wardstar.operators.history import scd2_merge  # noqa: E402
+from wardstar.operators.profile import profile_missing, value_counts  # noqa: E402
+
+
+def _sql_check(check, table, column, failures_sql, from_sql):
+    return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, '{column}' AS column_name, "
+            f"CAST({failures_sql} AS BIGINT) AS failures, CAST({failures_sql} AS BIGINT) = 0 "
+            f"AS passed FROM {from_sql}")
+
+
+def _sql_unique(table, cols):
+    c = ", ".join(cols)
+    nn = " AND ".join(f"{x} IS NOT NULL" for x in cols)
+    return _sql_check("unique", table, ",".join(cols), "count(*)",
+                      f"(SELECT {c} FROM {table} WHERE {nn} GROUP BY {c} HAVING count(*) > 1) u")
+
+
+def _sql_not_null(table, col):
+    return _sql_check("not_null", table, col, f"count(*) FILTER (WHERE {col} IS NULL)", table)
+
+
+def _sql_rel(col, parent):
+    return _sql_check("relationships", "fact_admission", col, "count(*)",
+                      f"(SELECT {col} FROM fact_admission f WHERE {col} IS NOT NULL AND NOT EXISTS "
+                      f"(SELECT 1 FROM {parent} p WHERE p.{col} = f.{col})) o")
+
+
+_SQL_ACCEPTED = _sql_check("accepted_values", "fact_admission", "readmitted_30d",
+                           "count(DISTINCT readmitted_30d)",
+                           "(SELECT readmitted_30d FROM fact_admission WHERE readmitted_30d "
+                           "IS NOT NULL AND readmitted_30d NOT IN (0, 1)) a")
+_KEYS = [("dim_patient", "patient_key"), ("dim_department", "department_key"),
+         ("dim_diagnosis", "diagnosis_key"), ("dim_date", "date_key"),
+         ("fact_admission", "encounter_id")]
+_RELS = [("patient_key", "dim_patient"), ("department_key", "dim_department"),
+         ("diagnosis_key", "dim_diagnosis")]
+_STAR_TESTS_SQL = " UNION ALL ".join(
+    [x for t, k in _KEYS for x in (_sql_unique(t, [k]), _sql_not_null(t, k))]
+    + [_sql_not_null("fact_admission", "patient_key")]
+    + [_sql_rel(c, p) for c, p in _RELS] + [_SQL_ACCEPTED])
+
+
+@_register("check_unique", tw.with_star(" UNION ALL ".join(
+    [_sql_unique(t, [k]) for t, k in _KEYS]
+    + [_sql_unique("lineitem", ["l_orderkey", "l_linenumber"])])))
+def q_check_unique(spark, sf):
+    s = inputs.encounter_star(spark, sf)
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return qa.run_checks([qa.check_unique(s[t], t, k) for t, k in _KEYS]
+                         + [qa.check_unique(li, "lineitem", ["l_orderkey", "l_linenumber"])])
+
+
+@_register("check_not_null", tw.with_star(" UNION ALL ".join(
+    [_sql_not_null(t, k) for t, k in _KEYS] + [_sql_not_null("fact_admission", "patient_key")])))
+def q_check_not_null(spark, sf):
+    s = inputs.encounter_star(spark, sf)
+    return qa.run_checks([qa.check_not_null(s[t], t, k) for t, k in _KEYS]
+                         + [qa.check_not_null(s["fact_admission"], "fact_admission",
+                                              "patient_key")])
+
+
+@_register("check_relationships", tw.with_star(" UNION ALL ".join(
+    [_sql_rel(c, p) for c, p in _RELS]
+    + [_sql_check("relationships", "lineitem", "l_suppkey", "count(*)",
+                  "(SELECT l_suppkey FROM lineitem l WHERE l_suppkey IS NOT NULL AND NOT EXISTS "
+                  "(SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey)) o")])))
+def q_check_rel(spark, sf):
+    s = inputs.encounter_star(spark, sf)
+    f = s["fact_admission"]
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    sup = spark.read.parquet(f"{sf}/supplier.parquet")
+    return qa.run_checks([qa.check_relationships(f, "fact_admission", c, s[p], c)
+                          for c, p in _RELS]
+                         + [qa.check_relationships(li, "lineitem", "l_suppkey", sup, "s_suppkey")])
+
+
+@_register("check_accepted_values", tw.with_star(
+    _SQL_ACCEPTED + " UNION ALL " + _sql_check(
+        "accepted_values", "orders", "o_orderstatus", "count(DISTINCT o_orderstatus)",
+        "(SELECT o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL AND "
+        "o_orderstatus NOT IN ('F', 'O')) a")))
+def q_check_accepted(spark, sf):
+    s = inputs.encounter_star(spark, sf)
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    return qa.run_checks([
+        qa.check_accepted_values(s["fact_admission"], "fact_admission", "readmitted_30d", [0, 1]),
+        qa.check_accepted_values(orders, "orders", "o_orderstatus", ["F", "O"])])
+
+
+def _floor_tables(spark, sf):
+    s = inputs.encounter_star(spark, sf)
+    return {
+        "fact_admission": s["fact_admission"], "dim_patient": s["dim_patient"],
+        "dim_department": s["dim_department"], "dim_diagnosis": s["dim_diagnosis"],
+        "dim_date": s["dim_date"], "stg_fact_admission": s["fact_admission"],
+        "mart_readmission_by_department": mart_by_department(s["fact_admission"],
+                                                             s["dim_department"]),
+        "mart_readmission_by_diagnosis": mart_by_diagnosis(s["fact_admission"],
+                                                           s["dim_diagnosis"]),
+        "snapshot_dim_patient": s["dim_patient"],
+    }
+
+
+_FLOOR_SRC = {"stg_fact_admission": "fact_admission", "snapshot_dim_patient": "dim_patient",
+              "mart_readmission_by_department":
+                  "(SELECT DISTINCT department_key FROM fact_admission f JOIN dim_department d "
+                  "USING (department_key))",
+              "mart_readmission_by_diagnosis":
+                  "(SELECT DISTINCT diag_1_group FROM fact_admission f JOIN dim_diagnosis d "
+                  "USING (diagnosis_key))"}
+
+
+@_register("check_row_floor", tw.with_star(" UNION ALL ".join(
+    f"SELECT 'row_floor' AS check_name, '{t}' AS table_name, '>={m}' AS column_name, "
+    f"CAST(CASE WHEN count(*) >= {m} THEN 0 ELSE 1 END AS BIGINT) AS failures, "
+    f"count(*) >= {m} AS passed, count(*) AS n_rows FROM {_FLOOR_SRC.get(t, t)} x"
+    for t, m in qa.ROW_FLOORS.items())))
+def q_check_floor(spark, sf):
+    tabs = _floor_tables(spark, sf)
+    out = None
+    for t, m in qa.ROW_FLOORS.items():
+        r = qa.check_row_floor(tabs[t], t, m)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@_register("check_rate_band", tw.with_star(
+    "SELECT 'rate_band' AS check_name, 'fact_admission' AS table_name, "
+    "'readmitted_30d' AS column_name, CAST(CASE WHEN avg(CAST(readmitted_30d AS DOUBLE)) * 100.0 "
+    "BETWEEN 5.0 AND 20.0 THEN 0 ELSE 1 END AS BIGINT) AS failures, "
+    "avg(CAST(readmitted_30d AS DOUBLE)) * 100.0 BETWEEN 5.0 AND 20.0 AS passed, "
+    "avg(CAST(readmitted_30d AS DOUBLE)) * 100.0 AS rate_pct FROM fact_admission"))
+def q_check_rate(spark, sf):
+    return qa.check_rate_band(inputs.encounter_star(spark, sf)["fact_admission"],
+                              "fact_admission")
+
+
+@_register("check_fanout", tw.with_star(
+    "SELECT 'fanout' AS check_name, 'fact_admission' AS table_name, '*' AS column_name, "
+    "CAST(abs((SELECT count(*) FROM fact_admission) - (SELECT count(*) FROM clean)) AS BIGINT) "
+    "AS failures, (SELECT count(*) FROM fact_admission) = (SELECT count(*) FROM clean) AS passed"))
+def q_check_fanout(spark, sf):
+    clean = inputs.encounter_clean(spark, sf)
+    return qa.check_fanout(inputs.encounter_star(spark, sf)["fact_admission"], clean)
+
+
+@_register("check_suite", tw.with_star(_STAR_TESTS_SQL))
+def q_check_suite(spark, sf):
+    return qa.star_tests(inputs.encounter_star(spark, sf))
+
+
+@_register("check_summary", tw.with_star(
+    "SELECT count(*) AS n_checks, count(*) FILTER (WHERE passed) AS n_passed, "
+    "count(*) FILTER (WHERE NOT passed) AS n_failed, "
+    "COALESCE(string_agg(CASE WHEN NOT passed THEN check_name || ':' || table_name || ':' || "
+    "column_name END, ',' ORDER BY CASE WHEN NOT passed THEN check_name || ':' || table_name "
+    "|| ':' || column_name END), '') AS failed_checks FROM (" + _STAR_TESTS_SQL + ") t"))
+def q_check_summary(spark, sf):
+    return qa.summarize(qa.star_tests(inputs.encounter_star(spark, sf)))
+
+
+_RAW_STRING_COLS = ["race", "gender", "age", "weight", "payer_code", "medical_specialty",
+                    "diag_1", "diag_2", "diag_3", "readmitted"]
+
+
+@_register("profile_missing", tw.with_star(
+    "SELECT column_name, n_missing FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} = '?') AS n_missing FROM enc"
+        for c in _RAW_STRING_COLS)
+    + ") m WHERE n_missing > 0 ORDER BY n_missing DESC, column_name LIMIT 15"))
+def q_profile_missing(spark, sf):
+    return profile_missing(inputs.encounter_raw(spark, sf), "?", 15)
+
+
+@_register("value_counts", tw.with_star(
+    "SELECT readmitted, count(*) AS n FROM enc GROUP BY readmitted ORDER BY n DESC, readmitted"))
+def q_value_counts(spark, sf):
+    return value_counts(inputs.encounter_raw(spark, sf), "readmitted")
+
+
+# ---------------------------------------------------------------- history
+# Two versions of an attribute table derived from customer: version 2 changes
+# some segments, turns NULL into a value, keeps NULL = NULL, drops keys and adds
+# keys. Snapshots at three dates; the third run sees no change.
+_V1_SQL = ("SELECT c_custkey AS key, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment "
+           "END AS segment, c_nationkey AS nation FROM customer WHERE c_custkey % 17 <> 0")
+_V2_SQL = ("SELECT c_custkey AS key, CASE WHEN c_custkey % 7 = 0 THEN 'CHANGED' "
+           "WHEN c_custkey % 20 = 0 THEN c_mktsegment WHEN c_custkey % 10 = 0 THEN NULL "
+           "ELSE c_mktsegment END AS segment, "
+           "CASE WHEN c_custkey % 9 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS nation "
+           "FROM customer WHERE c_custkey % 13 <> 0")
+
+
+@_register("scd2_merge", f"""
+WITH v1 AS ({_V1_SQL}), v2 AS ({_V2_SQL}),
+j AS (SELECT v1.key AS k1, v1.segment AS s1, v1.nation AS n1, v2.key AS k2, v2.segment AS s2,
+             v2.nation AS n2,
+             v1.key IS NOT NULL AND v2.key IS NOT NULL AND NOT (
+               v1.segment IS NOT DISTINCT FROM v2.segment AND
+               v1.nation IS NOT DISTINCT FROM v2.nation) AS changed
+      FROM v1 FULL OUTER JOIN v2 ON v1.key = v2.key)
+SELECT k1 AS key, s1 AS segment, n1 AS nation, DATE '2024-01-01' AS valid_from,
+       CASE WHEN changed THEN DATE '2024-02-01' END AS valid_to FROM j WHERE k1 IS NOT NULL
+UNION ALL
+SELECT k2, s2, n2, DATE '2024-02-01', CAST(NULL AS DATE) FROM j
+WHERE k2 IS NOT NULL AND (k1 IS NULL OR changed)""")
+def q_scd2(spark, sf):
+    spark.read.parquet(f"{sf}/customer.parquet").createOrReplaceTempView("customer")
+    v1 = spark.sql(_V1_SQL)
+    v2 = spark.sql(_V2_SQL)
+    h = scd2_merge(None, v1, "key", ["segment", "nation"], "2024-01-01")
+    h = scd2_merge(h, v2, "key", ["segment", "nation"], "2024-02-01")
+    return scd2_merge(h, v2, "key", ["segment", "nation"], "2024-03-01")
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: readmission mart by department over the cleaned star."""
