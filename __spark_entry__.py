@@ -438,6 +438,62 @@ def q_scd2(spark, sf):
     return scd2_merge(h, v2, "key", ["segment", "nation"], "2024-03-01")
 
 
+# ---------------------------------------------------------------- vitals stream
+from wardstar.functions import vitals as vit  # noqa: E402
+from wardstar.session import scratch_path  # noqa: E402
+from wardstar.sources.fixtures import vitals_messages  # noqa: E402
+from wardstar.streaming.vitals import ALERT_COLS, parse_vitals, read_vitals_stream, run_vitals  # noqa: E402,E501
+
+_VITALS_SQL = f"""
+WITH m AS (SELECT event_id, user_id, event_type, ts,
+                  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+p AS (SELECT
+  CASE WHEN event_type = 'error' THEN NULL ELSE event_id END AS encounter_id,
+  CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS patient_nbr,
+  CASE WHEN event_type = 'error' THEN NULL
+       WHEN event_type = 'signup' THEN 'not-a-time-' || CAST(event_id AS VARCHAR)
+       ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS "timestamp",
+  CASE WHEN event_type = 'error' THEN NULL ELSE CAST(40 + k AS INTEGER) END AS heart_rate,
+  CASE WHEN event_type = 'error' THEN NULL ELSE CAST(90 + event_id % 71 AS INTEGER) END
+    AS blood_pressure_sys,
+  CASE WHEN event_type = 'error' OR (event_type = 'view' AND event_id % 3 = 0) THEN NULL
+       ELSE CAST(80 + event_id % 21 AS INTEGER) END AS spo2,
+  event_type = 'error' AS is_malformed
+  FROM m),
+v AS (SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS event_time,
+  (heart_rate > {vit.HR_HIGH} OR heart_rate < {vit.HR_LOW} OR spo2 < {vit.SPO2_LOW}) AS alert_flag,
+  CASE WHEN heart_rate > {vit.HR_HIGH} THEN '{vit.REASON_FAST_HR}'
+       WHEN heart_rate < {vit.HR_LOW} THEN '{vit.REASON_SLOW_HR}'
+       WHEN spo2 < {vit.SPO2_LOW} THEN '{vit.REASON_LOW_SPO2}' END AS alert_reason
+  FROM p)
+"""
+
+
+@_register("vitals_parse", _VITALS_SQL + "SELECT * FROM v")
+def q_vitals_parse(spark, sf):
+    return parse_vitals(vitals_messages(spark, sf))
+
+
+@_register("vitals_alert_flag", _VITALS_SQL +
+           "SELECT alert_flag, alert_reason, count(*) AS n FROM v GROUP BY ALL")
+def q_vitals_flag(spark, sf):
+    p = parse_vitals(vitals_messages(spark, sf))
+    return p.groupBy("alert_flag", "alert_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_register("vitals_alerts", _VITALS_SQL + "SELECT " + ", ".join(ALERT_COLS) +
+           " FROM v WHERE alert_flag")
+def q_vitals_alerts(spark, sf):
+    """A real stream: messages land as files, both sinks run to completion with
+    an availableNow trigger, and the alert sink is read back."""
+    root = scratch_path(spark, "vitals")
+    vitals_messages(spark, sf).write.mode("overwrite").text(f"{root}/source")
+    raw = read_vitals_stream(spark, "text", {"maxFilesPerTrigger": "4"}, f"{root}/source")
+    run_vitals(spark, raw, f"{root}/all", f"{root}/alerts", f"{root}/ckpt",
+               trigger={"availableNow": True}, wait=True)
+    return spark.read.parquet(f"{root}/alerts")
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: readmission mart by department over the cleaned star."""

@@ -126,3 +126,35 @@ def stacked_lookup_lines(spark: SparkSession, sf_dir: str,
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("file", F.lit(file_name)).select("file", "line_no", "value")
+
+
+def vitals_message_exprs() -> dict[str, str]:
+    """Fields of a vitals message derived from one ``events`` row (SQL text).
+
+    Heart rate 40 + k (k from ``props``), SpO2 80..100; ``view`` events with
+    an id divisible by 3 carry no SpO2, ``signup`` events carry a bad time
+    text and ``error`` events are not JSON at all.
+    """
+    return {
+        "k": "CAST(get_json_object(props, '$.k') AS INT)",
+        "heart_rate": "CAST(40 + CAST(get_json_object(props, '$.k') AS INT) AS INT)",
+        "blood_pressure_sys": "CAST(90 + event_id % 71 AS INT)",
+        "spo2": "CASE WHEN event_type = 'view' AND event_id % 3 = 0 THEN NULL "
+                "ELSE CAST(80 + event_id % 21 AS INT) END",
+        "timestamp": "CASE WHEN event_type = 'signup' THEN CONCAT('not-a-time-', "
+                     "CAST(event_id AS STRING)) ELSE "
+                     "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") END",
+    }
+
+
+def vitals_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON message per event (``value`` string), with extra fields."""
+    e = read_table(spark, sf_dir, "events")
+    x = vitals_message_exprs()
+    body = F.to_json(F.struct(
+        F.col("event_id").alias("encounter_id"), F.col("user_id").alias("patient_nbr"),
+        F.expr(x["timestamp"]).alias("timestamp"), F.expr(x["heart_rate"]).alias("heart_rate"),
+        F.expr(x["blood_pressure_sys"]).alias("blood_pressure_sys"),
+        F.expr(x["spo2"]).alias("spo2"), F.col("event_type"), F.col("value")))
+    junk = F.concat(F.lit("not json "), F.col("event_id").cast("string"))
+    return e.select(F.when(F.col("event_type") == "error", junk).otherwise(body).alias("value"))
