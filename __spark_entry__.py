@@ -494,6 +494,108 @@ def q_vitals_alerts(spark, sf):
     return spark.read.parquet(f"{root}/alerts")
 
 
+# ---------------------------------------------------------------- metrics
+from wardstar.operators import metrics as mx  # noqa: E402
+from wardstar.operators.sampling import class_weights, stratified_split  # noqa: E402
+
+# Scored set: document quality labels, the document length as the score and
+# "length >= 2000" as the hard prediction.
+_SCORE_CUT = 2000
+_SCORED_SQL = (f"WITH s AS (SELECT d.doc_id, l.quality AS label, CAST(d.n_chars AS DOUBLE) AS score, "
+               f"CASE WHEN d.n_chars >= {_SCORE_CUT} THEN 1 ELSE 0 END AS prediction "
+               f"FROM documents d JOIN labels l ON d.doc_id = l.doc_id)")
+
+
+def _scored(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "n_chars")
+    lab = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    return d.join(lab, "doc_id").select(
+        "doc_id", F.col("quality").alias("label"), F.col("n_chars").cast("double").alias("score"),
+        (F.col("n_chars") >= _SCORE_CUT).cast("int").alias("prediction"))
+
+
+@_register("confusion", _SCORED_SQL + " SELECT label AS actual, prediction AS predicted, "
+           "count(*) AS n FROM s GROUP BY ALL")
+def q_confusion(spark, sf):
+    return mx.confusion(_scored(spark, sf), "label", "prediction")
+
+
+@_register("class_report", _SCORED_SQL + """,
+cm AS (SELECT label AS actual, prediction AS predicted, count(*) AS n FROM s GROUP BY ALL),
+sup AS (SELECT actual AS c, sum(n) AS support FROM cm GROUP BY 1),
+pre AS (SELECT predicted AS c, sum(n) AS pred FROM cm GROUP BY 1),
+tp AS (SELECT actual AS c, n AS tp FROM cm WHERE actual = predicted),
+per AS (SELECT COALESCE(sup.c, pre.c) AS c, COALESCE(support, 0) AS support,
+               COALESCE(pred, 0) AS pred, COALESCE(tp.tp, 0) AS tp
+        FROM sup FULL JOIN pre ON sup.c = pre.c LEFT JOIN tp ON tp.c = COALESCE(sup.c, pre.c)),
+m AS (SELECT *, CASE WHEN pred > 0 THEN tp / pred ELSE CAST(0 AS DOUBLE) END AS precision,
+             CASE WHEN support > 0 THEN tp / support ELSE CAST(0 AS DOUBLE) END AS recall FROM per),
+m2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN CAST(2 AS DOUBLE) * precision * recall
+                      / (precision + recall) ELSE CAST(0 AS DOUBLE) END AS f1_score FROM m)
+SELECT CAST(c AS VARCHAR) AS label, precision, recall, f1_score, CAST(support AS BIGINT) AS support
+FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM m2
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score),
+                 CAST(sum(support) AS BIGINT) FROM m2
+UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
+                 sum(recall * support) / sum(support), sum(f1_score * support) / sum(support),
+                 CAST(sum(support) AS BIGINT) FROM m2""")
+def q_class_report(spark, sf):
+    return mx.class_report(_scored(spark, sf), "label", "prediction")
+
+
+_CUM_SQL = _SCORED_SQL + """,
+g AS (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM s GROUP BY score),
+c AS (SELECT *,
+  COALESCE(sum(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS pos_below,
+  COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS neg_below FROM g),
+t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM g),
+pr AS (SELECT score AS threshold, CAST(P - pos_below AS BIGINT) AS tp,
+              CAST(N - neg_below AS BIGINT) AS fp, P FROM c, t),
+pr2 AS (SELECT threshold, tp, fp,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE CAST(0 AS DOUBLE) END AS precision,
+  CASE WHEN P > 0 THEN tp / P ELSE CAST(1 AS DOUBLE) END AS recall FROM pr),
+pr3 AS (SELECT *, CAST(2 AS DOUBLE) * precision * recall / (precision + recall + 1e-9) AS f1
+        FROM pr2)
+"""
+
+
+@_register("roc_auc", _CUM_SQL + "SELECT CAST(2 * sum(pos * neg_below) + sum(pos * neg) AS DOUBLE)"
+           " / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) AS roc_auc, CAST(sum(pos) AS BIGINT) AS "
+           "n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c")
+def q_roc_auc(spark, sf):
+    return mx.roc_auc(_scored(spark, sf), "label", "score")
+
+
+@_register("pr_curve", _CUM_SQL + "SELECT * FROM pr3")
+def q_pr_curve(spark, sf):
+    return mx.pr_curve(_scored(spark, sf), "label", "score")
+
+
+@_register("best_threshold", _CUM_SQL + "SELECT * FROM pr3 ORDER BY f1 DESC, threshold LIMIT 1")
+def q_best_threshold(spark, sf):
+    return mx.best_threshold(mx.pr_curve(_scored(spark, sf), "label", "score"))
+
+
+@_register("stratified_split_counts", _SCORED_SQL + """,
+n AS (SELECT label, count(*) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS t
+      FROM s GROUP BY label)
+SELECT label, 'test' AS split, t AS n FROM n WHERE t > 0
+UNION ALL SELECT label, 'train', n - t FROM n WHERE n - t > 0""")
+def q_split_counts(spark, sf):
+    sp = stratified_split(_scored(spark, sf), "label", 0.2, 42, "doc_id")
+    return sp.groupBy("label", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_register("balanced_weights", _SCORED_SQL + """
+SELECT label, count(*) AS n, CAST(sum(count(*)) OVER () AS DOUBLE)
+       / CAST(count(*) OVER () * count(*) AS DOUBLE) AS weight FROM s GROUP BY label""")
+def q_weights(spark, sf):
+    return class_weights(_scored(spark, sf), "label")
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: readmission mart by department over the cleaned star."""

@@ -67,15 +67,43 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
     if any(g is None for g in gnames):
         raise ValueError("partition_cols must be column names")
 
-    counts = ranged.groupBy("_ws_pid", *gnames).agg(F.count(F.lit(1)).alias("_ws_n"))
+    counts = ranged.groupBy("_ws_pid", *gnames).agg(F.count(F.lit(1)).alias("_ws_cnt"))
     # tiny table (<= n + groups rows): a global window over it is cheap
     before = Window.partitionBy(*gnames).orderBy("_ws_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_ws_off", F.coalesce(F.sum("_ws_n").over(before), F.lit(0)))
+    offsets = counts.withColumn("_ws_off", F.coalesce(F.sum("_ws_cnt").over(before), F.lit(0)))
     if total_col:
-        offsets = offsets.withColumn(total_col, F.sum("_ws_n").over(Window.partitionBy(*gnames)))
-    offsets = offsets.drop("_ws_n")
+        offsets = offsets.withColumn(total_col, F.sum("_ws_cnt").over(Window.partitionBy(*gnames)))
+    offsets = offsets.drop("_ws_cnt")
 
     joined = ranged.join(F.broadcast(offsets), on=["_ws_pid", *gnames], how="inner")
     return (joined.withColumn(out, F.col("_ws_off") + F.col("_ws_pos") + F.lit(1))
             .drop("_ws_pid", "_ws_pos", "_ws_off"))
+
+
+def prefix_sums(df: DataFrame, order_cols: Sequence | str, sum_cols: Sequence[str],
+                suffix: str = "_cum", num_partitions: int | None = None) -> DataFrame:
+    """Running totals of ``sum_cols`` in ``order_cols`` order (inclusive).
+
+    Same offset scheme as ``global_row_number``: range partitions, a
+    per-partition total table (one row per partition, broadcast), and a
+    running sum inside each partition.
+    """
+    order = _cols(order_cols)
+    n = num_partitions or default_partitions(df.sparkSession)
+    ranged = df.repartitionByRange(n, *order).withColumn("_ws_pid", F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
+    totals = ranged.groupBy("_ws_pid").agg(*[F.sum(c).alias(f"_ws_t_{c}") for c in sum_cols])
+    before = Window.orderBy("_ws_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_ws_pid", *[
+        F.coalesce(F.sum(f"_ws_t_{c}").over(before), F.lit(0)).alias(f"_ws_o_{c}")
+        for c in sum_cols])
+    upto = Window.partitionBy("_ws_pid").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumns({f"_ws_l_{c}": F.sum(c).over(upto) for c in sum_cols})
+    out = local.join(F.broadcast(offsets), "_ws_pid")
+    out = out.withColumns({f"{c}{suffix}": F.col(f"_ws_o_{c}") + F.col(f"_ws_l_{c}")
+                           for c in sum_cols})
+    return out.drop("_ws_pid", *[f"_ws_l_{c}" for c in sum_cols],
+                    *[f"_ws_o_{c}" for c in sum_cols])
