@@ -596,6 +596,103 @@ def q_weights(spark, sf):
     return class_weights(_scored(spark, sf), "label")
 
 
+# ---------------------------------------------------------------- retrieval
+from wardstar.operators.chunking import chunk_documents  # noqa: E402
+from wardstar.operators.knn import centroids, knn  # noqa: E402
+from wardstar.plans import retrieval as rt  # noqa: E402
+
+_CHUNK_SIZE, _CHUNK_OVERLAP = 256, 32
+
+
+@_register("chunk_documents", f"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f\\x0B]+'),
+                                      lambda x: x <> '') AS ws FROM documents),
+n AS (SELECT doc_id, ws, len(ws) AS n FROM w WHERE len(ws) > 0),
+c AS (SELECT doc_id, ws, CASE WHEN n <= {_CHUNK_SIZE} THEN 1 ELSE 1 + CAST(ceil((n - {_CHUNK_SIZE})
+        / {_CHUNK_SIZE - _CHUNK_OVERLAP}) AS INTEGER) END AS nc FROM n),
+e AS (SELECT doc_id, ws, CAST(unnest(range(nc)) AS INTEGER) AS chunk_id FROM c)
+SELECT doc_id, chunk_id,
+       CAST(len(ws[chunk_id * {_CHUNK_SIZE - _CHUNK_OVERLAP} + 1 :
+                   chunk_id * {_CHUNK_SIZE - _CHUNK_OVERLAP} + {_CHUNK_SIZE}]) AS INTEGER) AS n_words,
+       array_to_string(ws[chunk_id * {_CHUNK_SIZE - _CHUNK_OVERLAP} + 1 :
+                          chunk_id * {_CHUNK_SIZE - _CHUNK_OVERLAP} + {_CHUNK_SIZE}], ' ') AS text
+FROM e""")
+def q_chunks(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP)
+
+
+# kNN: the query vectors are the per-label centroids of the embedding table,
+# the corpus is the whole table.
+def _knn_sql(metric):
+    if metric == "l2":
+        dist = ("list_sum(list_transform(range(1, len(e.embedding) + 1), lambda j: "
+                "(CAST(e.embedding[j] AS DOUBLE) - q.qv[j]) * (CAST(e.embedding[j] AS DOUBLE) "
+                "- q.qv[j])))")
+    else:
+        dot = ("list_sum(list_transform(range(1, len(e.embedding) + 1), lambda j: "
+               "CAST(e.embedding[j] AS DOUBLE) * q.qv[j]))")
+        ne = ("sqrt(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE) * "
+              "CAST(x AS DOUBLE))))")
+        nq = "sqrt(list_sum(list_transform(q.qv, lambda x: x * x)))"
+        dist = f"1.0 - CASE WHEN {ne} * {nq} > 0 THEN {dot} / ({ne} * {nq}) ELSE 0.0 END"
+    return f"""
+WITH u AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v
+           FROM embeddings, range(1, len(embedding) + 1) r(i) GROUP BY label, i),
+q AS (SELECT label AS qid, list(v ORDER BY i) AS qv FROM u GROUP BY label),
+d AS (SELECT q.qid, e.vec_id, e.label, {dist} AS distance FROM q, embeddings e),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM d)
+"""
+
+
+def _knn_spark(spark, sf, metric):
+    emb = spark.read.parquet(f"{sf}/embeddings.parquet")
+    q = centroids(emb, "label").withColumnRenamed("label", "qid")
+    return knn(emb, q, k=3, metric=metric, payload_cols=["label"])
+
+
+@_register("knn_l2", _knn_sql("l2") + "SELECT qid, vec_id, rank, round(distance, 6) AS distance "
+           "FROM r WHERE rank <= 3")
+def q_knn_l2(spark, sf):
+    h = _knn_spark(spark, sf, "l2")
+    return h.select("qid", "vec_id", F.col("rank").cast("long").alias("rank"),
+                    F.round("distance", 6).alias("distance"))
+
+
+@_register("knn_cosine", _knn_sql("cosine") + "SELECT qid, vec_id, rank, round(distance, 6) AS "
+           "distance FROM r WHERE rank <= 3")
+def q_knn_cos(spark, sf):
+    h = _knn_spark(spark, sf, "cosine")
+    return h.select("qid", "vec_id", F.col("rank").cast("long").alias("rank"),
+                    F.round("distance", 6).alias("distance"))
+
+
+@_register("knn_sources", _knn_sql("l2") + "SELECT qid, string_agg(DISTINCT CAST(label AS VARCHAR), "
+           "',' ORDER BY CAST(label AS VARCHAR)) AS sources FROM r WHERE rank <= 3 GROUP BY qid")
+def q_knn_sources(spark, sf):
+    return rt.sources_per_query(_knn_spark(spark, sf, "l2"), "qid", "label")
+
+
+@_register("text_embeddings")
+def q_text_embeddings(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    chunks = chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"])
+    model = rt.fit_text_embedder(chunks)
+    return rt.embed(chunks, model).select("doc_id", "chunk_id", "source", "embedding")
+
+
+@_register("retrieve_benchmark")
+def q_retrieve(spark, sf):
+    """Benchmark items as questions against all document chunks: top 3 and sources."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    chunks = chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"])
+    model = rt.fit_text_embedder(chunks)
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet").select(
+        F.col("item_id").alias("qid"), "text")
+    hits = rt.retrieve(chunks, bench, model, k=3)
+    return hits.join(rt.sources_per_query(hits), "qid")
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: readmission mart by department over the cleaned star."""
