@@ -67,7 +67,10 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
     if any(g is None for g in gnames):
         raise ValueError("partition_cols must be column names")
 
-    counts = ranged.groupBy("_ws_pid", *gnames).agg(F.count(F.lit(1)).alias("_ws_cnt"))
+    # a partition may hold the end of one group and the start of the next:
+    # positions restart at the group's first position inside the partition
+    counts = ranged.groupBy("_ws_pid", *gnames).agg(F.count(F.lit(1)).alias("_ws_cnt"),
+                                                   F.min("_ws_pos").alias("_ws_first"))
     # tiny table (<= n + groups rows): a global window over it is cheap
     before = Window.partitionBy(*gnames).orderBy("_ws_pid").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -77,8 +80,9 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
     offsets = offsets.drop("_ws_cnt")
 
     joined = ranged.join(F.broadcast(offsets), on=["_ws_pid", *gnames], how="inner")
-    return (joined.withColumn(out, F.col("_ws_off") + F.col("_ws_pos") + F.lit(1))
-            .drop("_ws_pid", "_ws_pos", "_ws_off"))
+    return (joined.withColumn(out, F.col("_ws_off") + F.col("_ws_pos") - F.col("_ws_first")
+                              + F.lit(1))
+            .drop("_ws_pid", "_ws_pos", "_ws_off", "_ws_first"))
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence | str, sum_cols: Sequence[str],
