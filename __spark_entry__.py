@@ -76,7 +76,7 @@ def q_interp(spark, sf):
 @_register("discharge_date", tw.with_star(
     "SELECT encounter_id, admission_date, los_days, discharge_date FROM clean"))
 def q_discharge(spark, sf):
-    return inputs.encounter_clean(spark, sf).select(
+    return inputs.encounter_star(spark, sf)["clean"].select(
         "encounter_id", "admission_date", "los_days", "discharge_date")
 
 
@@ -134,7 +134,7 @@ def q_stacked(spark, sf):
     "SELECT encounter_id, admission_type_id, admission_type_desc, discharge_disposition_id, "
     "discharge_disposition_desc, admission_source_id, admission_source_desc FROM clean"))
 def q_decode(spark, sf):
-    return inputs.encounter_clean(spark, sf).select(
+    return inputs.encounter_star(spark, sf)["clean"].select(
         "encounter_id", "admission_type_id", "admission_type_desc", "discharge_disposition_id",
         "discharge_disposition_desc", "admission_source_id", "admission_source_desc")
 
@@ -365,7 +365,7 @@ def q_check_rate(spark, sf):
     "CAST(abs((SELECT count(*) FROM fact_admission) - (SELECT count(*) FROM clean)) AS BIGINT) "
     "AS failures, (SELECT count(*) FROM fact_admission) = (SELECT count(*) FROM clean) AS passed"))
 def q_check_fanout(spark, sf):
-    clean = inputs.encounter_clean(spark, sf)
+    clean = inputs.encounter_star(spark, sf)["clean"]
     return qa.check_fanout(inputs.encounter_star(spark, sf)["fact_admission"], clean)
 
 
@@ -693,6 +693,49 @@ def q_retrieve(spark, sf):
     return hits.join(rt.sources_per_query(hits), "qid")
 
 
+# ---------------------------------------------------------------- readmission model
+# Rows-only: a random forest has no SQL twin. The model is trained once per
+# session and input folder, with the published parameters.
+_MODELS: dict = {}
+
+
+def _trained(spark, sf):
+    from wardstar.plans.model import train_readmission
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _MODELS:
+        s = inputs.encounter_star(spark, sf)
+        feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
+                              s["dim_diagnosis"])
+        _MODELS[key] = train_readmission(feats)
+    return _MODELS[key]
+
+
+@_register("readmission_scores")
+def q_scores(spark, sf):
+    model, data, _ = _trained(spark, sf)
+    return model.score(data)
+
+
+@_register("high_risk_list")
+def q_high_risk(spark, sf):
+    from wardstar.plans.model import high_risk
+    model, data, _ = _trained(spark, sf)
+    return high_risk(model.score(data), 50)
+
+
+@_register("feature_importance")
+def q_importance(spark, sf):
+    model, _, _ = _trained(spark, sf)
+    return model.feature_importance(spark, 10)
+
+
+@_register("model_evaluation")
+def q_model_eval(spark, sf):
+    model, _, ev = _trained(spark, sf)
+    return ev["roc_auc"].crossJoin(ev["mean_probability"]).withColumn(
+        "threshold", F.lit(model.threshold))
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: readmission mart by department over the cleaned star."""

@@ -18,7 +18,7 @@ def spark():
 
     from wardstar.session import DEFAULT_CONF
     b = SparkSession.builder.master("local[4]").appName("wardstar-tests") \
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()

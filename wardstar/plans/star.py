@@ -58,15 +58,25 @@ def interpolate_dates(df: DataFrame, order_col: str = "encounter_id",
         .drop("_ws_rn", "_ws_total")
 
 
-def decode(df: DataFrame, blocks: DataFrame, specs=LOOKUP_SPECS,
-           fill: str = "Unknown") -> DataFrame:
+# Code tables up to this many rows are broadcast to the encounter scan.
+LOOKUP_BROADCAST_MAX_ROWS = 200_000
+
+
+def decode(df: DataFrame, blocks: DataFrame, specs=LOOKUP_SPECS, fill: str = "Unknown",
+           broadcast_max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
     """Left-join each lookup block on its id; no match gives ``fill``.
 
-    Lookup blocks are small code tables; Spark broadcasts them on its own
-    size estimate (and AQE on the measured size), else it shuffles.
+    The blocks are counted first (one small job over the code file). A block
+    within ``broadcast_max_rows`` is broadcast, so the encounter rows are not
+    shuffled at all; a larger one falls back to a shuffle join.
     """
+    sizes = {r["block"]: r["n"] for r in
+             blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
     for id_col, desc_col in specs:
-        df = df.join(lookup(blocks, id_col, id_col, desc_col), on=id_col, how="left")
+        table = lookup(blocks, id_col, id_col, desc_col)
+        if sizes.get(id_col, 0) <= broadcast_max_rows:
+            table = F.broadcast(table)
+        df = df.join(table, on=id_col, how="left")
     return df.fillna({desc: fill for _, desc in specs})
 
 

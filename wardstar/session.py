@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # local mode runs executors inside the driver JVM
+    "spark.driver.memory": "8g",
     "spark.ui.showConsoleProgress": "false",
 }
 

@@ -125,7 +125,8 @@ def stacked_lookup_lines(spark: SparkSession, sf_dir: str,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("file", F.lit(file_name)).select("file", "line_no", "value")
+    # a code file is a handful of lines: keep it in one partition
+    return out.coalesce(1).withColumn("file", F.lit(file_name)).select("file", "line_no", "value")
 
 
 def vitals_message_exprs() -> dict[str, str]:
