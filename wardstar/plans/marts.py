@@ -67,3 +67,38 @@ def star_features(fact: DataFrame, dim_patient: DataFrame, dim_department: DataF
     return f.select("encounter_id", *FEATURE_NUMERIC, "readmit_risk_flag", "readmitted_30d",
                     "race", "gender", "age", "medical_specialty", "diag_1_group",
                     "admission_type_desc")
+
+
+STAR_NAMES = ["fact_admission", "dim_patient", "dim_department", "dim_diagnosis", "dim_date"]
+
+
+def register_views(spark, curated_dir: str, names=STAR_NAMES, prefix: str = "stg_") -> list[str]:
+    """Staging views: one temp view per curated table (identity projection)."""
+    out = []
+    for n in names:
+        spark.read.parquet(f"{curated_dir.rstrip('/')}/{n}").createOrReplaceTempView(f"{prefix}{n}")
+        out.append(f"{prefix}{n}")
+    return out
+
+
+def materialize_marts(spark, prefix: str = "stg_", database: str | None = None,
+                      path: str | None = None) -> dict[str, str]:
+    """Build both marts from the staging views and store them as tables
+    (``saveAsTable``) or Parquet folders (``path``)."""
+    fact = spark.table(f"{prefix}fact_admission")
+    marts = {
+        "mart_readmission_by_department":
+            mart_by_department(fact, spark.table(f"{prefix}dim_department")),
+        "mart_readmission_by_diagnosis":
+            mart_by_diagnosis(fact, spark.table(f"{prefix}dim_diagnosis")),
+    }
+    where = {}
+    for name, df in marts.items():
+        if path:
+            df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+            where[name] = f"{path.rstrip('/')}/{name}"
+        else:
+            full = f"{database}.{name}" if database else name
+            df.write.mode("overwrite").saveAsTable(full)
+            where[name] = full
+    return where
