@@ -135,18 +135,33 @@ def dim_date(clean: DataFrame) -> DataFrame:
         "full_date", "date_key", "year", "month", "day", "quarter", "day_of_week")
 
 
+# Dimensions up to this many rows are broadcast into the fact join.
+DIM_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def _checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``dim`` only if it has at most ``max_rows`` rows (counted;
+    dimensions here are backed by checkpoint files, so this is cheap)."""
+    return F.broadcast(dim) if dim.count() <= max_rows else dim
+
+
 def fact_admission(clean: DataFrame, patients: DataFrame, departments: DataFrame,
-                   diagnoses: DataFrame) -> DataFrame:
+                   diagnoses: DataFrame, broadcast_max_rows: int = DIM_BROADCAST_MAX_ROWS
+                   ) -> DataFrame:
     """The 16-column fact, one row per cleaned encounter.
 
     The patient dimension grows with the data, so that join shuffles on
-    ``patient_nbr`` (AQE splits a hot patient). The other two dimensions are
-    bounded by code lists and are broadcast when AQE measures them small.
+    ``patient_nbr`` (AQE splits a hot patient, or broadcasts a small
+    dimension at runtime). Department and diagnosis are bounded by code lists;
+    they are broadcast after a row-count check, else shuffle-joined.
     """
+    dep = _checked_broadcast(departments.select("medical_specialty", "department_key"),
+                             broadcast_max_rows)
+    dia = _checked_broadcast(diagnoses.select(*DIAGNOSIS_COLS, "diagnosis_key"),
+                             broadcast_max_rows)
     fact = clean.join(patients.select("patient_nbr", "patient_key"), "patient_nbr", "left")
-    fact = fact.join(departments.select("medical_specialty", "department_key"),
-                     "medical_specialty", "left")
-    fact = fact.join(diagnoses.select(*DIAGNOSIS_COLS, "diagnosis_key"), DIAGNOSIS_COLS, "left")
+    fact = fact.join(dep, "medical_specialty", "left")
+    fact = fact.join(dia, DIAGNOSIS_COLS, "left")
     fact = fact.withColumns({
         "date_key": date_key("admission_date"),
         "admission_year": F.year("admission_date"),
