@@ -12,10 +12,11 @@ The count branch and the numbering branch must see the same partitions. Two
 evaluations of the same range shuffle need not agree: Catalyst prunes columns
 per branch and AQE may plan the input join differently, so the sampled range
 bounds, and with them the partitions, can differ. The ranged frame is
-therefore cut with a reliable ``checkpoint()`` (files in the shared
-``spark.checkpoint.dir``, which also survive a lost executor) before
-partition ids are read. The explicit partition count keeps AQE from
-coalescing the range shuffle.
+therefore written once as a Parquet table in the shared
+``spark.checkpoint.dir`` (which also survives a lost executor), with the
+partition id and the position stored as columns, and both branches read
+that table. The explicit partition count keeps AQE from coalescing the range
+shuffle.
 
 The order key should be a total order (add tie-breakers otherwise): rows
 that tie may swap numbers between runs, though the numbers stay a permutation
@@ -29,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, default_partitions
+from ..session import default_partitions, materialize
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -61,8 +62,7 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
         "_ws_pid": F.shiftrightunsigned("_ws_mid", 33),
         "_ws_pos": F.col("_ws_mid").bitwiseAND(F.lit(_LOW_BITS)),
     }).drop("_ws_mid")
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "rownum")
     gnames = [g if isinstance(g, str) else None for g in groups]
     if any(g is None for g in gnames):
         raise ValueError("partition_cols must be column names")
@@ -96,8 +96,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence | str, sum_cols: Sequence[st
     order = _cols(order_cols)
     n = num_partitions or default_partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *order).withColumn("_ws_pid", F.spark_partition_id())
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, "prefix")
     totals = ranged.groupBy("_ws_pid").agg(*[F.sum(c).alias(f"_ws_t_{c}") for c in sum_cols])
     before = Window.orderBy("_ws_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_ws_pid", *[

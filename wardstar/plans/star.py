@@ -70,6 +70,8 @@ def decode(df: DataFrame, blocks: DataFrame, specs=LOOKUP_SPECS, fill: str = "Un
     within ``broadcast_max_rows`` is broadcast, so the encounter rows are not
     shuffled at all; a larger one falls back to a shuffle join.
     """
+    from ..session import materialize
+    blocks = materialize(blocks, "lookups")  # parsed once, read by three joins
     sizes = {r["block"]: r["n"] for r in
              blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
     for id_col, desc_col in specs:

@@ -64,6 +64,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/wardstar-scratch/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read
+    it back: a lineage cut that survives lost executors, stores columns
+    compressed and lets later reads prune columns and push filters."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def default_partitions(spark: SparkSession) -> int:
     """Partition count for explicit range shuffles."""
     try:
@@ -77,5 +87,5 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "default_partitions",
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "default_partitions", "materialize",
            "DEFAULT_CONF", "local_path"]

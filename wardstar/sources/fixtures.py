@@ -99,6 +99,13 @@ def lookup_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def _literal_lines(spark: SparkSession, rows) -> DataFrame:
+    """A few fixed (line_no, value) rows as a JVM-side literal table."""
+    structs = [F.struct(F.lit(n).cast("long").alias("line_no"), F.lit(v).alias("value"))
+               for n, v in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def stacked_lookup_lines(spark: SparkSession, sf_dir: str,
                          file_name: str = "ids_mapping.csv") -> DataFrame:
     """Write the lookups as one stacked CSV text, as lines (file, line_no, value).
@@ -119,9 +126,8 @@ def stacked_lookup_lines(spark: SparkSession, sf_dir: str,
             .alias("value")))
         fixed = [(base, f"{name},description"), (base + 1, "n/a,Not a code"),
                  (base + 999_000, ",")]
-        parts.append(spark.createDataFrame(fixed, "line_no long, value string"))
-    parts.append(spark.createDataFrame([(0, "orphan,row before any header"), (1, "")],
-                                       "line_no long, value string"))
+        parts.append(_literal_lines(spark, fixed))
+    parts.append(_literal_lines(spark, [(0, "orphan,row before any header"), (1, "")]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
