@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import materialize
 from ..sources.fixtures import encounters_from_tables, stacked_lookup_lines
 from ..sources.lookups import parse_stacked_lookups
 from .star import clean_encounters, star_tables
@@ -37,7 +38,7 @@ def encounter_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         clean = encounter_clean(spark, sf_dir)
         star = star_tables(clean)
         # the fact is the curated table every mart, check and feature view reads
-        star["fact_admission"] = star["fact_admission"].checkpoint(eager=True)
+        star["fact_admission"] = materialize(star["fact_admission"], "fact_admission")
         star["clean"] = clean
         _STARS[key] = star
     return dict(_STARS[key])
