@@ -1,10 +1,10 @@
 """Cleaning and the readmission star schema.
 
-``clean_encounters`` is one lazy plan from raw rows to the cleaned, decoded
+``clean_encounters`` is one plan from raw rows to the cleaned, decoded
 encounter table. ``star_tables`` derives the four dimensions and the fact
-from it, also lazily; ``build_star`` materialises the cleaned rows once
-(reliable checkpoint in the shared checkpoint folder), writes the dimensions
-first and joins the fact against the written dimensions.
+from it; ``build_star`` materialises the cleaned rows once (a Parquet table
+in the shared checkpoint folder), writes the dimensions first and joins the
+fact against the written dimensions.
 
 Keys are dense row numbers in natural-key order (see ``with_surrogate_key``),
 so two evaluations of a dimension agree and the fact never points at a key
@@ -195,8 +195,10 @@ def build_star(raw: DataFrame, blocks: DataFrame, out_dir: str,
     """
     from ..sources.sinks import write_star
 
+    from ..session import materialize
+
     spark = raw.sparkSession
-    clean = clean_encounters(raw, blocks, num_partitions=num_partitions).checkpoint(eager=True)
+    clean = materialize(clean_encounters(raw, blocks, num_partitions=num_partitions), "clean")
     dims = {
         "dim_patient": dim_patient(clean, num_partitions),
         "dim_department": dim_department(clean, num_partitions),
