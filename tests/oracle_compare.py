@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
+
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -27,7 +30,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return f"{v:.9g}"
+        return repr(v) if EXACT else f"{v:.9g}"
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     if hasattr(v, "tolist"):
