@@ -49,11 +49,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     is created and registered.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not d:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="wardstar-ckpt-")
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
+        prefix="wardstar-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
