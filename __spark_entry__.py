@@ -749,8 +749,11 @@ def q_importance(spark, sf):
 @_register("model_evaluation")
 def q_model_eval(spark, sf):
     model, _, ev = _trained(spark, sf)
-    return ev["roc_auc"].crossJoin(ev["mean_probability"]).withColumn(
-        "threshold", F.lit(model.threshold))
+    mp = ev["mean_probability"]
+    return ev["roc_auc"].select(
+        "*", mp.select("mean_probability").scalar().alias("mean_probability"),
+        mp.select("base_rate").scalar().alias("base_rate"),
+        F.lit(model.threshold).alias("threshold"))
 
 
 # ---------------------------------------------------------------- contract

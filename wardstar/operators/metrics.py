@@ -103,12 +103,13 @@ def pr_curve(df: DataFrame, y: str = "label", score: str = "score") -> DataFrame
     (threshold, tp, fp, precision, recall, f1) with f1 = 2pr / (p + r + 1e-9).
     """
     c = _cumulated(df, y, score)
-    tot = c.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    c = c.crossJoin(F.broadcast(tot))  # one-row table
-    tp = (F.col("_P") - F.col("pos_below")).cast("long")
-    fp = (F.col("_N") - F.col("neg_below")).cast("long")
+    # class totals as scalar subqueries (one aggregate row each), no join
+    n_pos = c.select(F.sum("pos")).scalar()
+    n_neg = c.select(F.sum("neg")).scalar()
+    tp = (n_pos - F.col("pos_below")).cast("long")
+    fp = (n_neg - F.col("neg_below")).cast("long")
     out = c.select(F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
-                   F.col("_P").alias("_P"))
+                   n_pos.alias("_P"))
     prec = F.when((F.col("tp") + F.col("fp")) > 0, F.col("tp") / (F.col("tp") + F.col("fp"))) \
         .otherwise(F.lit(0.0))
     rec = F.when(F.col("_P") > 0, F.col("tp") / F.col("_P")).otherwise(F.lit(1.0))

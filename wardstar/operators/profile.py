@@ -29,12 +29,11 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 def profile_schema(df: DataFrame) -> DataFrame:
     """(position, column_name, data_type, n_rows, n_cols): shape and types."""
-    spark = df.sparkSession
-    meta = spark.createDataFrame(
-        [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "position int, column_name string, data_type string")
-    n = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    return meta.crossJoin(n).withColumn("n_cols", F.lit(len(df.columns)))
+    fields = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
+                       F.lit(f.dataType.simpleString()).alias("data_type"))
+              for i, f in enumerate(df.schema.fields)]
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.inline(F.array(*fields)), "n_rows", F.lit(len(df.columns)).alias("n_cols"))
 
 
 def preview(df: DataFrame, key: str, n: int = 10, cols=None) -> DataFrame:
