@@ -422,15 +422,17 @@ def q_profile_schema(spark, sf):
 
 # ---------------------------------------------------------------- history
 # Two versions of an attribute table derived from customer: version 2 changes
-# some segments, turns NULL into a value, keeps NULL = NULL, drops keys and adds
-# keys. Snapshots at three dates; the third run sees no change.
+# some segments and nations, turns NULL into a value and keeps NULL = NULL;
+# customers with a negative balance appear only in version 2 (new keys) and the
+# HOUSEHOLD segment is gone from version 2 (keys that disappear). Snapshots at
+# three dates; the third run sees no change.
 _V1_SQL = ("SELECT c_custkey AS key, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment "
-           "END AS segment, c_nationkey AS nation FROM customer WHERE c_custkey % 17 <> 0")
+           "END AS segment, c_nationkey AS nation FROM customer WHERE c_acctbal >= 0")
 _V2_SQL = ("SELECT c_custkey AS key, CASE WHEN c_custkey % 7 = 0 THEN 'CHANGED' "
            "WHEN c_custkey % 20 = 0 THEN c_mktsegment WHEN c_custkey % 10 = 0 THEN NULL "
            "ELSE c_mktsegment END AS segment, "
            "CASE WHEN c_custkey % 9 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS nation "
-           "FROM customer WHERE c_custkey % 13 <> 0")
+           "FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'")
 
 
 @_register("scd2_merge", f"""
@@ -447,9 +449,10 @@ UNION ALL
 SELECT k2, s2, n2, DATE '2024-02-01', CAST(NULL AS DATE) FROM j
 WHERE k2 IS NOT NULL AND (k1 IS NULL OR changed)""")
 def q_scd2(spark, sf):
-    spark.read.parquet(f"{sf}/customer.parquet").createOrReplaceTempView("customer")
-    v1 = spark.sql(_V1_SQL)
-    v2 = spark.sql(_V2_SQL)
+    view = "wardstar_customer_versions"
+    spark.read.parquet(f"{sf}/customer.parquet").createOrReplaceTempView(view)
+    v1 = spark.sql(_V1_SQL.replace("FROM customer", f"FROM {view}"))
+    v2 = spark.sql(_V2_SQL.replace("FROM customer", f"FROM {view}"))
     h = scd2_merge(None, v1, "key", ["segment", "nation"], "2024-01-01")
     h = scd2_merge(h, v2, "key", ["segment", "nation"], "2024-02-01")
     return scd2_merge(h, v2, "key", ["segment", "nation"], "2024-03-01")
