@@ -52,8 +52,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="wardstar-ckpt-")
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot read a folder local to the driver
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
+        d = tempfile.mkdtemp(prefix="wardstar-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
