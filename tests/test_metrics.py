@@ -43,3 +43,15 @@ def test_class_report_matches_hand_count(spark):
     assert rep["1"].precision == 0.5 and rep["1"].recall == 0.5 and rep["1"].support == 2
     assert abs(rep["0"].precision - 2 / 3) < 1e-15 and abs(rep["0"].recall - 2 / 3) < 1e-15
     assert rep["accuracy"].f1_score == 0.6 and rep["accuracy"].support == 5
+
+
+def test_class_report_class_never_actual(spark):
+    # class 1 is predicted but never occurs: support 0, recall 0, precision 0
+    rows = [(0, 0), (0, 1), (0, 0)]
+    df = spark.createDataFrame(rows, "label int, prediction int")
+    rep = {r.label: r for r in mx.class_report(df).collect()}
+    assert rep["1"].support == 0 and rep["1"].precision == 0.0 and rep["1"].recall == 0.0
+    assert rep["0"].support == 3 and rep["0"].precision == 1.0
+    assert abs(rep["0"].recall - 2 / 3) < 1e-15
+    assert abs(rep["accuracy"].f1_score - 2 / 3) < 1e-15
+    assert rep["macro avg"].support == 3

@@ -30,12 +30,17 @@ def class_report(df: DataFrame, y: str = "label", yhat: str = "prediction") -> D
     An undefined ratio (no predictions or no rows of a class) is 0.
     """
     cm = confusion(df, y, yhat)
-    support = cm.groupBy(F.col("actual").alias("c")).agg(F.sum("n").alias("support"))
-    predicted = cm.groupBy(F.col("predicted").alias("c")).agg(F.sum("n").alias("pred"))
-    tp = cm.filter(F.col("actual") == F.col("predicted")) \
-        .select(F.col("actual").alias("c"), F.col("n").alias("tp"))
-    per = (support.join(predicted, "c", "full_outer").join(tp, "c", "left")
-           .fillna(0, ["support", "pred", "tp"]))
+    # each cell counts once for its actual class (support, tp) and once for
+    # its predicted class (pred): one group-by over the cells, no joins
+    zero = F.lit(0).cast("long")
+    sides = F.explode(F.array(
+        F.struct(F.col("actual").alias("c"), F.col("n").alias("support"), zero.alias("pred"),
+                 F.when(F.col("actual") == F.col("predicted"), F.col("n"))
+                 .otherwise(zero).alias("tp")),
+        F.struct(F.col("predicted").alias("c"), zero.alias("support"), F.col("n").alias("pred"),
+                 zero.alias("tp"))))
+    per = cm.select(sides.alias("_s")).select("_s.*").groupBy("c").agg(
+        *[F.sum(k).alias(k) for k in ("support", "pred", "tp")])
 
     def ratio(a, b):
         return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))

@@ -35,7 +35,8 @@ def encounter_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _STARS:
-        clean = encounter_clean(spark, sf_dir)
+        # cleaned rows once: the dimensions and the fact all start from them
+        clean = materialize(encounter_clean(spark, sf_dir), "clean")
         star = star_tables(clean)
         # the fact is the curated table every mart, check and feature view reads
         star["fact_admission"] = materialize(star["fact_admission"], "fact_admission")
