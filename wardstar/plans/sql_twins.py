@@ -127,3 +127,22 @@ fact_admission AS (
 def with_star(select: str, extra_ctes: str = "") -> str:
     extra = f",\n{extra_ctes}" if extra_ctes else ""
     return f"WITH {STAR_CTES.strip()}{extra}\n{select}"
+
+
+# DuckDB type names as Spark prints them (``DataType.simpleString``).
+SPARK_TYPE_NAMES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int",
+                    "DOUBLE": "double", "DATE": "date", "BOOLEAN": "boolean"}
+
+
+def schema_profile(view: str, columns: list[str]) -> str:
+    """(position, column_name, data_type, n_rows, n_cols) of ``view``.
+
+    ``typeof`` is resolved when the query is bound, so a scalar subquery per
+    column gives the column's type even for an empty view.
+    """
+    names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPARK_TYPE_NAMES.items())
+    parts = [f"SELECT CAST({i + 1} AS INTEGER) AS position, '{c}' AS column_name, "
+             f"typeof((SELECT {c} FROM {view} LIMIT 1)) AS t" for i, c in enumerate(columns)]
+    return (f"SELECT position, column_name, CASE t {names} ELSE lower(t) END AS data_type, "
+            f"(SELECT count(*) FROM {view}) AS n_rows, CAST({len(columns)} AS INTEGER) AS n_cols "
+            f"FROM ({' UNION ALL '.join(parts)}) s")
