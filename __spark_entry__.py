@@ -518,6 +518,21 @@ def q_vitals_alerts(spark, sf):
     return spark.read.parquet(f"{root}/alerts")
 
 
+@_register("vitals_alerts_single_read", _VITALS_SQL + "SELECT " + ", ".join(ALERT_COLS) +
+           " FROM v WHERE alert_flag")
+def q_vitals_alerts_once(spark, sf):
+    """As ``vitals_alerts``, with both sinks written by one query that reads
+    the source once per micro-batch; the per-batch folders are read back
+    without their ``batch_id`` column."""
+    from wardstar.streaming.vitals import run_vitals_single_read
+    root = scratch_path(spark, "vitals1")
+    vitals_messages(spark, sf).write.mode("overwrite").text(f"{root}/source")
+    raw = read_vitals_stream(spark, "text", {"maxFilesPerTrigger": "4"}, f"{root}/source")
+    run_vitals_single_read(spark, raw, f"{root}/all", f"{root}/alerts", f"{root}/ckpt",
+                           trigger={"availableNow": True}, wait=True)
+    return spark.read.parquet(f"{root}/alerts").select(*ALERT_COLS)
+
+
 # ---------------------------------------------------------------- metrics
 from wardstar.operators import metrics as mx  # noqa: E402
 from wardstar.operators.sampling import class_weights, stratified_split  # noqa: E402

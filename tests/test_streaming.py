@@ -48,3 +48,22 @@ def test_stream_two_sinks_restart(spark, tmp_dir):
     run_vitals(spark, raw, *args, trigger={"availableNow": True}, wait=True)
     assert spark.read.parquet(f"{tmp_dir}/all").count() == 6
     assert spark.read.parquet(f"{tmp_dir}/alerts").count() == 4
+
+
+def test_stream_single_read_restart(spark, tmp_dir):
+    from wardstar.streaming.vitals import run_vitals_single_read
+    src = f"{tmp_dir}/src"
+    _write(src, [json.dumps(m) for m in MSGS])
+    args = (f"{tmp_dir}/all", f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt")
+    raw = read_vitals_stream(spark, "text", path=src)
+    run_vitals_single_read(spark, raw, *args, trigger={"availableNow": True}, wait=True)
+    assert spark.read.parquet(f"{tmp_dir}/all").count() == 5
+    got = spark.read.parquet(f"{tmp_dir}/alerts")
+    assert "batch_id" in got.columns
+    assert sorted(r.encounter_id for r in got.collect()) == [1, 3, 4]
+    # restart on the same checkpoint with one new file: only the new batch is added
+    _write(src, [json.dumps({"encounter_id": 7, "heart_rate": 130, "spo2": 99})])
+    raw = read_vitals_stream(spark, "text", path=src)
+    run_vitals_single_read(spark, raw, *args, trigger={"availableNow": True}, wait=True)
+    assert spark.read.parquet(f"{tmp_dir}/all").count() == 6
+    assert spark.read.parquet(f"{tmp_dir}/alerts").count() == 4

@@ -109,6 +109,42 @@ def run_vitals(spark: SparkSession, raw_stream: DataFrame, out_path: str, alerts
     return qs
 
 
+def write_both_once(parsed: DataFrame, out_path: str, alerts_path: str, checkpoint: str,
+                    trigger: dict | None = None) -> StreamingQuery:
+    """Both sinks from one query, so the source is read once per micro-batch.
+
+    Two queries over one parsed stream each read the source for themselves
+    (a topic read twice). Here ``foreachBatch`` writes every row and then the
+    alert rows of the same cached micro-batch. Each batch goes to its own
+    ``batch_id=N`` folder with overwrite, so a batch replayed after a failure
+    replaces its earlier output instead of duplicating it.
+    """
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            alerts(batch).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return (parsed.writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
+def run_vitals_single_read(spark: SparkSession, raw_stream: DataFrame, out_path: str,
+                           alerts_path: str, checkpoint_root: str, trigger: dict | None = None,
+                           wait: bool = False) -> StreamingQuery:
+    """``run_vitals`` with one query for both sinks (see ``write_both_once``)."""
+    q = write_both_once(parse_vitals(raw_stream), out_path, alerts_path,
+                        f"{checkpoint_root}/both", trigger)
+    if wait:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return q
+
+
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
     return spark.streams.awaitAnyTermination(timeout) if timeout else \
         spark.streams.awaitAnyTermination()
