@@ -15,8 +15,13 @@ bounds, and with them the partitions, can differ. The ranged frame is
 therefore written once as a Parquet table in the shared
 ``spark.checkpoint.dir`` (which also survives a lost executor), with the
 partition id and the position stored as columns, and both branches read
-that table. The explicit partition count keeps AQE from coalescing the range
-shuffle.
+that table.
+
+Without an explicit partition count the range shuffle starts from
+``spark.sql.shuffle.partitions`` and AQE coalesces it to its advisory
+partition size from runtime statistics. That is safe here: coalescing merges
+only adjacent ranges, and the partition id and position are taken after the
+shuffle, as the rows are stored.
 
 The order key should be a total order (add tie-breakers otherwise): rows
 that tie may swap numbers between runs, though the numbers stay a permutation
@@ -30,7 +35,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import default_partitions, materialize
+from ..session import materialize
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -41,6 +46,13 @@ def _cols(cols) -> list:
     return list(cols)
 
 
+def _by_range(df: DataFrame, num_partitions: int | None, key: list) -> DataFrame:
+    """Range shuffle on ``key``: a fixed partition count if given, else sized by AQE."""
+    if num_partitions:
+        return df.repartitionByRange(num_partitions, *key)
+    return df.repartitionByRange(*key)
+
+
 def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row_num",
                       partition_cols: Sequence | str = (), total_col: str | None = None,
                       num_partitions: int | None = None) -> DataFrame:
@@ -48,14 +60,13 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
 
     With ``partition_cols`` the numbering restarts per group; meant for groups
     of low cardinality (classes, blocks): the offset table holds at most
-    ``num_partitions + groups`` rows. ``total_col`` adds the row count of the
+    (partitions + groups) rows. ``total_col`` adds the row count of the
     whole frame (or of the group) to every row, from the same offset table.
     """
     order = _cols(order_cols)
     groups = _cols(partition_cols)
-    n = num_partitions or default_partitions(df.sparkSession)
     key = groups + order
-    ranged = (df.repartitionByRange(n, *key)
+    ranged = (_by_range(df, num_partitions, key)
               .sortWithinPartitions(*key)
               .withColumn("_ws_mid", F.monotonically_increasing_id()))
     ranged = ranged.withColumns({
@@ -71,7 +82,7 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
     # positions restart at the group's first position inside the partition
     counts = ranged.groupBy("_ws_pid", *gnames).agg(F.count(F.lit(1)).alias("_ws_cnt"),
                                                    F.min("_ws_pos").alias("_ws_first"))
-    # tiny table (<= n + groups rows): a global window over it is cheap
+    # tiny table (<= partitions + groups rows): a global window over it is cheap
     before = Window.partitionBy(*gnames).orderBy("_ws_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_ws_off", F.coalesce(F.sum("_ws_cnt").over(before), F.lit(0)))
@@ -94,8 +105,7 @@ def prefix_sums(df: DataFrame, order_cols: Sequence | str, sum_cols: Sequence[st
     running sum inside each partition.
     """
     order = _cols(order_cols)
-    n = num_partitions or default_partitions(df.sparkSession)
-    ranged = df.repartitionByRange(n, *order).withColumn("_ws_pid", F.spark_partition_id())
+    ranged = _by_range(df, num_partitions, order).withColumn("_ws_pid", F.spark_partition_id())
     ranged = materialize(ranged, "prefix")
     totals = ranged.groupBy("_ws_pid").agg(*[F.sum(c).alias(f"_ws_t_{c}") for c in sum_cols])
     before = Window.orderBy("_ws_pid").rowsBetween(Window.unboundedPreceding, -1)
