@@ -28,3 +28,19 @@ def test_model_mechanics_small_forest(spark, tmp_dir):
     assert high_risk(preds, 5).count() == 5
     assert ev["roc_auc"].first().n_pos > 0
     model.save(f"{tmp_dir}/model")
+
+
+def test_threshold_out_of_fold(spark):
+    s = inputs.encounter_star(spark, SF_SMALL)
+    feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
+                          s["dim_diagnosis"])
+    p = ForestParams(num_trees=5, max_depth=3, folds=3, threshold_on="oof")
+    model, data, ev = train_readmission(feats, p)
+    assert 0.0 < model.threshold < 1.0
+    # evaluation stays on the untouched test split
+    n_test = data.filter(F.col("split") == "test").count()
+    r = ev["roc_auc"].first()
+    assert r.n_pos + r.n_neg == n_test
+    # calibration in the large on rows the sigmoids were not fitted on
+    m = ev["mean_probability"].first()
+    assert abs(m.mean_probability - m.base_rate) < 0.1
