@@ -2,7 +2,9 @@
 
 The query set (user questions, class centroids) is small: its size is
 checked, and it is broadcast as one float64 matrix. Each corpus partition
-computes its distances with numpy inside ``mapInPandas`` and keeps only its
+computes its distances with numpy inside ``mapInArrow`` (a batch's vector
+column is one flat value buffer, reshaped to rows x dims without a Python
+object per row) and keeps only its
 own top k per query, so what leaves a task is k rows per query, never all
 pairs; a final window over those candidates (tasks x k per query) picks the
 global top k. Ties are broken by corpus id. Query sets above
@@ -22,9 +24,19 @@ from pyspark.sql import types as T
 METRICS = ("l2", "cosine")
 
 
-def _matrix(series: pd.Series) -> np.ndarray:
-    return np.vstack([np.asarray(v, dtype=np.float64) for v in series]) if len(series) \
-        else np.zeros((0, 0))
+def _matrix(vectors, dims: int) -> np.ndarray:
+    """(rows, dims) float64 from an Arrow list column; every vector must be
+    present and have ``dims`` entries."""
+    import pyarrow as pa
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    if vectors.null_count:
+        raise ValueError("null vector in the corpus")
+    offsets = vectors.offsets.to_numpy()
+    if len(offsets) > 1 and np.any(np.diff(offsets) != dims):
+        raise ValueError(f"every vector must have {dims} entries")
+    flat = vectors.values.slice(offsets[0], offsets[-1] - offsets[0])
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), dims)
 
 
 def _distances(x: np.ndarray, q: np.ndarray, metric: str) -> np.ndarray:
@@ -97,6 +109,8 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 3, metric: str = "l2",
          T.StructField("distance", T.DoubleType())]
         + [fields[c] for c in payload_cols])
     cols = [id_col, vec_col, *payload_cols]
+    from pyspark.sql.pandas.types import to_arrow_schema
+    arrow_schema = to_arrow_schema(out_schema)
     results = None
     for block in blocks:
         rows = block.collect()  # bounded by max_queries
@@ -105,20 +119,23 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 3, metric: str = "l2",
         bq = spark.sparkContext.broadcast((qids, qmat))
 
         def part_top_k(batches, bq=bq):
+            import pyarrow as pa
             qids_, q = bq.value
             best = None
-            for pdf in batches:
-                if pdf.empty:
+            for rb in batches:
+                if rb.num_rows == 0:
                     continue
-                x = _matrix(pdf[vec_col])
+                x = _matrix(rb.column(vec_col), q.shape[1])
                 d = _distances(x, q, metric)
-                payload = pdf[list(payload_cols)] if payload_cols else None
-                cand = _top_k(pdf[id_col].to_numpy(), d, k, payload, qids_)
+                payload = (pa.Table.from_batches([rb.select(list(payload_cols))]).to_pandas()
+                           if payload_cols else None)
+                ids = rb.column(id_col).to_numpy(zero_copy_only=False)
+                cand = _top_k(ids, d, k, payload, qids_)
                 best = cand if best is None else _reduce(pd.concat([best, cand]), k)
             if best is not None:
-                yield best
+                yield pa.RecordBatch.from_pandas(best, schema=arrow_schema, preserve_index=False)
 
-        cand = corpus.select(*cols).mapInPandas(part_top_k, out_schema)
+        cand = corpus.select(*cols).mapInArrow(part_top_k, out_schema)
         results = cand if results is None else results.unionByName(cand)
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("distance", "_id"))
     top = results.withColumn("rank", rank).filter(F.col("rank") <= k)
