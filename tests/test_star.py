@@ -47,3 +47,13 @@ def test_lookup_join_has_no_fanout(spark):
     assert clean.filter(F.col("admission_type_desc").isNull()).count() == 0
     assert clean.filter(F.col("admission_type_id") > 5).select("admission_type_desc") \
         .distinct().collect()[0][0] == "Unknown"
+
+
+def test_relationships_counts_orphan_rows(spark):
+    from wardstar.operators import quality as qa
+    child = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)] + [(5,)] * 10, "k int")
+    parent = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    r = qa.check_relationships(child, "c", "k", parent, "k").first()
+    assert r.failures == 11 and r.passed is False  # key 3 once, key 5 ten times; NULL ignored
+    ok = qa.check_relationships(child.filter("k <= 2"), "c", "k", parent, "k").first()
+    assert ok.failures == 0 and ok.passed is True

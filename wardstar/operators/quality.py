@@ -67,10 +67,18 @@ def check_not_null(df: DataFrame, table: str, col: str) -> DataFrame:
 
 def check_relationships(child: DataFrame, table: str, col: str, parent: DataFrame,
                         parent_col: str) -> DataFrame:
-    """Child rows whose key is not NULL and absent from the parent (anti join)."""
+    """Child rows whose key is not NULL and absent from the parent (anti join).
+
+    Child rows are first counted per key (partial aggregation map-side), so
+    the anti join moves one row per distinct key, not one per child row, and
+    a hot key is collapsed before any shuffle.
+    """
     keys = parent.select(F.col(parent_col).alias(col)).filter(F.col(col).isNotNull()).distinct()
-    orphans = child.select(col).filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
-    return orphans.agg(*_row("relationships", table, col, F.count(F.lit(1))))
+    per_key = child.filter(F.col(col).isNotNull()).groupBy(col).agg(
+        F.count(F.lit(1)).alias("_n"))
+    orphans = per_key.join(keys, col, "left_anti")
+    return orphans.agg(*_row("relationships", table, col,
+                             F.coalesce(F.sum("_n"), F.lit(0))))
 
 
 def check_accepted_values(df: DataFrame, table: str, col: str, values: Iterable) -> DataFrame:
