@@ -35,8 +35,9 @@ def encounter_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _STARS:
-        # cleaned rows once: the dimensions and the fact all start from them
-        clean = materialize(encounter_clean(spark, sf_dir), "clean")
+        # the cleaned rows are not written again: re-deriving them is a pruned
+        # scan of the numbered table plus broadcast joins, cheaper than a copy
+        clean = encounter_clean(spark, sf_dir)
         star = star_tables(clean)
         # the fact is the curated table every mart, check and feature view reads
         star["fact_admission"] = materialize(star["fact_admission"], "fact_admission")
