@@ -771,11 +771,16 @@ def q_importance(spark, sf):
 @_register("model_evaluation")
 def q_model_eval(spark, sf):
     model, _, ev = _trained(spark, sf)
-    mp = ev["mean_probability"]
+    mp, al = ev["mean_probability"], ev["all_rows"]
+    n_pred = al.select("n_predictions").scalar()
     return ev["roc_auc"].select(
         "*", mp.select("mean_probability").scalar().alias("mean_probability"),
         mp.select("base_rate").scalar().alias("base_rate"),
-        F.lit(model.threshold).alias("threshold"))
+        F.lit(model.threshold).alias("threshold"),
+        al.select("mean_probability_all").scalar().alias("mean_probability_all"),
+        n_pred.alias("n_predictions"),
+        # the health check's "predictions table is not empty"
+        (n_pred >= 1).alias("predictions_present"))
 
 
 # ---------------------------------------------------------------- contract

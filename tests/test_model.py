@@ -44,3 +44,16 @@ def test_threshold_out_of_fold(spark):
     # calibration in the large on rows the sigmoids were not fitted on
     m = ev["mean_probability"].first()
     assert abs(m.mean_probability - m.base_rate) < 0.1
+
+
+def test_evaluation_all_rows_and_present(spark):
+    from wardstar.operators import quality as qa
+    s = inputs.encounter_star(spark, SF_SMALL)
+    feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
+                          s["dim_diagnosis"])
+    model, data, ev = train_readmission(feats, ForestParams(num_trees=3, max_depth=2, folds=2))
+    al = ev["all_rows"].first()
+    assert al.n_predictions == feats.count()
+    assert 0.0 <= al.mean_probability_all <= 1.0
+    present = qa.check_row_floor(model.score(data), "predictions", 1).first()
+    assert present.passed is True
