@@ -734,46 +734,54 @@ def q_retrieve(spark, sf):
 
 # ---------------------------------------------------------------- readmission model
 # Rows-only: a random forest has no SQL twin. The model is trained once per
-# session and input folder, with the published parameters.
+# session and input folder, with the published parameters, and every row is
+# scored once into a predictions table (as the published job writes one);
+# the scores, the high-risk list and the all-rows statistics read that table.
 _MODELS: dict = {}
 
 
 def _trained(spark, sf):
     from wardstar.plans.model import train_readmission
+    from wardstar.session import materialize
     key = (spark.sparkContext.applicationId, sf.rstrip("/"))
     if key not in _MODELS:
         s = inputs.encounter_star(spark, sf)
         feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
                               s["dim_diagnosis"])
-        _MODELS[key] = train_readmission(feats)
+        model, data, ev = train_readmission(feats)
+        preds = materialize(model.score(data), "predictions")
+        _MODELS[key] = (model, data, ev, preds)
     return _MODELS[key]
 
 
 @_register("readmission_scores")
 def q_scores(spark, sf):
-    model, data, _ = _trained(spark, sf)
-    return model.score(data)
+    return _trained(spark, sf)[3]
 
 
 @_register("high_risk_list")
 def q_high_risk(spark, sf):
     from wardstar.plans.model import high_risk
-    model, data, _ = _trained(spark, sf)
-    return high_risk(model.score(data), 50)
+    return high_risk(_trained(spark, sf)[3], 50)
 
 
 @_register("feature_importance")
 def q_importance(spark, sf):
-    model, _, _ = _trained(spark, sf)
-    return model.feature_importance(spark, 10)
+    return _trained(spark, sf)[0].feature_importance(spark, 10)
 
 
 @_register("model_evaluation")
 def q_model_eval(spark, sf):
-    model, _, ev = _trained(spark, sf)
-    mp, al = ev["mean_probability"], ev["all_rows"]
+    from wardstar.plans.model import LABEL
+    model, _, _, preds = _trained(spark, sf)
+    test = preds.filter(F.col("split") == "test")
+    auc = mx.roc_auc(test, LABEL, "predicted_readmit_probability")
+    mp = test.agg(F.avg("predicted_readmit_probability").alias("mean_probability"),
+                  F.avg(F.col(LABEL).cast("double")).alias("base_rate"))
+    al = preds.agg(F.avg("predicted_readmit_probability").alias("mean_probability_all"),
+                   F.count(F.lit(1)).alias("n_predictions"))
     n_pred = al.select("n_predictions").scalar()
-    return ev["roc_auc"].select(
+    return auc.select(
         "*", mp.select("mean_probability").scalar().alias("mean_probability"),
         mp.select("base_rate").scalar().alias("base_rate"),
         F.lit(model.threshold).alias("threshold"),
