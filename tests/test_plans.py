@@ -32,3 +32,12 @@ def test_fact_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "department_key" in scan and "num_medications" not in scan
+
+
+def test_feature_view_broadcasts_code_dimensions(spark):
+    from wardstar.plans.marts import star_features
+    s = inputs.encounter_star(spark, SF_SMALL)
+    f = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
+                      s["dim_diagnosis"])
+    plan = f._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2  # department and diagnosis, before AQE
