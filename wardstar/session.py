@@ -78,18 +78,9 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-def default_partitions(spark: SparkSession) -> int:
-    """Partition count for explicit range shuffles."""
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # noqa: BLE001
-        n = 200
-    return max(n, spark.sparkContext.defaultParallelism, 1)
-
-
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "default_partitions", "materialize",
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize",
            "DEFAULT_CONF", "local_path"]
