@@ -70,10 +70,15 @@ def decode(df: DataFrame, blocks: DataFrame, specs=LOOKUP_SPECS, fill: str = "Un
     within ``broadcast_max_rows`` is broadcast, so the encounter rows are not
     shuffled at all; a larger one falls back to a shuffle join.
     """
+    from pyspark.sql import Observation
+
     from ..session import materialize
-    blocks = materialize(blocks, "lookups")  # parsed once, read by three joins
-    sizes = {r["block"]: r["n"] for r in
-             blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # parsed once, read by three joins; the block sizes are observed while the
+    # table is written, so counting them costs no extra job
+    obs = Observation("lookup_sizes")
+    blocks = materialize(blocks.observe(obs, *[
+        F.count_if(F.col("block") == id_col).alias(id_col) for id_col, _ in specs]), "lookups")
+    sizes = obs.get
     for id_col, desc_col in specs:
         table = lookup(blocks, id_col, id_col, desc_col)
         if sizes.get(id_col, 0) <= broadcast_max_rows:
