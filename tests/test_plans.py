@@ -41,3 +41,24 @@ def test_feature_view_broadcasts_code_dimensions(spark):
                       s["dim_diagnosis"])
     plan = f._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 2  # department and diagnosis, before AQE
+
+
+def test_relationship_check_counts_keys_before_the_anti_join(spark):
+    import re
+
+    from wardstar.operators import quality as qa
+    s = inputs.encounter_star(spark, SF_SMALL)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # a parent too big to broadcast
+    try:
+        chk = qa.check_relationships(s["fact_admission"], "fact_admission", "patient_key",
+                                     s["dim_patient"], "patient_key")
+        plan = chk._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    anti = plan.find("LeftAnti")
+    assert anti >= 0 and "SortMergeJoin" in plan
+    # under the join, child rows are reduced to one row per key map-side
+    assert re.search(r"HashAggregate\(keys=\[patient_key#\d+L?\], "
+                     r"functions=\[partial_count\(1\)\]", plan[anti:])

@@ -70,8 +70,10 @@ def check_relationships(child: DataFrame, table: str, col: str, parent: DataFram
     """Child rows whose key is not NULL and absent from the parent (anti join).
 
     Child rows are first counted per key (partial aggregation map-side), so
-    the anti join moves one row per distinct key, not one per child row, and
-    a hot key is collapsed before any shuffle.
+    when the parent must be shuffled the anti join moves one row per distinct
+    key, not one per child row, and a hot key is collapsed before the
+    shuffle. When the parent can be broadcast, the optimizer instead filters
+    the child rows first and nothing is shuffled.
     """
     keys = parent.select(F.col(parent_col).alias(col)).filter(F.col(col).isNotNull()).distinct()
     per_key = child.filter(F.col(col).isNotNull()).groupBy(col).agg(
