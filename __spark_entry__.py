@@ -791,6 +791,17 @@ def q_model_eval(spark, sf):
         (n_pred >= 1).alias("predictions_present"))
 
 
+# ------------------------------------------------- training-data operators
+try:
+    from wardstar.llm import queries as _llm
+except ModuleNotFoundError as missing:  # the subpackage is optional
+    if missing.name not in ("wardstar.llm", "wardstar.llm.queries", "corpus_pipeline"):
+        raise
+else:
+    _SPARK.update(_llm.QUERIES)
+    _SQL.update(_llm.ORACLE_SQL)
+
+
 # ---------------------------------------------------------------- contract
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: readmission mart by department over the cleaned star."""
