@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, token_files
+from . import bpe, quality_rules, token_files
 from .common import table
 from .oracles import OP9_SQL
 
@@ -34,6 +34,15 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+@_query("op1_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.decode_bpe(bpe.encode_bpe(docs, path, keep=["doc_id"], packed=True), path)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 @_query("op9_quality_rules", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
