@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, token_files
+from . import bpe, quality_rules, simhash, token_files
 from .common import table
 from .oracles import OP9_SQL
 
@@ -43,6 +43,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@_query("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, shingle_words=3)
+    return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
+                      "component_id")
+
+
 @_query("op9_quality_rules", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
