@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import add_text_columns, others, quoted
+from .pieces import PieceTable
 
 # A worker forgets its encoded chunks beyond this many.
 CACHE_CHUNKS = 300_000
@@ -91,13 +92,13 @@ class Codec:
             self.tokens[i] = t
         chars = byte_characters()
         self.to_chars = bytes(range(256)).decode("latin-1").translate(chars)
-        self.table = {b: c for b, c in enumerate(self.to_chars)}
+        self.as_chars = {b: c for b, c in enumerate(self.to_chars)}
         self.to_byte = {c: b for b, c in chars.items()}
         self.longest = max(map(len, self.vocab))
         self.self_ok = np.zeros(size, np.int8)  # 1: encodes to itself, -1: does not
         self.has_rare = regex.compile(f"[^\0-{PLAIN}]").search
         self.library = Tokenizer.from_file(path)  # its normalizer and pre-tokenizer
-        self.cache: dict[str, bytes] = {}
+        self.table = PieceTable(self._learn, np.dtype("<u4"), CACHE_CHUNKS)
         self.n_words = self.n_exact = 0
 
     def _read_merges(self, merges: Sequence[Sequence[str]]) -> None:
@@ -156,7 +157,7 @@ class Codec:
         """The word's bytes as vocabulary characters."""
         if word.isascii() and word.isprintable() and " " not in word:
             return word
-        return word.encode("utf-8").decode("latin-1").translate(self.table)
+        return word.encode("utf-8").decode("latin-1").translate(self.as_chars)
 
     def propose(self, s: str) -> list[int]:
         """Greedy longest match over the byte characters of one word."""
@@ -284,7 +285,7 @@ class Codec:
         return out
 
     # ------------------------------------------------------------ texts
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Encode new chunks: their words, each distinct word once."""
         cut, number = [], {}
         for c in chunks:
@@ -296,21 +297,14 @@ class Codec:
                 elif p:
                     row += [number.setdefault(w, len(number)) for w in self._cut(p)]
             cut.append(row)
-        ids = [np.asarray(x, "<u4").tobytes()
-               for x in self.encode_words(list(number))]
-        for c, row in zip(chunks, cut):
-            self.cache[c] = b"".join(
-                ids[k] if k >= 0 else np.asarray([-1 - k], "<u4").tobytes() for k in row)
+        ids = self.encode_words(list(number))
+        rows = [[t for k in row for t in (ids[k] if k >= 0 else [-1 - k])] for row in cut]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter((t for r in rows for t in r), np.uint32, int(sizes.sum())), sizes
 
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+    def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        cut = [self._chunks(t) if t else [] for t in texts]
-        new = set().union(*cut).difference(self.cache)
-        self._learn(list(new))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        return self.table.encode([self._chunks(t) if t else [] for t in texts])
 
     def _chunks(self, text: str) -> list[str]:
         """Parts that no word reaches over. If white space is dropped, a text
@@ -331,10 +325,10 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def _ids_array(raw: list[bytes]) -> pa.ListArray:
-    ends = np.cumsum([0, *(len(r) // 4 for r in raw)])
+def _ids_array(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
-                                    pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32)))
+                                    pa.array(np.concatenate([EMPTY, *ids]).astype(np.int32)))
 
 
 def encode_bpe(df: DataFrame, tokenizer: str, text_col: str = "text",
@@ -353,8 +347,8 @@ def encode_bpe(df: DataFrame, tokenizer: str, text_col: str = "text",
         c = codec(tokenizer)
 
         def run(texts):
-            raw = c.encode(texts)
-            return [raw if packed else _ids_array(raw), [len(r) // 4 for r in raw]]
+            ids = c.encode(texts)
+            return [[r.tobytes() for r in ids] if packed else _ids_array(ids), list(map(len, ids))]
         return run
     return add_text_columns(df, text_col, schema, make, keep)
 
