@@ -38,3 +38,33 @@ f AS (
     + CASE WHEN 100 * n_stutter > 30 * n_words THEN 64 ELSE 0 END)::BIGINT AS failed_bits FROM m)
 SELECT *, (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept FROM f
 """
+
+# A-Z to a-z only, then words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+.
+_ITEM_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+               r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+OP6_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(list_slice(w, p, p + 9), ' ') AS s
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS p
+        FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+spots AS (
+  SELECT r, p, n, array_to_string(list_slice(w, p, p + n - 1), ' ') AS s
+  FROM (SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p
+        FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT r, p, n, item_id FROM spots JOIN win USING (n, s)),
+hit AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (
+    SELECT r, unnest(generate_series(p, p + n - 1)) AS q FROM hits) GROUP BY r),
+named AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+    sha256(string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+  FROM hits GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""

@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, simhash, token_files
+from . import bpe, decontaminate, quality_rules, simhash, token_files
 from .common import table
-from .oracles import OP9_SQL
+from .oracles import OP6_SQL, OP9_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -50,6 +50,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+@_query("op6_decontamination", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"])
+
+
 @_query("op9_quality_rules", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
