@@ -19,6 +19,8 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 # Rows handled at a time inside a task: an Arrow batch is cut so that a run of
 # long texts does not multiply the working set.
 SLICE_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
+DEFAULT_BATCH_BYTES = "64MB"  # Spark's own
 
 
 def ascii_lower(col: Column) -> Column:
@@ -53,6 +55,14 @@ def slices(texts: list, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES``, so that memory does not depend
+    on how long the texts are. A bound that the session has set is left."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == DEFAULT_BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def add_text_columns(df: DataFrame, text_col: str, schema: T.StructType,
                      make: Callable[[], Callable[[list], list[list]]],
                      keep: Sequence[str] | None = None) -> DataFrame:
@@ -63,6 +73,7 @@ def add_text_columns(df: DataFrame, text_col: str, schema: T.StructType,
     ``df`` that clash with a made one are replaced; ``keep`` narrows what is
     passed through (Catalyst cannot prune columns below a Python operator).
     """
+    bound_batches(df.sparkSession)
     names = [f.name for f in schema]
     passed = [c for c in (df.columns if keep is None else keep)
               if c.lower() not in {n.lower() for n in names}]

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality_rules, simhash, token_files
+from . import bpe, decontaminate, quality_rules, simhash, token_files, toxicity
 from .common import table
 from .oracles import OP6_SQL, OP9_SQL
 
@@ -57,6 +57,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"])
 
 
+@_query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), max_fit_rows=20_000)
+    return toxicity.score_toxicity(docs, model, keep=["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @_query("op9_quality_rules", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
