@@ -68,3 +68,31 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
+
+OP8_SQL = """
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS position
+  FROM conversations),
+one AS (
+  SELECT conv_id, role AS r1, text AS t1,
+    row_number() OVER (PARTITION BY role, text ORDER BY conv_id NULLS FIRST) - 1 AS i
+  FROM t WHERE position = 1),
+placed AS (
+  SELECT conv_id, CASE WHEN i % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
+    first_value(conv_id) OVER (PARTITION BY r1, t1, i // 2 ORDER BY i) AS pair_id FROM one),
+s AS (
+  SELECT pair_id, side, t.* FROM t JOIN placed ON t.conv_id IS NOT DISTINCT FROM placed.conv_id),
+cut AS (
+  SELECT pair_id, min(position) AS cut FROM (
+    SELECT pair_id, position FROM s GROUP BY ALL
+    HAVING count(*) < 2 OR count(DISTINCT (coalesce(role, chr(1)), coalesce(text, chr(1)))) > 1)
+  GROUP BY pair_id),
+p AS (
+  SELECT s.*, coalesce(position < cut, true) AS shared
+  FROM s LEFT JOIN cut ON s.pair_id IS NOT DISTINCT FROM cut.pair_id)
+SELECT pair_id, conv_id, CASE WHEN shared THEN 'prompt' ELSE side END AS part, position, role,
+  '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS rendered,
+  NOT shared AND coalesce(role = 'assistant', false) AS train
+FROM p WHERE NOT shared OR side = 'chosen'
+"""

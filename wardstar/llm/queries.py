@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality_rules, simhash, token_files, toxicity
+from . import bpe, chat_format, decontaminate, quality_rules, simhash, token_files, toxicity, url_filter
 from .common import table
-from .oracles import OP6_SQL, OP9_SQL
+from .oracles import OP6_SQL, OP8_SQL, OP9_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -43,6 +43,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+# Fixed values of the contract.
+URL_RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example.org/es/"),
+             url_filter.Rule("block", "example.org/en/1"), url_filter.Rule("allow", "com/fr/"),
+             url_filter.Rule("block", "com/de/")]
+
+
+@_query("op4_url_filter")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table: urls that a rule decides, 4096 at most."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = url_filter.apply_rules(pages.withColumn("u", F.col("url")), URL_RULES) \
+        .where("rule is not null").select(F.col("u").alias("url"),
+                                          (F.col("rule_verdict") == "block").cast("int").alias("label"))
+    classifier = url_filter.fit(labelled, max_fit_rows=4_096)
+    return url_filter.judge_urls(pages, URL_RULES, classifier).select(
+        "page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
 @_query("op5_simhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, shingle_words=3)
@@ -65,6 +83,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@_query("op8_chat_format", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat_format.positions(table(spark, sf_dir, "conversations"))
+    return chat_format.format_preferences(turns, chat_format.pair_by_first_turn(turns))
+
+
 @_query("op9_quality_rules", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
