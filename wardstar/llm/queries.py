@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontaminate, quality_rules, simhash, token_files, toxicity, url_filter
+from . import (bpe, chat_format, decontaminate, pii, quality_rules, simhash, token_counts, token_files,
+               toxicity, url_filter)
 from .common import table
 from .oracles import OP6_SQL, OP8_SQL, OP9_SQL
 
@@ -43,6 +44,23 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@_query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"])
+
+
+# A deployment passes its own secret.
+PII_KEY = "wardstar-query-key"
+
+
+@_query("op3_pii")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.pseudonymize(docs, PII_KEY)
+    return out.select("doc_id", "text", "pii", F.size("pii").cast("long").alias("n_pii"))
+
+
 # Fixed values of the contract.
 URL_RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example.org/es/"),
              url_filter.Rule("block", "example.org/en/1"), url_filter.Rule("allow", "com/fr/"),
