@@ -77,9 +77,13 @@ def add_text_columns(df: DataFrame, text_col: str, schema: T.StructType,
     names = [f.name for f in schema]
     passed = [c for c in (df.columns if keep is None else keep)
               if c.lower() not in {n.lower() for n in names}]
-    text_as = "__text"
-    src = df.select(*[F.col(quoted(c)) for c in passed],
-                    F.col(quoted(text_col)).cast("string").alias(text_as))
+    src = df.select(*[F.col(quoted(c)) for c in passed])
+    if text_col in passed and isinstance(src.schema[text_col].dataType, T.StringType):
+        at = passed.index(text_col)  # sent to the task once
+    else:
+        at = len(passed)
+        src = df.select(*[F.col(quoted(c)) for c in passed],
+                        F.col(quoted(text_col)).cast("string").alias("__text"))
     out = T.StructType([src.schema[c] for c in passed] + list(schema))
     n = len(passed)
 
@@ -88,7 +92,7 @@ def add_text_columns(df: DataFrame, text_col: str, schema: T.StructType,
         target = to_arrow_schema(out)
         fn = make()
         for batch in batches:
-            texts = batch.column(n).to_pylist()
+            texts = batch.column(at).to_pylist()
             for lo, hi in slices(texts):
                 cols = fn(texts[lo:hi])
                 arrays = [batch.column(i).slice(lo, hi - lo) for i in range(n)]

@@ -146,3 +146,15 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"))
+
+
+def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3,
+                        text_col: str = "text", item_id_col: str = "item_id",
+                        item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without an occurrence of
+    a window."""
+    text = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit(""))
+    keyed = docs.select(_text_key(text).alias("text_key"), text.alias("text"))
+    hits = materialize(find_windows(keyed, item_windows(items, window, item_id_col, item_text_col), shingle)
+                       .select(F.col("text_key").alias("__text_key")).distinct(), "benchmark-hits")
+    return docs.join(hits, _text_key(text) == F.col("__text_key"), "left_anti")
