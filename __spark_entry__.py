@@ -793,6 +793,7 @@ def q_model_eval(spark, sf):
 
 # ------------------------------------------------- training-data operators
 try:
+    import corpus_pipeline as _pipeline
     from wardstar.llm import queries as _llm
 except ModuleNotFoundError as missing:  # the subpackage is optional
     if missing.name not in ("wardstar.llm", "wardstar.llm.queries", "corpus_pipeline"):
@@ -800,6 +801,9 @@ except ModuleNotFoundError as missing:  # the subpackage is optional
 else:
     _SPARK.update(_llm.QUERIES)
     _SQL.update(_llm.ORACLE_SQL)
+    _SPARK["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL is not None:
+        _SQL["pipeline"] = _pipeline.ORACLE_SQL
 
 
 # ---------------------------------------------------------------- contract
