@@ -18,11 +18,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from wardstar.functions.clean import exclude_values, fill_unknown, null_tokens  # noqa: E402
 from wardstar.functions.codes import icd9_group, prior_visits, readmit_target, risk_tier  # noqa: E402
 from wardstar.plans import inputs  # noqa: E402
-from wardstar.sources.fixtures import encounter_exprs  # noqa: E402
+from wardstar.sources.fixtures import LOOKUP_ODD_LINES, encounter_exprs  # noqa: E402
 from wardstar.plans import sql_twins as tw  # noqa: E402
-from wardstar.plans.marts import mart_by_department, mart_by_diagnosis, star_features  # noqa: E402
+from wardstar.plans.marts import (FEATURE_NUMERIC, mart_by_department, mart_by_diagnosis,  # noqa: E402
+                                  star_features)
 from wardstar.plans.star import interpolate_dates  # noqa: E402
-from wardstar.sources.lookups import lookup  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -122,13 +122,14 @@ def q_target(spark, sf):
 _LOOKUP_UNION = " UNION ALL ".join(
     f"SELECT '{b}' AS block, CAST(id AS VARCHAR) AS id, trim(description) AS description "
     f"FROM ({sql}) s_{i}" for i, (b, sql) in enumerate(tw.LOOKUP_SQL.items()))
-_LOOKUP_UNION += " UNION ALL SELECT block, 'n/a', 'Not a code' FROM (VALUES " + ", ".join(
-    f"('{b}')" for b in tw.LOOKUP_SQL) + ") v(block)"
+_LOOKUP_UNION += " UNION ALL SELECT block, id, description FROM (VALUES " + ", ".join(
+    f"('{b}')" for b in tw.LOOKUP_SQL) + ") v(block), (VALUES ('n/a', 'Not a code'), " + ", ".join(
+    f"('{i}', '{d}')" for _, i, d in LOOKUP_ODD_LINES) + ") o(id, description)"
 
 
 @_register("stacked_lookup_parse", f"SELECT * FROM ({_LOOKUP_UNION}) u")
 def q_stacked(spark, sf):
-    return inputs.lookup_blocks(spark, sf)
+    return inputs.lookup_blocks(spark, sf).select("block", "id", "description")
 
 
 @_register("lookup_decode", tw.with_star(
@@ -149,6 +150,17 @@ for _name in ["dim_patient", "dim_department", "dim_diagnosis", "dim_date", "fac
     _register(_name, tw.with_star(f"SELECT * FROM {_name}"))(_mk(_name))
 
 
+@_register("fact_partitions", tw.with_star(
+    "SELECT admission_year, admission_month, count(*) AS n, CAST(sum(los_days) AS BIGINT) AS days "
+    "FROM fact_admission WHERE admission_year BETWEEN 2000 AND 2004 GROUP BY ALL"))
+def q_fact_partitions(spark, sf):
+    """The written fact read back by partition: only folders of these years."""
+    fact = spark.read.parquet(f"{inputs.encounter_star(spark, sf)['folder']}/fact_admission")
+    return fact.where("admission_year BETWEEN 2000 AND 2004").groupBy(
+        "admission_year", "admission_month").agg(F.count(F.lit(1)).alias("n"),
+                                                 F.sum("los_days").alias("days"))
+
+
 @_register("surrogate_keys", tw.with_star(
     "SELECT 'patient' AS dim, count(*) AS n, count(DISTINCT patient_key) AS n_keys, "
     "min(patient_key) AS min_key, max(patient_key) AS max_key FROM dim_patient "
@@ -208,14 +220,16 @@ def q_mart_diag(spark, sf):
     return mart_by_diagnosis(s["fact_admission"], s["dim_diagnosis"])
 
 
+_FEATURES_OF = {"f": ["encounter_id", *FEATURE_NUMERIC, "readmit_risk_flag", "readmitted_30d"],
+                "dp": ["race", "gender", "age"], "dd": ["medical_specialty"],
+                "di": ["diag_1_group", "admission_type_desc"]}
+
+
 @_register("star_features", tw.with_star(
-    "SELECT f.encounter_id, f.los_days, f.num_lab_procedures, f.num_procedures, "
-    "f.num_medications, f.number_diagnoses, f.prior_visits_total, f.readmit_risk_flag, "
-    "f.readmitted_30d, dp.race, dp.gender, dp.age, dd.medical_specialty, di.diag_1_group, "
-    "di.admission_type_desc FROM fact_admission f "
-    "JOIN dim_patient dp ON f.patient_key = dp.patient_key "
-    "JOIN dim_department dd ON f.department_key = dd.department_key "
-    "JOIN dim_diagnosis di ON f.diagnosis_key = di.diagnosis_key"))
+    "SELECT " + ", ".join(f"{t}.{c}" for t, cols in _FEATURES_OF.items() for c in cols)
+    + " FROM fact_admission f"
+    + "".join(f" JOIN dim_{d} {t} ON f.{d}_key = {t}.{d}_key" for t, d in
+              [("dp", "patient"), ("dd", "department"), ("di", "diagnosis")])))
 def q_features(spark, sf):
     s = inputs.encounter_star(spark, sf)
     return star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
@@ -404,15 +418,16 @@ def q_value_counts(spark, sf):
     return value_counts(inputs.encounter_raw(spark, sf), "readmitted")
 
 
+# The columns that the original prints.
+_PREVIEW = ["encounter_id", "patient_nbr", "admission_type_id", "discharge_disposition_id",
+            "admission_source_id", "time_in_hospital", "diag_1", "diag_2", "diag_3", "readmitted"]
+
+
 @_register("preview_encounters", tw.with_star(
-    "SELECT encounter_id, patient_nbr, admission_type_id, discharge_disposition_id, "
-    "admission_source_id, time_in_hospital, diag_1, diag_2, diag_3, readmitted "
-    "FROM enc ORDER BY encounter_id LIMIT 10"))
+    f"SELECT {', '.join(_PREVIEW)} FROM enc ORDER BY encounter_id LIMIT 10"))
 def q_preview(spark, sf):
     from wardstar.operators.profile import preview
-    return preview(inputs.encounter_raw(spark, sf), "encounter_id", 10, [
-        "encounter_id", "patient_nbr", "admission_type_id", "discharge_disposition_id",
-        "admission_source_id", "time_in_hospital", "diag_1", "diag_2", "diag_3", "readmitted"])
+    return preview(inputs.encounter_raw(spark, sf), "encounter_id", 10, _PREVIEW)
 
 
 _ENC_COLUMNS = [e.rsplit(" AS ", 1)[1].strip() for e in encounter_exprs()]
@@ -427,11 +442,13 @@ def q_profile_schema(spark, sf):
 # ---------------------------------------------------------------- history
 # Two versions of an attribute table derived from customer: version 2 changes
 # some segments and nations, turns NULL into a value and keeps NULL = NULL;
-# customers with a negative balance appear only in version 2 (new keys) and the
-# HOUSEHOLD segment is gone from version 2 (keys that disappear). Snapshots at
-# three dates; the third run sees no change.
+# customers with a negative balance outside HOUSEHOLD appear only in version 2
+# (new keys), HOUSEHOLD is gone from version 2 (keys that disappear); every
+# customer is in one of them. Snapshots at three dates; the third run sees no
+# change.
 _V1_SQL = ("SELECT c_custkey AS key, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_mktsegment "
-           "END AS segment, c_nationkey AS nation FROM customer WHERE c_acctbal >= 0")
+           "END AS segment, c_nationkey AS nation FROM customer "
+           "WHERE c_acctbal >= 0 OR c_mktsegment = 'HOUSEHOLD'")
 _V2_SQL = ("SELECT c_custkey AS key, CASE WHEN c_custkey % 7 = 0 THEN 'CHANGED' "
            "WHEN c_custkey % 20 = 0 THEN c_mktsegment WHEN c_custkey % 10 = 0 THEN NULL "
            "ELSE c_mktsegment END AS segment, "
@@ -518,6 +535,17 @@ def q_vitals_alerts(spark, sf):
     return spark.read.parquet(f"{root}/alerts")
 
 
+@_register("vitals_all_rows", _VITALS_SQL + "SELECT * FROM v")
+def q_vitals_all(spark, sf):
+    """The all-rows sink of the same stream, read back."""
+    root = scratch_path(spark, "vitals2")
+    vitals_messages(spark, sf).write.mode("overwrite").text(f"{root}/source")
+    raw = read_vitals_stream(spark, "text", {"maxFilesPerTrigger": "4"}, f"{root}/source")
+    run_vitals(spark, raw, f"{root}/all", f"{root}/alerts", f"{root}/ckpt",
+               trigger={"availableNow": True}, wait=True)
+    return spark.read.parquet(f"{root}/all")
+
+
 @_register("vitals_alerts_single_read", _VITALS_SQL + "SELECT " + ", ".join(ALERT_COLS) +
            " FROM v WHERE alert_flag")
 def q_vitals_alerts_once(spark, sf):
@@ -712,44 +740,84 @@ def q_knn_sources(spark, sf):
     return rt.sources_per_query(_knn_spark(spark, sf, "l2"), "qid", "label")
 
 
-@_register("text_embeddings")
-def q_text_embeddings(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    chunks = chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"])
-    model = rt.fit_text_embedder(chunks)
-    return rt.embed(chunks, model).select("doc_id", "chunk_id", "source", "embedding")
+_CHUNKS_SQL = _SQL["chunk_documents"].strip()
+_TERMS_SQL = f"""
+WITH ch AS ({_CHUNKS_SQL}),
+t AS (SELECT doc_id, chunk_id, term, count(*) AS tf FROM (
+        SELECT doc_id, chunk_id, unnest(string_split(text, ' ')) AS term FROM ch) GROUP BY ALL),
+total AS (SELECT count(*) AS n FROM (SELECT DISTINCT doc_id, chunk_id FROM t)),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term)
+"""
+
+
+def _idf_sql(df):
+    return (f"CAST(round(1000.0 * ln(CAST((SELECT n FROM total) + 1 AS DOUBLE) "
+            f"/ CAST(coalesce({df}, 0) + 1 AS DOUBLE))) AS BIGINT)")
 
 
-@_register("retrieve_benchmark")
+@_register("text_embeddings", _TERMS_SQL + f"""
+SELECT doc_id, chunk_id, source, term, weight FROM (
+  SELECT t.doc_id, chunk_id, d.source, term, CAST(tf * {_idf_sql('df')} AS BIGINT) AS weight
+  FROM t JOIN f USING (term) JOIN documents d ON t.doc_id = d.doc_id) WHERE weight > 0""")
+def q_text_embeddings(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return rt.embed_chunks(chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"]))
+
+
+@_register("retrieve_benchmark", _TERMS_SQL + f""",
+cw AS (SELECT doc_id || ':' || chunk_id AS chunk_key, doc_id, chunk_id, term, tf * {_idf_sql('df')} AS w
+       FROM t JOIN f USING (term)),
+qt AS (SELECT qid, term, count(*) AS tf FROM (
+         SELECT item_id AS qid, unnest(list_filter(regexp_split_to_array(text, '[ \\t\\n\\r\\f\\x0B]+'),
+                lambda x: x <> '')) AS term FROM benchmark) GROUP BY ALL),
+qw AS (SELECT qid, term, tf * {_idf_sql('df')} AS w FROM qt LEFT JOIN f USING (term)),
+cn AS (SELECT chunk_key, CAST(sum(CAST(w AS HUGEINT) * w) AS DOUBLE) AS c2 FROM cw GROUP BY 1),
+qn AS (SELECT qid, CAST(sum(CAST(w AS HUGEINT) * w) AS DOUBLE) AS q2 FROM qw GROUP BY 1),
+dots AS (SELECT qid, chunk_key, sum(cw.w * qw.w) AS dot FROM cw JOIN qw USING (term) GROUP BY ALL),
+allc AS (SELECT DISTINCT chunk_key, d.source FROM cw JOIN documents d ON cw.doc_id = d.doc_id),
+scored AS (SELECT q.item_id AS qid, allc.chunk_key, allc.source,
+    CAST(1 AS DOUBLE) - CASE WHEN coalesce(dot, 0) > 0 THEN CAST(dot AS DOUBLE) / (sqrt(c2) * sqrt(q2))
+                             ELSE CAST(0 AS DOUBLE) END AS distance
+  FROM benchmark q CROSS JOIN allc
+  LEFT JOIN dots ON dots.qid = q.item_id AND dots.chunk_key = allc.chunk_key
+  LEFT JOIN cn ON cn.chunk_key = allc.chunk_key LEFT JOIN qn ON qn.qid = q.item_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, chunk_key) AS rank FROM scored),
+top AS (SELECT * FROM r WHERE rank <= 3),
+s AS (SELECT qid, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM top GROUP BY qid)
+SELECT qid, chunk_key, rank, distance, source, sources FROM top JOIN s USING (qid)""")
 def q_retrieve(spark, sf):
-    """Benchmark items as questions against all document chunks: top 3 and sources."""
+    """Benchmark items as questions against the stored chunks: top 3 and sources."""
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     chunks = chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"])
-    model = rt.fit_text_embedder(chunks)
+    store = scratch_path(spark, "chunk-store")
+    rt.store_embeddings(spark, chunks, store)
     bench = spark.read.parquet(f"{sf}/benchmark.parquet").select(
         F.col("item_id").alias("qid"), "text")
-    hits = rt.retrieve(chunks, bench, model, k=3)
-    return hits.join(rt.sources_per_query(hits), "qid")
+    hits = rt.retrieve(rt.stored_counts(spark, store), bench, k=3)
+    return hits.join(rt.sources_per_query(hits), "qid").withColumn("rank", F.col("rank").cast("long"))
 
 
 # ---------------------------------------------------------------- readmission model
-# Rows-only: a random forest has no SQL twin. The model is trained once per
-# session and input folder, with the published parameters, and every row is
-# scored once into a predictions table (as the published job writes one);
-# the scores, the high-risk list and the all-rows statistics read that table.
+# A random forest has no SQL twin; ``readmission_score_cells`` states what SQL
+# can of the scores. The model is trained once per session and input folder,
+# with the published parameters, and every row is scored once into a
+# predictions table (as the published job writes one); the scores, the
+# high-risk list and the all-rows statistics read that table.
 _MODELS: dict = {}
 
 
 def _trained(spark, sf):
     from wardstar.plans.model import train_readmission
-    from wardstar.session import materialize
     key = (spark.sparkContext.applicationId, sf.rstrip("/"))
     if key not in _MODELS:
         s = inputs.encounter_star(spark, sf)
         feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
                               s["dim_diagnosis"])
         model, data, ev = train_readmission(feats)
-        preds = materialize(model.score(data), "predictions")
+        from wardstar.sources.sinks import write_table
+        path = scratch_path(spark, "predictions")
+        write_table(model.score(data), path)
+        preds = spark.read.parquet(path)
         _MODELS[key] = (model, data, ev, preds)
     return _MODELS[key]
 
@@ -759,6 +827,30 @@ def q_scores(spark, sf):
     return _trained(spark, sf)[3]
 
 
+@_register("readmission_score_cells", tw.with_star(
+    "SELECT label, split, n, n AS n_encounters, CAST(0 AS BIGINT) AS n_out_of_range, "
+    "CAST(0 AS BIGINT) AS n_wrong_flags, CAST(0 AS BIGINT) AS n_wrong_labels FROM cells WHERE n > 0",
+    "per_label AS (SELECT readmitted_30d AS label, count(*) AS n, "
+    "CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS t FROM fact_admission GROUP BY 1),\n"
+    "cells AS (SELECT label, 'test' AS split, t AS n FROM per_label "
+    "UNION ALL SELECT label, 'train', n - t FROM per_label)"))
+def q_score_cells(spark, sf):
+    """Per label and split: predictions, distinct encounters, and predictions
+    whose probability, flag or label is wrong (none)."""
+    model, _, _, preds = _trained(spark, sf)
+    fact = inputs.encounter_star(spark, sf)["fact_admission"].select(
+        "encounter_id", F.col("readmitted_30d").alias("label"))
+    p = F.col("predicted_readmit_probability")
+    flag = (p >= F.lit(model.threshold)).cast("int")
+    count = lambda c: F.count_if(F.coalesce(c, F.lit(True))).alias
+    return preds.join(fact, "encounter_id", "left").groupBy(
+        F.col("readmitted_30d").alias("label"), "split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("encounter_id").alias("n_encounters"),
+        count(~p.between(0, 1))("n_out_of_range"),
+        count(F.col("predicted_readmit_flag") != flag)("n_wrong_flags"),
+        count(F.col("readmitted_30d") != F.col("label"))("n_wrong_labels"))
+
+
 @_register("high_risk_list")
 def q_high_risk(spark, sf):
     from wardstar.plans.model import high_risk

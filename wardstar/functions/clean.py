@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Columns whose missing-value token is turned into NULL, and the columns that
-# then get the text "Unknown" (diagnosis codes stay NULL).
+# Columns whose missing-value token is turned into NULL, and the columns that
+# then get the text "Unknown" (diagnosis codes stay NULL); dispositions of
+# patients who died or went to a hospice.
 NULL_TOKEN_COLUMNS = ["race", "payer_code", "medical_specialty", "diag_1", "diag_2", "diag_3"]
 UNKNOWN_FILL = {"medical_specialty": "Unknown", "payer_code": "Unknown", "race": "Unknown"}
 EXCLUDED_DISPOSITIONS = [11, 19, 20, 21]
@@ -33,7 +34,3 @@ def exclude_values(df: DataFrame, col: str, values: Iterable = EXCLUDED_DISPOSIT
     """
     return df.filter(~F.col(col).isin(list(values)))
 
-
-def is_token(c: Column | str, token: str = "?") -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c == token

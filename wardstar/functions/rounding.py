@@ -2,7 +2,8 @@
 
 ``round(double, 2)`` depends on the binary value of the double (1.005 is stored
 below 1.005); doing the rounding in integer arithmetic gives the decimal
-answer, the one a database computes on exact numerics:
+answer, the one a database computes on exact numerics. Integer division and
+decimals keep it exact for every bigint:
 
     round(num / den, 2) = ((200 * num + den) div (2 * den)) / 100
 """
@@ -13,15 +14,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _int_div(a: Column, b: Column) -> Column:
-    """``a div b`` for a >= 0, b > 0; exact while values stay below 2**53."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+# Wide enough for every bigint; products below stay within 38 digits.
+_WHOLE = "decimal(19,0)"
 
 
 def _ratio_2dp(num: Column, den: Column, scale: int) -> Column:
-    den = F.nullif(den.cast("long"), F.lit(0).cast("long"))
-    top = F.lit(2 * scale).cast("long") * num.cast("long") + den
-    return _int_div(top, F.lit(2).cast("long") * den) / F.lit(100.0)
+    den = F.nullif(den.cast(_WHOLE), F.lit(0).cast(_WHOLE))
+    top = F.lit(2 * scale).cast("decimal(6,0)") * num.cast(_WHOLE) + den
+    return F.call_function("div", top, F.lit(2).cast("decimal(1,0)") * den) / F.lit(100.0)
 
 
 def exact_mean_2dp(total: Column, count: Column) -> Column:

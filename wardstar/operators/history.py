@@ -41,7 +41,14 @@ def scd2_merge(history: DataFrame | None, current: DataFrame, key: Sequence[str]
                      F.col(valid_from).alias("_h_from"), F.lit(True).alias("_h_present"))
     c = current.select(*keys, *[F.col(x).alias(f"_c_{x}") for x in value_cols],
                        F.lit(True).alias("_c_present"))
-    j = h.join(c, keys, "full_outer")
+    # NULL keys match each other: an unchanged row without a key is no new version
+    hk = h.withColumnsRenamed({k: f"_hk_{k}" for k in keys})
+    ck = c.withColumnsRenamed({k: f"_ck_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"_hk_{k}").eqNullSafe(F.col(f"_ck_{k}"))
+    j = hk.join(ck, on, "full_outer").withColumns(
+        {k: F.coalesce(f"_hk_{k}", f"_ck_{k}") for k in keys})
 
     same = F.lit(True)
     for col in check_cols:

@@ -81,7 +81,7 @@ def score_counts(df: DataFrame, y: str = "label", score: str = "score") -> DataF
 
 def _cumulated(df: DataFrame, y: str, score: str) -> DataFrame:
     """Per score: pos, neg, and positives / negatives with a strictly lower score."""
-    c = prefix_sums(score_counts(df, y, score), ["score"], ["pos", "neg"])
+    c = prefix_sums(score_counts(df, y, score), ["score"], ["pos", "neg"], total_suffix="_total")
     return c.withColumns({"pos_below": F.col("pos_cum") - F.col("pos"),
                           "neg_below": F.col("neg_cum") - F.col("neg")})
 
@@ -90,14 +90,21 @@ def roc_auc(df: DataFrame, y: str = "label", score: str = "score") -> DataFrame:
     """Exact ROC-AUC with ties counted half (the Mann-Whitney form).
 
     2 * sum(pos * neg_below) + sum(pos * neg) is an integer, so the result is
-    one division, independent of summation order.
+    one division, independent of summation order. Pairs are counted in
+    decimals: billions of rows of either class have more pairs than a bigint.
     """
-    c = _cumulated(df, y, score)
+    return auc_of_counts(_cumulated(df, y, score))
+
+
+def auc_of_counts(c: DataFrame) -> DataFrame:
+    """The ROC-AUC of (pos, neg, neg_below) per score."""
+    whole = "decimal(18,0)"
+    pos, neg, below = (F.col(x).cast(whole) for x in ("pos", "neg", "neg_below"))
     agg = c.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-                F.sum(F.col("pos") * F.col("neg_below") * 2 + F.col("pos") * F.col("neg"))
+                F.sum((pos * below * F.lit(2).cast("decimal(1,0)") + pos * neg).cast("decimal(38,0)"))
                 .alias("num2"))
-    den = F.col("n_pos") * F.col("n_neg") * 2
-    return agg.select(F.when(den > 0, F.col("num2") / den).alias("roc_auc"),
+    den = F.col("n_pos").cast("double") * F.col("n_neg").cast("double") * 2
+    return agg.select(F.when(den > 0, F.col("num2").cast("double") / den).alias("roc_auc"),
                       F.col("n_pos").cast("long").alias("n_pos"),
                       F.col("n_neg").cast("long").alias("n_neg"))
 
@@ -108,9 +115,8 @@ def pr_curve(df: DataFrame, y: str = "label", score: str = "score") -> DataFrame
     (threshold, tp, fp, precision, recall, f1) with f1 = 2pr / (p + r + 1e-9).
     """
     c = _cumulated(df, y, score)
-    # class totals as scalar subqueries (one aggregate row each), no join
-    n_pos = c.select(F.sum("pos")).scalar()
-    n_neg = c.select(F.sum("neg")).scalar()
+    # class totals come with the running totals, from the same small table
+    n_pos, n_neg = F.col("pos_total"), F.col("neg_total")
     tp = (n_pos - F.col("pos_below")).cast("long")
     fp = (n_neg - F.col("neg_below")).cast("long")
     out = c.select(F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),

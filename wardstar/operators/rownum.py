@@ -3,10 +3,9 @@
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY makes Spark move every
 row into one task. Here the rows are range-partitioned on the order key into
 ``n`` partitions and sorted inside each; ``monotonically_increasing_id`` then
-encodes (partition, position in partition). A per-partition count (at most
-``n`` rows, so broadcasting it is bounded by the partition count, not by the
-data) gives each partition its starting offset. One range shuffle, no driver
-round trip.
+encodes (partition, position in partition). A table of counts per partition
+(and group) gives each partition its starting offset; Spark broadcasts it by
+its written size. One range shuffle, no driver round trip.
 
 The count branch and the numbering branch must see the same partitions. Two
 evaluations of the same range shuffle need not agree: Catalyst prunes columns
@@ -58,9 +57,9 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number in ``order_cols`` order.
 
-    With ``partition_cols`` the numbering restarts per group; meant for groups
-    of low cardinality (classes, blocks): the offset table holds at most
-    (partitions + groups) rows. ``total_col`` adds the row count of the
+    With ``partition_cols`` the numbering restarts per group (rows with a NULL
+    group are one group): the offset table holds at most (partitions + groups)
+    rows. ``total_col`` adds the row count of the
     whole frame (or of the group) to every row, from the same offset table.
     """
     order = _cols(order_cols)
@@ -82,40 +81,50 @@ def global_row_number(df: DataFrame, order_cols: Sequence | str, out: str = "row
     # positions restart at the group's first position inside the partition
     counts = ranged.groupBy("_ws_pid", *gnames).agg(F.count(F.lit(1)).alias("_ws_cnt"),
                                                    F.min("_ws_pos").alias("_ws_first"))
-    # tiny table (<= partitions + groups rows): a global window over it is cheap
+    # one row per partition and group: a window over it is cheap
     before = Window.partitionBy(*gnames).orderBy("_ws_pid").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_ws_off", F.coalesce(F.sum("_ws_cnt").over(before), F.lit(0)))
     if total_col:
         offsets = offsets.withColumn(total_col, F.sum("_ws_cnt").over(Window.partitionBy(*gnames)))
-    offsets = offsets.drop("_ws_cnt")
-
-    joined = ranged.join(F.broadcast(offsets), on=["_ws_pid", *gnames], how="inner")
+    # written, so that the join below is chosen by the table's real size
+    offsets = materialize(offsets.drop("_ws_cnt").withColumnsRenamed(
+        {"_ws_pid": "_ws_opid", **{g: f"_ws_g{i}" for i, g in enumerate(gnames)}}), "offsets")
+
+    # a NULL group is a group: NULL keys match
+    same = F.col("_ws_pid") == F.col("_ws_opid")
+    for i, g in enumerate(gnames):
+        same = same & F.col(g).eqNullSafe(F.col(f"_ws_g{i}"))
+    joined = ranged.join(offsets, same, "inner")
     return (joined.withColumn(out, F.col("_ws_off") + F.col("_ws_pos") - F.col("_ws_first")
                               + F.lit(1))
-            .drop("_ws_pid", "_ws_pos", "_ws_off", "_ws_first"))
+            .drop("_ws_pid", "_ws_opid", "_ws_pos", "_ws_off", "_ws_first",
+                  *[f"_ws_g{i}" for i in range(len(gnames))]))
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence | str, sum_cols: Sequence[str],
-                suffix: str = "_cum", num_partitions: int | None = None) -> DataFrame:
+                suffix: str = "_cum", num_partitions: int | None = None,
+                total_suffix: str | None = None) -> DataFrame:
     """Running totals of ``sum_cols`` in ``order_cols`` order (inclusive).
 
-    Same offset scheme as ``global_row_number``: range partitions, a
-    per-partition total table (one row per partition, broadcast), and a
-    running sum inside each partition.
+    Same offset scheme as ``global_row_number``: range partitions, a written
+    table of totals (one row per partition), and a running sum inside each
+    partition. ``total_suffix`` adds the overall totals from that table.
     """
     order = _cols(order_cols)
     ranged = _by_range(df, num_partitions, order).withColumn("_ws_pid", F.spark_partition_id())
     ranged = materialize(ranged, "prefix")
     totals = ranged.groupBy("_ws_pid").agg(*[F.sum(c).alias(f"_ws_t_{c}") for c in sum_cols])
     before = Window.orderBy("_ws_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_ws_pid", *[
+    extra = [F.sum(f"_ws_t_{c}").over(Window.partitionBy()).alias(f"{c}{total_suffix}")
+             for c in sum_cols] if total_suffix else []
+    offsets = materialize(totals.select("_ws_pid", *[
         F.coalesce(F.sum(f"_ws_t_{c}").over(before), F.lit(0)).alias(f"_ws_o_{c}")
-        for c in sum_cols])
+        for c in sum_cols], *extra), "offsets")
     upto = Window.partitionBy("_ws_pid").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumns({f"_ws_l_{c}": F.sum(c).over(upto) for c in sum_cols})
-    out = local.join(F.broadcast(offsets), "_ws_pid")
+    out = local.join(offsets, "_ws_pid")
     out = out.withColumns({f"{c}{suffix}": F.col(f"_ws_o_{c}") + F.col(f"_ws_l_{c}")
                            for c in sum_cols})
     return out.drop("_ws_pid", *[f"_ws_l_{c}" for c in sum_cols],

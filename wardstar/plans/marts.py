@@ -49,6 +49,7 @@ def mart_by_diagnosis(fact: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
                             [("prior_visits_total", "avg_prior_visits")])
 
 
+# The model's input columns and their order.
 FEATURE_NUMERIC = ["los_days", "num_lab_procedures", "num_procedures", "num_medications",
                    "number_diagnoses", "prior_visits_total"]
 FEATURE_CATEGORICAL = ["readmit_risk_flag", "race", "gender", "age", "medical_specialty",
@@ -59,22 +60,16 @@ def star_features(fact: DataFrame, dim_patient: DataFrame, dim_department: DataF
                   dim_diagnosis: DataFrame) -> DataFrame:
     """Inner star join to the 13 features + target, keyed by encounter.
 
-    The patient dimension grows with the data: that join shuffles, on the
-    narrow fact projection, before any text column is added. Department and
-    diagnosis are bounded by code lists and are broadcast after a row-count
-    check, so the fact is not shuffled for them.
+    The dimensions are written tables, so Spark knows their sizes. The patient
+    dimension grows with the data: that join shuffles, on the narrow fact
+    projection, before any text column is added; small ones are broadcast.
     """
-    from .star import DIM_BROADCAST_MAX_ROWS, _checked_broadcast
     f = fact.select("encounter_id", "patient_key", "department_key", "diagnosis_key",
                     *FEATURE_NUMERIC, "readmit_risk_flag", "readmitted_30d")
     f = f.join(dim_patient.select("patient_key", "race", "gender", "age"), "patient_key")
-    dep = _checked_broadcast(dim_department.select("department_key", "medical_specialty"),
-                             DIM_BROADCAST_MAX_ROWS)
-    dia = _checked_broadcast(dim_diagnosis.select("diagnosis_key", "diag_1_group",
-                                                  "admission_type_desc"),
-                             DIM_BROADCAST_MAX_ROWS)
-    f = f.join(dep, "department_key")
-    f = f.join(dia, "diagnosis_key")
+    f = f.join(dim_department.select("department_key", "medical_specialty"), "department_key")
+    f = f.join(dim_diagnosis.select("diagnosis_key", "diag_1_group", "admission_type_desc"),
+               "diagnosis_key")
     return f.select("encounter_id", *FEATURE_NUMERIC, "readmit_risk_flag", "readmitted_30d",
                     "race", "gender", "age", "medical_specialty", "diag_1_group",
                     "admission_type_desc")

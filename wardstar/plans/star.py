@@ -22,12 +22,14 @@ from ..functions.codes import icd9_group, prior_visits, readmit_target, risk_tie
 from ..functions.dates import calendar_parts, date_key
 from ..operators.keys import first_by, with_surrogate_key
 from ..operators.rownum import global_row_number
+from ..session import materialize
 from ..sources.lookups import lookup
 
 # Start and span of the interpolated admission dates.
 DATE_START = "1999-01-01"
 DATE_SPAN_DAYS = 3650
 
+# The tables' columns, as published.
 LOOKUP_SPECS = [
     ("admission_type_id", "admission_type_desc"),
     ("discharge_disposition_id", "discharge_disposition_desc"),
@@ -49,35 +51,37 @@ def interpolate_dates(df: DataFrame, order_col: str = "encounter_id",
     """Spread rows evenly over ``span_days`` from ``start`` in ``order_col`` order.
 
     date = start + trunc(row_number / N * span) days; the last row lands on
-    exactly ``span_days``. Row numbers and N come from one range shuffle.
+    exactly ``span_days``. Only the order column is numbered (one narrow range
+    shuffle). Its days begin at span_days + 1 values at most; those go into the
+    plan as a sorted literal, in which each row finds its day by binary
+    search, so the wide rows are not shuffled. Rows of one order value share a
+    day; a NULL order value sorts first.
     """
-    numbered = global_row_number(df, [order_col], out="_ws_rn", total_col="_ws_total",
-                                 num_partitions=num_partitions)
+    numbered = global_row_number(df.select(order_col), [order_col], out="_ws_rn",
+                                 total_col="_ws_total", num_partitions=num_partitions)
     offset = ((F.col("_ws_rn") / F.col("_ws_total")) * F.lit(span_days)).cast("int")
-    return numbered.withColumn(out, F.date_add(F.to_date(F.lit(start)), offset)) \
-        .drop("_ws_rn", "_ws_total")
-
-
-# Code tables up to this many rows are broadcast to the encounter scan.
-LOOKUP_BROADCAST_MAX_ROWS = 200_000
-
-
-def decode(df: DataFrame, blocks: DataFrame, specs=LOOKUP_SPECS, fill: str = "Unknown",
-           broadcast_max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
+    begins = numbered.where(F.col(order_col).isNotNull()).groupBy(offset.alias("day")).agg(
+        F.min(order_col).alias("lo")).orderBy("day").collect()  # span_days + 1 rows at most
+    if not begins:
+        return df.withColumn(out, F.to_date(F.lit(start)))
+    kind = df.schema[order_col].dataType
+    lows = F.array(*[F.lit(r["lo"]).cast(kind) for r in begins])
+    days = F.array(*[F.lit(r["day"]) for r in begins])
+    steps = [1 << i for i in range(len(begins).bit_length())][::-1]
+    at = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda lo, step: F.when(
+        F.get(lows, lo + step) <= F.col(order_col), lo + step).otherwise(lo))
+    return df.withColumn(out, F.date_add(F.to_date(F.lit(start)), F.get(days, at)))
+
+
+def decode(df: DataFrame, blocks: DataFrame, specs=LOOKUP_SPECS, fill: str = "Unknown") -> DataFrame:
     """Left-join each lookup block on its id; no match gives ``fill``.
 
-    The blocks are counted first (one small job over the code file). A block
-    within ``broadcast_max_rows`` is broadcast, so the encounter rows are not
-    shuffled at all; a larger one falls back to a shuffle join.
+    A block has one row per id (see ``lookup``), so no row is multiplied. Each
+    is written first: Spark then broadcasts it, or not, by its real size.
     """
-    from ..session import materialize
-    blocks = materialize(blocks, "lookups")  # parsed once, read by three joins
-    sizes = {r["block"]: r["n"] for r in
-             blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()}
+    blocks = materialize(blocks, "lookups")  # parsed once, read by three lookups
     for id_col, desc_col in specs:
-        table = lookup(blocks, id_col, id_col, desc_col)
-        if sizes.get(id_col, 0) <= broadcast_max_rows:
-            table = F.broadcast(table)
+        table = materialize(lookup(blocks, id_col, id_col, desc_col), id_col)
         df = df.join(table, on=id_col, how="left")
     return df.fillna({desc: fill for _, desc in specs})
 
@@ -137,33 +141,19 @@ def dim_date(clean: DataFrame) -> DataFrame:
         "full_date", "date_key", "year", "month", "day", "quarter", "day_of_week")
 
 
-# Dimensions up to this many rows are broadcast into the fact join.
-DIM_BROADCAST_MAX_ROWS = 1_000_000
-
-
-def _checked_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``dim`` only if it has at most ``max_rows`` rows (counted;
-    dimensions here are backed by checkpoint files, so this is cheap)."""
-    return F.broadcast(dim) if dim.count() <= max_rows else dim
-
-
 def fact_admission(clean: DataFrame, patients: DataFrame, departments: DataFrame,
-                   diagnoses: DataFrame, broadcast_max_rows: int = DIM_BROADCAST_MAX_ROWS
-                   ) -> DataFrame:
+                   diagnoses: DataFrame) -> DataFrame:
     """The 16-column fact, one row per cleaned encounter.
 
-    The patient dimension grows with the data, so that join shuffles on
-    ``patient_nbr`` (AQE splits a hot patient, or broadcasts a small
-    dimension at runtime). Department and diagnosis are bounded by code lists;
-    they are broadcast after a row-count check, else shuffle-joined.
+    The dimensions are read from their written tables, so Spark knows their
+    sizes: the small ones are broadcast, the patient dimension, which grows with
+    the data, is joined by a shuffle on ``patient_nbr`` (AQE splits a hot
+    patient).
     """
-    dep = _checked_broadcast(departments.select("medical_specialty", "department_key"),
-                             broadcast_max_rows)
-    dia = _checked_broadcast(diagnoses.select(*DIAGNOSIS_COLS, "diagnosis_key"),
-                             broadcast_max_rows)
     fact = clean.join(patients.select("patient_nbr", "patient_key"), "patient_nbr", "left")
-    fact = fact.join(dep, "medical_specialty", "left")
-    fact = fact.join(dia, DIAGNOSIS_COLS, "left")
+    fact = fact.join(departments.select("medical_specialty", "department_key"),
+                     "medical_specialty", "left")
+    fact = fact.join(diagnoses.select(*DIAGNOSIS_COLS, "diagnosis_key"), DIAGNOSIS_COLS, "left")
     fact = fact.withColumns({
         "date_key": date_key("admission_date"),
         "admission_year": F.year("admission_date"),
@@ -173,17 +163,15 @@ def fact_admission(clean: DataFrame, patients: DataFrame, departments: DataFrame
 
 
 def star_tables(clean: DataFrame, num_partitions: int | None = None) -> dict[str, DataFrame]:
-    """Lazy star: dims and fact from one cleaned frame."""
-    p = dim_patient(clean, num_partitions)
-    dep = dim_department(clean, num_partitions)
-    dia = dim_diagnosis(clean, num_partitions)
-    return {
-        "dim_patient": p,
-        "dim_department": dep,
-        "dim_diagnosis": dia,
+    """Dims (written to the checkpoint folder) and the fact from one cleaned frame."""
+    dims = {
+        "dim_patient": materialize(dim_patient(clean, num_partitions), "dim_patient"),
+        "dim_department": materialize(dim_department(clean, num_partitions), "dim_department"),
+        "dim_diagnosis": materialize(dim_diagnosis(clean, num_partitions), "dim_diagnosis"),
         "dim_date": dim_date(clean),
-        "fact_admission": fact_admission(clean, p, dep, dia),
     }
+    return {**dims, "fact_admission": fact_admission(
+        clean, dims["dim_patient"], dims["dim_department"], dims["dim_diagnosis"])}
 
 
 def build_star(raw: DataFrame, blocks: DataFrame, out_dir: str,
@@ -191,14 +179,14 @@ def build_star(raw: DataFrame, blocks: DataFrame, out_dir: str,
     """Clean, write the dims, then the fact partitioned by year and month.
 
     Returns row counts, with a fan-out guard: the fact must have one row per
-    cleaned encounter.
+    raw encounter that the disposition filter keeps, counted before any join.
     """
     from ..sources.sinks import write_star
 
-    from ..session import materialize
-
     spark = raw.sparkSession
-    clean = materialize(clean_encounters(raw, blocks, num_partitions=num_partitions), "clean")
+    out_dir = out_dir.rstrip("/")
+    write_star({"clean": clean_encounters(raw, blocks, num_partitions=num_partitions)}, out_dir)
+    clean = spark.read.parquet(f"{out_dir}/clean")
     dims = {
         "dim_patient": dim_patient(clean, num_partitions),
         "dim_department": dim_department(clean, num_partitions),
@@ -213,5 +201,12 @@ def build_star(raw: DataFrame, blocks: DataFrame, out_dir: str,
     counts = {k: spark.read.parquet(f"{out_dir}/{k}").count()
               for k in ["fact_admission", *dims]}
     counts["clean"] = clean.count()
-    counts["fanout_ok"] = int(counts["fact_admission"] == counts["clean"])
+    counts["expected"] = kept_encounters(raw).count()
+    counts["fanout_ok"] = int(counts["fact_admission"] == counts["clean"] == counts["expected"])
     return counts
+
+
+def kept_encounters(raw: DataFrame) -> DataFrame:
+    """Raw encounters that are not excluded, before any lookup is joined."""
+    return exclude_values(raw.select("discharge_disposition_id"), "discharge_disposition_id",
+                          EXCLUDED_DISPOSITIONS)

@@ -62,10 +62,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/wardstar-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/wardstar-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder below this application's part of the shared
+    checkpoint folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove what this application has materialised so far. Frames that read
+    it cannot be evaluated again; call it when a run's results are written."""
+    from .sources.paths import remove
+    remove(spark, _scratch_root(spark))
 
 
 def materialize(df, name: str):
@@ -78,9 +89,5 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize",
-           "DEFAULT_CONF", "local_path"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize", "release_scratch",
+           "DEFAULT_CONF"]

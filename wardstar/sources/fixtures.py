@@ -8,7 +8,7 @@ oracle; only integer division is spelled differently (``DIV`` / ``//``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -79,7 +79,13 @@ LOOKUP_SQL = {
         "CONCAT(n_name, ', region ', CAST(n_regionkey AS STRING)) AS description "
         "FROM nation WHERE n_regionkey <> 2",
 }
-LOOKUP_BLOCKS = list(LOOKUP_SQL)
+# Odd lines at the end of every block: text, then the id and description that a
+# reader must see.
+LOOKUP_ODD_LINES = [
+    ('901,"He said ""go"" now, ok"', "901", 'He said "go" now, ok'),
+    ('902\t,\tTabs around\t', "902", "Tabs around"),
+    ('1,Listed twice', "1", "Listed twice"),
+]
 
 
 def lookup_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -100,39 +106,47 @@ def lookup_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _literal_lines(spark: SparkSession, rows) -> DataFrame:
-    """A few fixed (line_no, value) rows as a JVM-side literal table."""
-    structs = [F.struct(F.lit(n).cast("long").alias("line_no"), F.lit(v).alias("value"))
-               for n, v in rows]
+    """A few fixed (place, value) rows as a JVM-side literal table."""
+    structs = [F.struct(_place(*at).alias("place"), F.lit(v).alias("value")) for at, v in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def _place(block: int, part: int, at) -> Column:
+    """Where a line stands: block, then header (0), rows (1) or end (2), then id."""
+    at = at if isinstance(at, Column) else F.lit(at)
+    return F.struct(F.lit(block).alias("block"), F.lit(part).alias("part"),
+                    at.cast("long").alias("at"))
+
+
 def stacked_lookup_lines(spark: SparkSession, sf_dir: str,
                          file_name: str = "ids_mapping.csv") -> DataFrame:
     """Write the lookups as one stacked CSV text, as lines (file, line_no, value).
 
     Each block: a header ``<block>,description``, CSV rows (quoted where
-    needed, some descriptions with a leading blank), a non-numeric id row and
-    a separator line ``,``. One line sits before any header and one is blank;
-    both must be ignored by the parser.
+    needed, some descriptions with a leading blank), a non-numeric id row, a row
+    with doubled quotes, a row with tabs, a repeated id that must lose against
+    the first, and a separator line ``,``. One line sits before any header and
+    one is blank; both must be ignored by the parser.
     """
-    parts = []
+    parts = [_literal_lines(spark, [((-1, 0, 0), "orphan,row before any header"), ((-1, 0, 1), "")])]
     for b, (name, tbl) in enumerate(lookup_tables(spark, sf_dir).items()):
-        base = b * 1_000_000 + 10
         desc = F.when(F.col("id") % 2 == 1, F.concat(F.lit(" "), F.col("description"))) \
             .otherwise(F.col("description"))
         parts.append(tbl.select(
-            (F.lit(base + 1) + F.col("id")).cast("long").alias("line_no"),
+            _place(b, 1, F.col("id")).alias("place"),
             F.to_csv(F.struct(F.col("id").cast("string").alias("id"), desc.alias("d")))
             .alias("value")))
-        fixed = [(base, f"{name},description"), (base + 1, "n/a,Not a code"),
-                 (base + 999_000, ",")]
-        parts.append(_literal_lines(spark, fixed))
-    parts.append(_literal_lines(spark, [(0, "orphan,row before any header"), (1, "")]))
+        parts.append(_literal_lines(spark, [
+            ((b, 0, 0), f"{name},description"), ((b, 0, 1), "n/a,Not a code"),
+            *(((b, 2, i), line) for i, (line, _, _) in enumerate(LOOKUP_ODD_LINES)),
+            ((b, 3, 0), ",")]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     # a code file is a handful of lines: keep it in one partition
-    return out.coalesce(1).withColumn("file", F.lit(file_name)).select("file", "line_no", "value")
+    lines = out.coalesce(1).withColumn("line_no", F.row_number().over(
+        Window.partitionBy(F.lit(1)).orderBy("place")).cast("long"))
+    return lines.withColumn("file", F.lit(file_name)).select("file", "line_no", "value")
 
 
 def vitals_message_exprs() -> dict[str, str]:

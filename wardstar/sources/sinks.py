@@ -42,16 +42,14 @@ def publish_jdbc(df: DataFrame, url: str, table: str, properties: dict | None =
 def publish_all(tables: dict[str, DataFrame], sink) -> dict[str, int]:
     """Publish each table with ``sink(name, df)``; returns rows per table.
 
-    The count is gathered by ``observe`` during the write, so the table is
-    read once.
+    Curated tables are Parquet: their count is a sum over file footers, not a
+    second scan. (An ``Observation`` would count during the write, but leaves
+    an object in the session that later model fits cannot serialise.)
     """
-    from pyspark.sql import Observation
-
     counts = {}
     for name, df in tables.items():
-        obs = Observation(f"publish_{name}")
-        sink(name, df.observe(obs, F.count(F.lit(1)).alias("rows")))
-        counts[name] = int(obs.get["rows"])
+        sink(name, df)
+        counts[name] = df.count()
     return counts
 
 

@@ -8,13 +8,14 @@ number of source partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.vitals import alert_flag, alert_reason
 
+# The message and alert layouts.
 VITALS_SCHEMA = T.StructType([
     T.StructField("encounter_id", T.LongType()),
     T.StructField("patient_nbr", T.LongType()),
@@ -57,12 +58,23 @@ def parse_vitals(raw: DataFrame, value_col: str = "value") -> DataFrame:
     flat = parsed.select(*[F.col(f"d.{f.name}").alias(f.name) for f in VITALS_SCHEMA.fields],
                          F.col(f"d.{_CORRUPT}").isNotNull().alias("is_malformed"))
     return flat.withColumns({
-        "event_time": F.col("timestamp").try_cast("timestamp_ntz"),
+        "event_time": event_time("timestamp"),
         "alert_flag": alert_flag("heart_rate", "spo2"),
         "alert_reason": alert_reason("heart_rate", "spo2"),
     })
 
 
+def event_time(text: str) -> Column:
+    """Time text as UTC wall-clock time. Text with an offset (``+07:00``, ``Z``)
+    is an instant and is moved to UTC; text without one is taken as UTC."""
+    c = F.col(text)
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                 c.try_cast("timestamp").cast("timestamp_ntz"))
+    has_offset = c.rlike(r"[0-9](Z|[+-][0-9]{1,2}(:?[0-9]{2})?|\s*(UTC|GMT)([+-]\S+)?)\s*$") & \
+        c.rlike(r"[T ][0-9]{1,2}:")
+    return F.when(has_offset, instant).otherwise(c.try_cast("timestamp_ntz"))
+
+
 def alerts(parsed: DataFrame) -> DataFrame:
     """Alert rows only; a NULL flag (missing reading, no other breach) is dropped."""
     return parsed.filter(F.col("alert_flag")).select(*ALERT_COLS)
