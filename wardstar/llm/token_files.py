@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import json
 import posixpath
+import re
 import uuid
 import zlib
 
@@ -40,22 +41,28 @@ from pyspark.sql import types as T
 from wardstar.session import scratch_path
 
 from .common import quoted, slices
-
-# A worker forgets its encoded chunks beyond this many.
-CACHE_CHUNKS = 400_000
-
+from .pieces import PieceTable
+
+# A worker forgets its encoded pieces beyond this many.
+CACHE_PIECES = 600_000
+# Pieces given to the library as one text.
+JOINED = 2_000
+# White space other than blanks and line ends; runs of those two.
+OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+RUNS = ("  ", " \n", "\n ", "\n\n")
 _ENCODERS: dict[tuple, "ChunkEncoder"] = {}
 
 
 class ChunkEncoder:
-    """Byte-level BPE ids of whole texts, as bytes, by the tokenizers library.
-
-    A pre-token never reaches over the step from a non-space to a space, so
-    a text is cut before each single space between two non-spaces and equal
-    chunks (`` word``) are encoded once. The new chunks of a batch go to the
-    library as one text; its ids are dealt back by their byte lengths. A text
-    with a special token's string, or one that does not start the plain way,
-    is given to the library whole.
+    """Byte-level BPE ids of whole texts by the tokenizers library.
+
+    A pre-token never reaches over the step from a non-space to a space, nor
+    from a letter to a comma or full stop. Texts are cut before single blanks
+    and line ends, and equal pieces are encoded once: a piece without its last
+    comma or full stop is looked up again, and only new words go to the
+    library, many as one text; its ids are dealt back by their byte lengths. A
+    text with a special token's string or with other white space is given to
+    the library whole.
     """
 
     def __init__(self, path: str):
@@ -74,56 +81,53 @@ class ChunkEncoder:
         self.n_bytes = np.zeros(top + 1, np.int64)
         for token, i in spec["model"]["vocab"].items():
             self.n_bytes[i] = len(token)
-        self.cache: dict[str, bytes] = {}
+        self.marks = {m: self._ids([m])[0] for m in ",."}
+        self.words = PieceTable(self._learn_words, self.dtype, CACHE_PIECES)
+        self.table = PieceTable(self._learn, self.dtype, CACHE_PIECES)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pack(self, ids) -> bytes:
-        return np.asarray(ids, self.dtype).tobytes()
-
-    def _learn(self, chunks: list[str]) -> None:
-        for lo in range(0, len(chunks), 50_000):
-            part = chunks[lo:lo + 50_000]
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new pieces: those of the word, then of a mark after a letter."""
+        if len(self.words) > self.words.limit:
+            self.words.clear()
+        marks = [self.marks.get(p[-1], ()) if p[-2:-1].isalpha() else () for p in pieces]
+        ids, sizes = self.words.lookup([p[:-1] if m else p for p, m in zip(pieces, marks)], len(pieces))
+        extra = np.fromiter(map(len, marks), np.int64, len(marks))
+        ends = np.repeat(np.cumsum(sizes), extra)
+        flat = np.insert(ids, ends, [i for m in marks for i in m])
+        return flat, sizes + extra
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words begin with a line end or get the blank they stand after, so
+        that put side by side they don't touch."""
+        flat, sizes = [], []
+        for lo in range(0, len(words), JOINED):
+            part = [w if w[0] == "\n" else " " + w for w in words[lo:lo + JOINED]]
             ids = np.asarray(self._ids(["".join(part)])[0], np.int64)
-            ends = np.cumsum([len(c.encode("utf-8")) for c in part])
-            at = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
-            raw, width, start = ids.astype(self.dtype).tobytes(), self.dtype.itemsize, 0
-            for c, end in zip(part, (at * width).tolist()):
-                self.cache[c] = raw[start:end]
-                start = end
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        cut: list[list[str] | None] = []
-        whole: list[str] = []
-        new: set[str] = set()
-        for text in texts:
-            if not text:
-                cut.append([])
-                continue
-            pieces = text.split(" ")
-            # an empty piece, or one that begins or ends with white space, means a
-            # run of white space; the library sees such a text whole
-            if any(s in text for s in self.specials) or not all(
-                    p and not p[0].isspace() and not p[-1].isspace() for p in pieces):
-                cut.append(None)
-                whole.append(text)
-                continue
-            first = pieces[0]
-            pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else \
-                [first, *(" " + p for p in pieces[1:])]
-            cut.append(pieces)
-            new.update(pieces)
-        new.difference_update(self.cache)
-        lead = [c for c in new if c[0] != " "]
-        for c, ids in zip(lead, self._ids(lead)):
-            self.cache[c] = self._pack(ids)
-        self._learn([c for c in new if c[0] == " "])
-        rest = iter(self._ids(whole))
-        get = self.cache.__getitem__
-        return [self._pack(next(rest)) if p is None else b"".join(map(get, p)) for p in cut]
+            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]),
+                                   np.cumsum([len(w.encode("utf-8")) for w in part]), "right")
+            flat.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """The pieces of a text, or None if it must be encoded whole. A piece is
+        a word after a blank, without it, or a word with the line end before
+        it. A text's first word, which has neither, is one after a line end;
+        ``encode`` takes that line end off again."""
+        if text[0] in " \n" or text[-1] in " \n" or OTHER_SPACE(text) or any(
+                x in text for x in RUNS) or any(x in text for x in self.specials):
+            return None
+        return ("\n" + text).replace("\n", " \n").split(" ")[1:]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        cut = [self._pieces(t) if t else [] for t in texts]
+        whole = iter(self._ids([t for t, p in zip(texts, cut) if p is None]))
+        found = self.table.encode([p or [] for p in cut])
+        return [np.asarray(next(whole), self.dtype) if p is None else f[1:]
+                for p, f in zip(cut, found)]
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -186,9 +190,9 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int | None = 0,
                 if ids_out is None:
                     ids_out = fs.open_output_stream(temp + ".ids")
                 for raw in enc.encode(texts[lo:hi]):
-                    ids_out.write(raw)
+                    ids_out.write(raw.tobytes())
                     ids_out.write(end)
-                    lengths.append((len(raw) + len(end)) // width)
+                    lengths.append(len(raw) + len(end) // width)
         if ids_out is None:
             return
         ids_out.close()
