@@ -71,9 +71,8 @@ URL_RULES = [url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled table: urls that a rule decides, 4096 at most."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    labelled = url_filter.apply_rules(pages.withColumn("u", F.col("url")), URL_RULES) \
-        .where("rule is not null").select(F.col("u").alias("url"),
-                                          (F.col("rule_verdict") == "block").cast("int").alias("label"))
+    labelled = url_filter.apply_rules(pages, URL_RULES).where("rule is not null").select(
+        "url", (F.col("rule_verdict") == "block").cast("int").alias("label"))
     classifier = url_filter.fit(labelled, max_fit_rows=4_096)
     return url_filter.judge_urls(pages, URL_RULES, classifier).select(
         "page_id", "host", "path", "rule", "verdict", "block_probability")

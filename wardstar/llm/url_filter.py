@@ -127,8 +127,7 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label",
 
 def judge_urls(df: DataFrame, rules: list[Rule], classifier: UrlClassifier, url_col: str = "url",
                threshold: float = 0.5) -> DataFrame:
-    """Input columns (without the url) with host, path, rule, verdict and
-    block_probability."""
+    """Input columns with host, path, rule, verdict and block_probability."""
     ruled = apply_rules(df, rules, url_col)
     p = F.col("block_probability")
     return classifier.block_probability(ruled).withColumn(
