@@ -27,8 +27,31 @@ def test_knn_matches_brute_force(spark):
                                    "vec_id long, embedding array<float>").repartition(5)
     queries = spark.createDataFrame([(j, q[j].tolist()) for j in range(4)],
                                     "qid int, embedding array<double>")
-    got = knn(corpus, queries, k=5, max_queries=3).orderBy("qid", "rank").collect()
+    got = knn(corpus, queries, k=5, query_rows=3, corpus_rows=70).orderBy("qid", "rank").collect()
     for j in range(4):
         d = ((pts.astype(np.float64) - q[j]) ** 2).sum(axis=1)
         want = list(np.lexsort((np.arange(300), d))[:5])
         assert [r.vec_id for r in got if r.qid == j] == want
+
+
+def test_null_vectors_and_null_payload(spark):
+    big = 2 ** 53 + 1
+    corpus = spark.createDataFrame([(1, [1.0, 0.0], big), (2, None, 5), (3, [0.0, 1.0], None)],
+                                   "vec_id long, embedding array<float>, n long")
+    queries = spark.createDataFrame([("a", [1.0, 0.0]), ("b", None)], "qid string, embedding array<double>")
+    got = knn(corpus, queries, k=5, payload_cols=["n"]).orderBy("rank").collect()
+    assert [(r.qid, r.vec_id, r.n) for r in got] == [("a", 1, big), ("a", 3, None)]
+
+
+def test_empty_sides(spark):
+    corpus = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([("a", [1.0])], "qid string, embedding array<double>")
+    assert knn(corpus, queries.limit(0)).count() == 0
+    assert knn(corpus.limit(0), queries).count() == 0
+
+
+def test_centroids_match_mean(spark):
+    from wardstar.operators.knn import centroids
+    rows = [("a", [1.0, 3.0]), ("a", [3.0, 5.0]), ("a", None), ("b", [0.5, 0.25])]
+    df = spark.createDataFrame(rows, "g string, embedding array<float>")
+    assert {r.g: r.embedding for r in centroids(df, "g").collect()} == {"a": [2.0, 4.0], "b": [0.5, 0.25]}

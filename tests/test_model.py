@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from wardstar.plans import inputs
 from wardstar.plans.marts import star_features
-from wardstar.plans.model import ForestParams, high_risk, train_readmission
+from wardstar.plans.model import ForestParams, ReadmissionModel, high_risk, train_readmission
 
 
 def test_model_mechanics_small_forest(spark, tmp_dir):
@@ -27,14 +27,22 @@ def test_model_mechanics_small_forest(spark, tmp_dir):
     assert len(top) == 10 and top[0].importance >= top[-1].importance
     assert high_risk(preds, 5).count() == 5
     assert ev["roc_auc"].first().n_pos > 0
-    model.save(f"{tmp_dir}/model")
+    model.save(spark, f"{tmp_dir}/model")
+    again = ReadmissionModel.load(spark, f"{tmp_dir}/model")
+    assert (again.threshold, again.params, again.feature_names) == (model.threshold, model.params, model.feature_names)
+    assert again.score(data).exceptAll(preds).isEmpty()
+    assert again.feature_importance(spark, 10).collect() == top
 
 
 def test_threshold_out_of_fold(spark):
     s = inputs.encounter_star(spark, SF_SMALL)
     feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
                           s["dim_diagnosis"])
-    p = ForestParams(num_trees=5, max_depth=3, folds=3, threshold_on="oof")
+    # publishing first leaves nothing in the session that a fit cannot serialise
+    from wardstar.sources.sinks import publish_all
+    got = publish_all({"t": spark.range(5)}, lambda name, d: d.write.format("noop").mode("overwrite").save())
+    assert got == {"t": 5}
+    p = ForestParams(num_trees=5, max_depth=3, folds=3, max_fit_rows=900)
     model, data, ev = train_readmission(feats, p)
     assert 0.0 < model.threshold < 1.0
     # evaluation stays on the untouched test split
