@@ -258,7 +258,10 @@ def secret(s: str, key: bytes, undo: bool) -> str | None:
 # Fixed patterns; the named group is the value. Order breaks ties.
 _EDGE, _STOP = r"(?<![\w.+-])", r"(?![\w])(?!\.[0-9])"
 FINDERS: list[tuple[str, str, Callable]] = [
-    ("card", rf"{_EDGE}(?P<v>[0-9](?:[ -]?[0-9]){{12,18}}){_STOP}", card),
+    ("card", rf"{_EDGE}(?P<v>[0-9]{{13,19}}){_STOP}", card),
+    # in groups, with no further digits before or after
+    ("card", rf"{_EDGE}(?<![0-9] )(?P<v>[0-9]{{4}}(?P<c>[ -])[0-9]{{4}}(?P=c)[0-9]{{4}}(?P=c)[0-9]{{1,4}}"
+             rf"|[0-9]{{4}}(?P<a>[ -])[0-9]{{6}}(?P=a)[0-9]{{5}})(?![ -][0-9]){_STOP}", card),
     ("iban", rf"{_EDGE}(?P<v>[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}){_STOP}", iban),
     ("ssn", rf"{_EDGE}(?P<v>[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}){_STOP}", ssn),
     ("phone", r"(?<![\w.-])(?P<v>(?:\+[0-9]{1,3}[ .-]?|1[ .-])?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}"

@@ -40,11 +40,13 @@ from pyspark.sql import types as T
 
 from wardstar.session import scratch_path
 
-from .common import quoted, slices
+from .common import bound_batches, quoted, slices
 from .pieces import PieceTable
 
 # A worker forgets its encoded pieces beyond this many.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 300_000
+# Characters of text cut into pieces at a time.
+SLICE_CHARS = 3 << 20
 # Pieces given to the library as one text.
 JOINED = 2_000
 # White space other than blanks and line ends; runs of those two.
@@ -169,6 +171,7 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int | None = 0,
     folder = (folder or scratch_path(spark, "token-files")).rstrip("/")
     src = df.select(F.col(quoted(id_col)).alias("id"),
                     F.col(quoted(text_col)).cast("string").alias("text"))
+    bound_batches(spark)
     ranged = src.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def write(batches):
@@ -186,7 +189,7 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int | None = 0,
         for batch in batches:
             texts = batch.column(1).to_pylist()
             docs.append(batch.column(0))
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE_CHARS):
                 if ids_out is None:
                     ids_out = fs.open_output_stream(temp + ".ids")
                 for raw in enc.encode(texts[lo:hi]):
