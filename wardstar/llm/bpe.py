@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ from pyspark.sql import types as T
 from .common import add_text_columns, others, quoted
 from .pieces import PieceTable
 
-# A worker forgets its encoded chunks beyond this many.
+# A worker forgets its encoded chunks and words beyond so many.
 CACHE_CHUNKS = 300_000
+CACHE_WORDS = 800_000
 # Longer words are merged with a heap.
 LONG_WORD = 200
 # Characters up to this one have had the same Unicode classes for long; words
@@ -43,7 +45,10 @@ LONG_WORD = 200
 PLAIN = "\u024f"
 # About so many ids are decoded to one Arrow batch.
 DECODE_IDS = 1 << 20
+SPECIAL = "\0"
 EMPTY = np.empty(0, np.int32)
+# Its lower case is two characters, the second no letter.
+DOTTED = "\u0130"
 # Words verified together.
 BLOCK_WORDS = 50_000
 # Fixed value: the byte-level pre-tokenizer's own pattern.
@@ -96,9 +101,10 @@ class Codec:
         self.to_byte = {c: b for b, c in chars.items()}
         self.longest = max(map(len, self.vocab))
         self.self_ok = np.zeros(size, np.int8)  # 1: encodes to itself, -1: does not
-        self.has_rare = regex.compile(f"[^\0-{PLAIN}]").search
+        self.has_rare = regex.compile(f"[^\0-{PLAIN}]|{DOTTED}").search
         self.library = Tokenizer.from_file(path)  # its normalizer and pre-tokenizer
         self.table = PieceTable(self._learn, np.dtype("<u4"), CACHE_CHUNKS)
+        self.word_table = PieceTable(self._learn_words, np.dtype("<u4"), CACHE_WORDS)
         self.n_words = self.n_exact = 0
 
     def _read_merges(self, merges: Sequence[Sequence[str]]) -> None:
@@ -285,22 +291,32 @@ class Codec:
         return out
 
     # ------------------------------------------------------------ texts
+    def _words_of(self, chunk: str) -> list[str]:
+        """The words of a chunk as byte characters; a special token is a word
+        of its own, marked by a character that is no byte character."""
+        core, mark = (chunk[:-1], chunk[-1:]) if chunk[-1] in ",." else (chunk, "")
+        if self.drops_rest and core.isalpha() and (core.isascii() or not self.has_rare(core)):
+            word = self._symbols(core.lower() if self.normalizes else core)
+            return [word, mark] if mark else [word]
+        parts = [chunk] if self.cut_special is None else self.cut_special.split(chunk)
+        return [w for p in parts if p for w in ([SPECIAL + p] if p in self.special else self._cut(p))]
+
     def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Encode new chunks: their words, each distinct word once."""
-        cut, number = [], {}
-        for c in chunks:
-            parts = [c] if self.cut_special is None else self.cut_special.split(c)
-            row: list = []
-            for p in parts:
-                if p in self.special:
-                    row.append(-1 - self.special[p])
-                elif p:
-                    row += [number.setdefault(w, len(number)) for w in self._cut(p)]
-            cut.append(row)
-        ids = self.encode_words(list(number))
-        rows = [[t for k in row for t in (ids[k] if k >= 0 else [-1 - k])] for row in cut]
+        """Ids of new chunks, by way of their words."""
+        if len(self.word_table) > self.word_table.limit:
+            self.word_table.clear()
+        words = [self._words_of(c) for c in chunks]
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        ids, sizes = self.word_table.lookup(chain.from_iterable(words), int(n.sum()))
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[np.cumsum(n)]
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        special = [w[0] == SPECIAL for w in words]
+        found = iter(self.encode_words([w for w, s in zip(words, special) if not s]))
+        rows = [[self.special[w[1:]]] if s else next(found) for w, s in zip(words, special)]
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        return np.fromiter((t for r in rows for t in r), np.uint32, int(sizes.sum())), sizes
+        return np.fromiter(chain.from_iterable(rows), np.uint32, int(sizes.sum())), sizes
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
@@ -308,9 +324,14 @@ class Codec:
 
     def _chunks(self, text: str) -> list[str]:
         """Parts that no word reaches over. If white space is dropped, a text
-        is cut at blanks and line ends; else it stays whole."""
+        is cut at blanks and line ends; else it stays whole. Where lower case
+        can make no special token, it is made first: fewer chunks differ."""
         if not self.drops_rest:
             return [text]
+        if self.normalizes and (text.isascii() or not self.has_rare(text)):
+            low = text.lower()
+            if not any(s.lower() in low for s in self.special):
+                text = low
         return [c for c in text.replace("\n", " ").split(" ") if c]
 
     def decode(self, ids: Sequence[int]) -> str:
