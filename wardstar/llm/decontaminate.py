@@ -6,14 +6,16 @@ of an item; an item of fewer words, but not none, is one window. A document
 contains a window if the window's words stand in it one after another.
 
 1. Tokens of the join are shingles of ``shingle`` words (of all words where a
-   window has fewer). A document offers the hash of its shingle at every
-   position; those that no window has end there.
+   window has fewer). A document offers its shingle at every position; those
+   that no window has end there, the others are written as spots.
 2. Rarity: a shingle's count over all documents. Containment is complete, so
    of a window's shingles ordered by rarity the necessary prefix is the first,
    and a window with a shingle that no document has is dropped at once.
 3. Length and position: where the rarest shingle was found, the window must
    fit into the document.
-4. Candidates are verified word by word against the window.
+4. Candidates are verified exactly: every shingle of the window must stand at
+   its place. Shingles are compared as text, so their words are, one by one;
+   the documents are not read again.
 
 Rows are told apart by a hash of the text, so equal texts are searched like
 one and results go back to every copy; ids play no part in the join.
@@ -53,12 +55,15 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> D
         .select("item_id", F.slice("w", F.col("i"), F.lit(window)).alias("words")).distinct()
 
 
-def _shingles(length: Column, sizes: list[int]) -> Column:
-    """Hashes of the shingles that start at 0-based position ``p`` of array
-    ``w``; a hash covers the size, so sizes never meet."""
-    one = [F.when(F.col("p") + k <= length,
-                  F.xxhash64(*[F.get("w", F.col("p") + i) for i in range(k)], F.lit(k)))
-           for k in sizes]
+def _shingle(k: int) -> Column:
+    """The ``k`` words of array ``w`` from 0-based position ``p``. Words hold no
+    blank, so different word lists never give one text."""
+    return F.concat_ws(" ", *[F.get("w", F.col("p") + i) for i in range(k)])
+
+
+def _offered(length: Column, sizes: list[int]) -> Column:
+    """The shingles that start at position ``p``; null where none fits."""
+    one = [F.when(F.col("p") + k <= length, _shingle(k)) for k in sizes]
     return one[0] if len(one) == 1 else F.explode(F.array(*one))
 
 
@@ -71,42 +76,42 @@ def find_windows(docs: DataFrame, windows: DataFrame, shingle: int = 3) -> DataF
     parts = materialize(windows.groupBy("words").agg(F.collect_set("item_id").alias("items"))
                         .withColumn("length", F.size("words"))
                         .withColumn("k", F.least(F.lit(shingle), F.size("words")))
-                        .withColumn("window_id", F.xxhash64(F.array_join("words", " "))),
-                        "benchmark-windows")
+                        .withColumn("window", F.array_join("words", " ")), "benchmark-windows")
     sizes = [r.k for r in parts.select("k").distinct().orderBy("k").collect()] or [shingle]  # 1 to shingle
-    of_window = parts.select("window_id", "length", "k", F.col("words").alias("w"),
-                             F.explode(F.sequence(F.lit(0), F.col("length") - F.col("k"))).alias("p")) \
-        .select("window_id", "length", F.col("p").alias("o"), F.coalesce(*[
-            F.when(F.col("k") == k, F.xxhash64(*[F.get("w", F.col("p") + i) for i in range(k)], F.lit(k)))
-            for k in sizes]).alias("key"))
-    of_window = materialize(of_window, "benchmark-shingles")
+    places = parts.select("window", "length", "k", F.col("words").alias("w"),
+                          F.explode(F.sequence(F.lit(0), F.col("length") - F.col("k"))).alias("p"))
+    of_window = materialize(places.select("window", "length", F.col("p").alias("o"), F.coalesce(*[
+        F.when(F.col("k") == k, _shingle(k)) for k in sizes]).alias("shingle")), "benchmark-shingles")
 
     # where documents have a shingle of the benchmark. The outer form keeps Spark
     # from adding a filter on the word list, which would cut every text twice.
     listed = docs.select("text_key", words(F.col("text")).alias("w"))
-    spots = listed.select("text_key", F.size("w").alias("n_words"), "w",
-                          F.posexplode_outer("w").alias("p", "_w"))
-    offered = spots.select("text_key", "n_words", "p", _shingles(F.col("n_words"), sizes).alias("key")) \
-        .where(F.col("key").isNotNull())
-    found = materialize(offered.join(of_window.select("key").distinct(), "key"), "benchmark-spots")
+    at = listed.select("text_key", F.size("w").alias("n_words"), "w",
+                       F.posexplode_outer("w").alias("p", "_w"))
+    offered = at.select("text_key", "n_words", "p", _offered(F.col("n_words"), sizes).alias("shingle")) \
+        .where(F.col("shingle").isNotNull())
+    known = materialize(of_window.select("shingle").distinct(), "benchmark-known")
+    spots = materialize(offered.join(known, "shingle"), "benchmark-spots")
 
     # the prefix: of each window the rarest shingle
-    counts = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    prefix = of_window.join(counts, "key", "left").groupBy("window_id", "length").agg(
-        F.min(F.struct("n", "o", "key")).alias("r")) \
+    counts = spots.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    prefix = of_window.join(counts, "shingle", "left").groupBy("window", "length").agg(
+        F.min(F.struct("n", "o", "shingle")).alias("r"), F.count(F.lit(1)).alias("n_shingles")) \
         .where(F.col("r.n").isNotNull()) \
-        .select("window_id", "length", F.col("r.o").alias("o"), F.col("r.key").alias("key"))
+        .select("window", "length", "n_shingles", F.col("r.o").alias("o"), F.col("r.shingle").alias("shingle"))
     start = F.col("p") - F.col("o")
-    candidates = materialize(
-        found.join(prefix, "key").where((start >= 0) & (start + F.col("length") <= F.col("n_words")))
-        .select("text_key", start.alias("start"), "window_id").distinct(), "benchmark-candidates")
-
-    # verification: the candidate's words against the window's
-    texts = listed.join(candidates.select("text_key").distinct(), "text_key", "left_semi") \
-        .dropDuplicates(["text_key"])
-    return candidates.join(texts, "text_key").join(parts, "window_id").where(
-        F.slice("w", F.col("start") + 1, F.col("length")) == F.col("words")) \
-        .select("text_key", "start", "length", F.explode_outer("items").alias("item_id"))
+    candidates = spots.join(prefix, "shingle") \
+        .where((start >= 0) & (start + F.col("length") <= F.col("n_words"))) \
+        .select("text_key", start.alias("start"), "window", "n_shingles").distinct()
+
+    # verification: each shingle of the candidate's window at its place
+    wanted = candidates.join(of_window, "window").select(
+        "text_key", "start", "window", "length", "n_shingles", (F.col("start") + F.col("o")).alias("p"), "shingle")
+    there = spots.select("text_key", "p", "shingle").distinct()
+    whole = wanted.join(there, ["text_key", "p", "shingle"]).groupBy("text_key", "start", "window", "length") \
+        .agg((F.count(F.lit(1)) == F.max("n_shingles")).alias("whole")).where("whole")
+    return whole.join(parts.select("window", "items"), "window").select(
+        "text_key", "start", "length", F.explode_outer("items").alias("item_id"))
 
 
 def _text_key(text: Column) -> Column:

@@ -44,7 +44,7 @@ from .common import bound_batches, quoted, slices
 from .pieces import PieceTable
 
 # A worker forgets its encoded pieces beyond this many.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 # Characters of text cut into pieces at a time.
 SLICE_CHARS = 3 << 20
 # Pieces given to the library as one text.
