@@ -10,8 +10,10 @@ def _plan(df) -> str:
 
 
 def test_lookup_joins_are_broadcast(spark):
-    clean = inputs.encounter_star(spark, SF_SMALL)["clean"]
-    plan = _plan(clean)
+    from wardstar.plans.star import clean_encounters
+    from wardstar.session import materialize
+    raw = materialize(inputs.encounter_raw(spark, SF_SMALL), "raw")
+    plan = _plan(clean_encounters(raw, inputs.lookup_blocks(spark, SF_SMALL)))
     assert plan.count("BroadcastHashJoin") >= 3
     assert "SortMergeJoin" not in plan
 
