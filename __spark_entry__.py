@@ -18,6 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from wardstar.functions.clean import exclude_values, fill_unknown, null_tokens  # noqa: E402
 from wardstar.functions.codes import icd9_group, prior_visits, readmit_target, risk_tier  # noqa: E402
 from wardstar.plans import inputs  # noqa: E402
+from wardstar.session import scratch_path  # noqa: E402
 from wardstar.sources.fixtures import LOOKUP_ODD_LINES, encounter_exprs  # noqa: E402
 from wardstar.plans import sql_twins as tw  # noqa: E402
 from wardstar.plans.marts import (FEATURE_NUMERIC, mart_by_department, mart_by_diagnosis,  # noqa: E402
@@ -193,6 +194,24 @@ def q_rownum(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "row_num")
 
 
+# ---------------------------------------------------------------- sources, stored marts
+@_register("encounter_csv_scan", tw.with_star("SELECT * FROM enc"))
+def q_csv_scan(spark, sf):
+    """The raw encounters as a header CSV file, read back with its schema."""
+    from wardstar.sources.encounters import read_encounters
+    path = scratch_path(spark, "encounters-csv")
+    inputs.encounter_raw(spark, sf).write.option("header", True).csv(path)
+    return read_encounters(spark, path)
+
+
+def _stored_mart(spark, sf, name):
+    """Staging views over the written star, marts stored from them, read back."""
+    from wardstar.plans.marts import materialize_marts, register_views
+    register_views(spark, inputs.encounter_star(spark, sf)["folder"], prefix="stg_query_")
+    return spark.read.parquet(materialize_marts(
+        spark, "stg_query_", path=scratch_path(spark, "marts"))[name])
+
+
 # ---------------------------------------------------------------- marts
 @_register("mart_by_department", tw.with_star(
     f"SELECT dd.medical_specialty, count(*) AS n_encounters, "
@@ -225,6 +244,16 @@ _FEATURES_OF = {"f": ["encounter_id", *FEATURE_NUMERIC, "readmit_risk_flag", "re
                 "di": ["diag_1_group", "admission_type_desc"]}
 
 
+@_register("stored_mart_by_department", _SQL["mart_by_department"])
+def q_stored_dep(spark, sf):
+    return _stored_mart(spark, sf, "mart_readmission_by_department")
+
+
+@_register("stored_mart_by_diagnosis", _SQL["mart_by_diagnosis"])
+def q_stored_diag(spark, sf):
+    return _stored_mart(spark, sf, "mart_readmission_by_diagnosis")
+
+
 @_register("star_features", tw.with_star(
     "SELECT " + ", ".join(f"{t}.{c}" for t, cols in _FEATURES_OF.items() for c in cols)
     + " FROM fact_admission f"
@@ -481,7 +510,6 @@ def q_scd2(spark, sf):
 
 # ---------------------------------------------------------------- vitals stream
 from wardstar.functions import vitals as vit  # noqa: E402
-from wardstar.session import scratch_path  # noqa: E402
 from wardstar.sources.fixtures import vitals_messages  # noqa: E402
 from wardstar.streaming.vitals import ALERT_COLS, parse_vitals, read_vitals_stream, run_vitals  # noqa: E402,E501
 
