@@ -52,3 +52,15 @@ def test_jdbc_partitioned_read(spark):
     assert back.agg({"v": "sum"}).first()[0] == 2 * 5050
     whole = read_jdbc_table(spark, url, "FACT_R", props)
     assert whole.count() == 100
+
+
+def test_publish_json_to_text_and_write_table(spark, tmp_dir):
+    from wardstar.sources.sinks import publish_json, write_table
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    publish_json(df, {"path": f"{tmp_dir}/topic"}, fmt="text")
+    publish_json(df.limit(1), {"path": f"{tmp_dir}/topic"}, fmt="text")
+    assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/topic").collect()) == \
+        ['{"k":1,"v":"a"}', '{"k":1,"v":"a"}', '{"k":2}']
+    write_table(df, f"{tmp_dir}/table")
+    write_table(df.where("k = 2"), f"{tmp_dir}/table")
+    assert [r.k for r in spark.read.parquet(f"{tmp_dir}/table").collect()] == [2]

@@ -67,3 +67,25 @@ def test_stream_single_read_restart(spark, tmp_dir):
     run_vitals_single_read(spark, raw, *args, trigger={"availableNow": True}, wait=True)
     assert spark.read.parquet(f"{tmp_dir}/all").count() == 6
     assert spark.read.parquet(f"{tmp_dir}/alerts").count() == 4
+
+
+def test_default_trigger_and_await_any(spark, tmp_dir):
+    from wardstar.streaming.vitals import await_any
+    src = f"{tmp_dir}/src"
+    _write(src, [json.dumps(m) for m in MSGS])
+    raw = read_vitals_stream(spark, "text", path=src)
+    qs = run_vitals(spark, raw, f"{tmp_dir}/all", f"{tmp_dir}/alerts", f"{tmp_dir}/ckpt")
+    try:
+        for q in qs:
+            q.processAllAvailable()
+        _write(src, [json.dumps({"encounter_id": 8, "heart_rate": 40})])
+        for q in qs:
+            q.processAllAvailable()
+        assert spark.read.parquet(f"{tmp_dir}/all").count() == 6
+        assert spark.read.parquet(f"{tmp_dir}/alerts").where("encounter_id = 8").count() == 1
+        spark.streams.resetTerminated()
+        assert await_any(spark, 1) is False   # both still run
+    finally:
+        for q in qs:
+            q.stop()
+    assert await_any(spark, 20) is True
