@@ -36,8 +36,8 @@ from .common import add_text_columns, others, quoted
 from .pieces import PieceTable
 
 # A worker forgets its encoded chunks and words beyond so many.
-CACHE_CHUNKS = 300_000
-CACHE_WORDS = 800_000
+CACHE_CHUNKS = 150_000
+CACHE_WORDS = 250_000
 # Longer words are merged with a heap.
 LONG_WORD = 200
 # Characters up to this one have had the same Unicode classes for long; words
@@ -91,10 +91,8 @@ class Codec:
         self.cut_special = regex.compile(
             "(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") \
             if special else None
-        size = max([*self.vocab.values(), *special.values()]) + 1
-        self.tokens: list[str | None] = [None] * size
-        for t, i in [*self.vocab.items(), *special.items()]:
-            self.tokens[i] = t
+        self.tokens = token_strings(spec)
+        size = len(self.tokens)
         chars = byte_characters()
         self.to_chars = bytes(range(256)).decode("latin-1").translate(chars)
         self.as_chars = {b: c for b, c in enumerate(self.to_chars)}
@@ -334,9 +332,18 @@ class Codec:
                 text = low
         return [c for c in text.replace("\n", " ").split(" ") if c]
 
-    def decode(self, ids: Sequence[int]) -> str:
-        """Tokens joined by a blank, as for a file without a decoder."""
-        return " ".join([self.tokens[i] or "" for i in ids])
+def token_strings(spec: dict) -> list[str]:
+    """Token strings by id."""
+    known = {**spec["model"]["vocab"], **{a["content"]: a["id"] for a in spec.get("added_tokens", [])}}
+    out = [""] * (max(known.values()) + 1)
+    for token, i in known.items():
+        out[i] = token
+    return out
+
+
+def decode(tokens: list[str], ids: Sequence[int]) -> str:
+    """Tokens joined by a blank, as for a file without a decoder."""
+    return " ".join([tokens[i] for i in ids])
 
 
 def codec(path: str) -> Codec:
@@ -385,7 +392,11 @@ def decode_bpe(df: DataFrame, tokenizer: str, ids_col: str = "ids",
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
         schema = to_arrow_schema(out)
-        c = codec(tokenizer)
+        with open(tokenizer, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec.get("decoder"):
+            raise ValueError("a file without a decoder is expected")
+        tokens = token_strings(spec)
         for b in batches:
             col, lo = b.column(len(passed)), 0
             while lo < len(b):
@@ -394,7 +405,7 @@ def decode_bpe(df: DataFrame, tokenizer: str, ids_col: str = "ids",
                     ids = col[lo + len(texts)]
                     ids = np.frombuffer(ids.as_py() or b"", "<u4") if pa.types.is_binary(col.type) \
                         else ids.values.to_numpy() if ids.is_valid else EMPTY
-                    texts.append(c.decode(ids.tolist()))
+                    texts.append(decode(tokens, ids.tolist()))
                     size += len(ids)
                 arrays = [b.column(i).slice(lo, len(texts)) for i in range(len(passed))]
                 arrays = [a if a.type == schema.field(i).type else a.cast(schema.field(i).type)

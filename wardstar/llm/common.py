@@ -18,7 +18,7 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 # Rows handled at a time inside a task: an Arrow batch is cut so that a run of
 # long texts does not multiply the working set.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 BATCH_BYTES = 8 << 20
 DEFAULT_BATCH_BYTES = "67108864b"  # Spark's own, as a session prints it
 
