@@ -215,8 +215,10 @@ def _training(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, t
     chosen = labels.where(~held_out(ids) & F.col(quoted(label_col)).isin(0, 1)) \
         .groupBy(ids.alias("__id")).agg(F.max(quoted(label_col)).cast("int").alias("y")) \
         .orderBy(F.xxhash64("__id"), "__id").limit(max_fit_rows)
+    # max_fit_rows bounds the chosen labels (20,000 of an id and an int by
+    # default), so they are sent to the documents
     rows = docs.select(ids.alias("__id"), F.col(quoted(text_col)).cast("string").alias("text")) \
-        .join(chosen, "__id").select("y", "text").where("text is not null")
+        .join(F.broadcast(chosen), "__id").select("y", "text").where("text is not null")
     # near copies teach once: rows with the same least three-word hash are one
     schema = T.StructType([T.StructField("same", T.LongType())])
     return add_text_columns(rows, "text", schema, lambda: lambda texts: [
