@@ -821,7 +821,7 @@ def q_retrieve(spark, sf):
     rt.store_embeddings(spark, chunks, store)
     bench = spark.read.parquet(f"{sf}/benchmark.parquet").select(
         F.col("item_id").alias("qid"), "text")
-    hits = rt.retrieve(rt.stored_counts(spark, store), bench, k=3)
+    hits = rt.retrieve(rt.stored_chunks(spark, store), bench, k=3)
     return hits.join(rt.sources_per_query(hits), "qid").withColumn("rank", F.col("rank").cast("long"))
 
 
