@@ -73,3 +73,40 @@ def test_frames(spark):
     back = pii.pseudonymize(out.drop("pii"), "key", undo=True).where("size(pii) > 0").first()
     assert back.text == rows[0][1]
     assert pii.pseudonymize(docs(spark, []), "key").count() == 0
+
+
+IBAN, CARD = "DE89 3704 0044 0532 0130 00", "4111 1111 1111 1111"
+BESIDE = [(f"{IBAN} BIC COBADEFFXXX", IBAN), (f"{IBAN} 2024", IBAN), (f"REF AA12 {IBAN}", IBAN),
+          ("NO93 8601 1117 947 UND", "NO93 8601 1117 947"),
+          (f"{CARD} 12/27", CARD), (f"{CARD} 123", CARD), (f"no. 7 {CARD}", CARD), (f"{CARD} 12.50", CARD),
+          ("6304 9000 1774 0292 441", "6304 9000 1774 0292 441"), ("41111111 11111111", "41111111 11111111"),
+          ("4111-1111 1111-1111", "4111-1111 1111-1111"), ("3056 9309 0259 04 5", "3056 9309 0259 04"),
+          ("+493012345678", "+493012345678"), ("+4930 12345678", "+4930 12345678"),
+          ("+33 1 23 45 67 89", "+33 1 23 45 67 89"), ("+49 (0)30 123456", "+49 (0)30 123456"),
+          ("+49 30 1234567 20245678", "+49 30 1234567"), ("+353861234567", "+353861234567"),
+          ("1987-02-28T10:15:00Z", "1987-02-28")]
+
+
+@pytest.mark.parametrize("text, value", BESIDE)
+def test_values_are_found_beside_other_words_and_numbers(text, value):
+    (start, end, kind, new), *others = pii.find(text, KEY)
+    assert text[start:end] == value and new != value and not others
+    changed = swap(text)
+    assert pii.replace(changed, pii.find(changed, KEY, undo=True)) == text
+
+
+def test_separators_do_not_change_pseudonyms():
+    assert swap("+49 30 12345678").replace(" ", "") == swap("+493012345678")
+    assert swap("41111111 11111111").replace(" ", "") == swap("4111111111111111")
+
+
+@pytest.mark.parametrize("text", ["+1234567890123456", "+123456", "+1112345678", "+2881234567", "1987-02-30T10:00",
+                                  "1987-02-28Tx"])
+def test_other_numbers_stay(text):
+    assert swap(text) == text
+
+
+def test_odd_groups_give_way_to_dates_and_phones():
+    for i in range(50):
+        text = f"2001-02-{i % 28 + 1:02d} 2004-05-06 212 555 {3400 + i} 212 555 {3500 + i}"
+        assert [k for *_, k, _ in pii.find(text, KEY)] == ["date", "date", "phone", "phone"], text

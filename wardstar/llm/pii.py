@@ -8,16 +8,30 @@ equal values get equal pseudonyms in all documents, whatever separators they
 are written with. The permutation can be undone with the key.
 
 ==========  ============================================================
-card        13 to 19 digits with Luhn's check digit; first digit stays
+card        13 to 19 digits with Luhn's check digit, in groups of any size
+            with a blank or a hyphen between; first digit stays
 iban        country and length stay, check digits are made anew
 ssn         AAA-GG-SSSS with a valid area, group and serial
-phone       +C..., (AAA) EEE-LLLL or AAA-EEE-LLLL; country code stays
+phone       +C... (7 to 15 digits), (AAA) EEE-LLLL or AAA-EEE-LLLL; country
+            code stays
 ip          four octets
-date        YYYY-MM-DD, DD.MM.YYYY, DD/MM/YYYY or MM/DD/YYYY, 1900 to 2099
+date        YYYY-MM-DD, DD.MM.YYYY, DD/MM/YYYY or MM/DD/YYYY, 1900 to 2099;
+            a time may follow after T
 email       letters and digits of the local part; the domain stays
 secret      access keys and assigned passwords or tokens, by character class
 ==========  ============================================================
 
+A match that fails its validation does not hide others: the search goes on one
+character later, an IBAN is tried at the length of its country, and of a run
+of digit groups every span of 13 to 19 digits is tried. Where spans overlap,
+those in the groups of cards come first (first digits 3 to 6 before others, 16
+digits before 19, as a code may follow, but after a first digit 6, of which
+cards of 19 are usual), then the left and longer. Other spans give way to a find
+that they cut, and to any find if their separators are mixed, and are not taken
+from the digits of an IBAN that is not valid. One span in ten
+passes Luhn's check by chance, so beside other numbers a pseudonym can be read
+in other borders than the value was; the finds (``pii``) hold the true ones.
+
 A text is worked on by itself in Arrow batches: no shuffle, no shared state.
 
 Defined cases: a null text stays null and has no finds; an empty text stays
@@ -31,7 +45,8 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -118,9 +133,53 @@ def card(s: str, key: bytes, undo: bool) -> str | None:
     d = _only_digits(s)
     if not 13 <= len(d) <= 19 or d[0] == "0" or luhn_digit(d[:-1]) != d[-1]:
         return None
-    body = permute_digits([int(c) for c in d[1:-1]], [10] * (len(d) - 2), key, "card" + d[0], undo)
-    new = d[0] + "".join(map(str, body))
-    return _refill(s, new + luhn_digit(new))
+    new = d
+    while True:  # 19 digits walk on until the first 16 are a card if they were one
+        body = permute_digits([int(c) for c in new[1:-1]], [10] * (len(d) - 2), key, "card" + d[0], undo)
+        new = d[0] + "".join(map(str, body))
+        new += luhn_digit(new)
+        if len(d) < 19 or (luhn_digit(new[:15]) == new[15]) == (luhn_digit(d[:15]) == d[15]):
+            return _refill(s, new)
+
+
+# Group sizes that cards are printed in.
+_CARD_GROUPS = {(4, 4, 4, 1), (4, 4, 4, 2), (4, 4, 4, 3), (4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 4), (4, 6, 5)}
+_DOUBLED = [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]
+
+
+def _card_spans(text: str) -> Iterator[tuple[int, int, bool, bool]]:
+    """(start, end, grouped as a card, one separator) of the spans of 13 to 19
+    digits between group borders that pass Luhn's check."""
+    for run in _DIGIT_GROUPS.finditer(text):
+        if run.end() - run.start() < 13:
+            continue
+        groups = [m.span() for m in _GROUP.finditer(text, *run.span())]
+        if not _AT_STOP(text, run.end()):
+            groups.pop()
+        # sums with the digits at even or at odd places doubled
+        sums, at = ([0], [0]), [0]
+        for lo, hi in groups:
+            for k, c in enumerate(text[lo:hi], at[-1]):
+                for odd in (0, 1):
+                    sums[odd].append(sums[odd][-1] + (_DOUBLED[int(c)] if k % 2 == odd else int(c)))
+            at.append(at[-1] + hi - lo)
+        # the digits after the head of an IBAN, valid or not, are a card in its groups only
+        head = _IBAN_HEAD(text[max(0, run.start() - 6):run.start()])
+        body = _IBAN_LENGTHS.get(head.group(1), 0) - 4 if head else 0
+        for i, (lo, _) in enumerate(groups):
+            if text[lo] == "0":
+                continue
+            for j in range(i, len(groups)):
+                n = at[j + 1] - at[i]
+                if n > 19:
+                    break
+                by_place = sums[at[j + 1] % 2]
+                if n >= 13 and (by_place[at[j + 1]] - by_place[at[i]]) % 10 == 0:
+                    one = len({text[groups[k][1]] for k in range(i, j)}) < 2
+                    sizes = tuple(hi - lo for lo, hi in groups[i:j + 1])
+                    grouped = one and (i == j or sizes in _CARD_GROUPS)
+                    if grouped or at[i] >= body:
+                        yield lo, groups[j][1], grouped, one
 
 
 def _by_class(s: str, key: bytes, tweak: str, undo: bool) -> str:
@@ -144,6 +203,22 @@ def _iban_check(country: str, bban: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+_IBAN_LENGTHS = {c: int(n) for c, n in re.findall("([A-Z]{2})([0-9]{2})", """
+    AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28
+    EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26
+    IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28
+    NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25
+    SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30""")}
+
+
+def _iban_ends(s: str) -> list[int]:
+    """Where an IBAN that ``s`` begins with may end: at its country's length,
+    else at the end; of other countries at every word's end, the last first."""
+    ends = [m.start() for m in re.finditer(" |$", s)][::-1]
+    n = _IBAN_LENGTHS.get(s[:2])
+    return ends if n is None else [e for e in ends if e - s.count(" ", 0, e) == n] + ends[:1]
+
+
 def iban(s: str, key: bytes, undo: bool) -> str | None:
     t = s.replace(" ", "")
     country, bban = t[:2], t[4:]
@@ -166,9 +241,22 @@ def ssn(s: str, key: bytes, undo: bool) -> str | None:
     return f"{_AREAS[a]:03d}{s[3]}{g + 1:02d}{s[6]}{n + 1:04d}"
 
 
+# Country codes but 1; those not listed have three digits. No code begins another.
+_SHORT_CODES = set("""7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58
+    60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98""".split())
+_LONG_CODES = {c for c in map(str, range(200, 1000)) if not {c[:1], c[:2]} & _SHORT_CODES
+               and c[:2] not in ("28", "83", "89", "99")} | {"992", "993", "994", "995", "996", "998"}
+
+
+def _country_code(digits: str) -> str | None:
+    return next((digits[:n] for n in (1, 2, 3) if digits[:n] in _SHORT_CODES or digits[:n] in _LONG_CODES),
+                None)
+
+
 def phone(s: str, key: bytes, undo: bool) -> str | None:
     """Numbers of the North American plan: area and exchange begin with 2 to 9.
-    Of other numbers with a country code all digits after it are moved."""
+    Of other numbers with a country code all digits after it are moved; a code
+    with no separator after it is told by the table of codes."""
     m = re.match(r"\+?1[ .-]?(?=\(?[2-9])", s) if s[0] in "+1" else None
     head = m.group() if m else ""
     d = _only_digits(s[len(head):])
@@ -178,14 +266,18 @@ def phone(s: str, key: bytes, undo: bool) -> str | None:
         low = [2, 0, 0, 2, 0, 0, 0, 0, 0, 0]
         new = permute_digits([int(c) - k for c, k in zip(d, low)], [10 - k for k in low], key, "nanp", undo)
         return head + _refill(s[len(head):], "".join(str(v + k) for v, k in zip(new, low)))
+    if s[0] != "+":
+        return None
     m = re.match(r"\+[1-9][0-9]{0,2}(?=[ .(-])", s)
-    if not m:
+    code = m.group()[1:] if m else _country_code(re.match(r"\+([0-9]*)", s).group(1))
+    if code is None:
         return None
-    d = _only_digits(s[m.end():])
-    if not 6 <= len(d) <= 13:
+    rest = s[1 + len(code):]
+    d = _only_digits(rest)
+    if not (6 <= len(d) <= 13 if m else 7 <= len(code) + len(d) <= 15):
         return None
-    new = permute_digits([int(c) for c in d], [10] * len(d), key, "phone" + m.group(), undo)
-    return m.group() + _refill(s[m.end():], "".join(map(str, new)))
+    new = permute_digits([int(c) for c in d], [10] * len(d), key, "phone+" + code, undo)
+    return "+" + code + _refill(rest, "".join(map(str, new)))
 
 
 def ip(s: str, key: bytes, undo: bool) -> str | None:
@@ -257,19 +349,17 @@ def secret(s: str, key: bytes, undo: bool) -> str | None:
 
 # Fixed patterns; the named group is the value. Order breaks ties.
 _EDGE, _STOP = r"(?<![\w.+-])", r"(?![\w])(?!\.[0-9])"
+_NANP = r"\+1[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
 FINDERS: list[tuple[str, str, Callable]] = [
-    ("card", rf"{_EDGE}(?P<v>[0-9]{{13,19}}){_STOP}", card),
-    # in groups, with no further digits before or after
-    ("card", rf"{_EDGE}(?<![0-9] )(?P<v>[0-9]{{4}}(?P<c>[ -])[0-9]{{4}}(?P=c)[0-9]{{4}}(?P=c)[0-9]{{1,4}}"
-             rf"|[0-9]{{4}}(?P<a>[ -])[0-9]{{6}}(?P=a)[0-9]{{5}})(?![ -][0-9]){_STOP}", card),
     ("iban", rf"{_EDGE}(?P<v>[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}){_STOP}", iban),
     ("ssn", rf"{_EDGE}(?P<v>[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}){_STOP}", ssn),
     ("phone", r"(?<![\w.-])(?P<v>(?:\+[0-9]{1,3}[ .-]?|1[ .-])?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}"
               r"|(?:\+[0-9]{1,3}[ .-]|1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
-              r"|\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5})" + _STOP, phone),
+              rf"|{_NANP})" + _STOP, phone),
+    ("phone", rf"(?<![\w.-])(?!{_NANP}{_STOP})(?P<v>\+[0-9](?:[ .-]?\(?[0-9]\)?){{6,14}})" + _STOP, phone),
     ("ip", rf"{_EDGE}(?P<v>[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}){_STOP}", ip),
     ("date", rf"{_EDGE}(?P<v>[0-9]{{4}}(?P<m>[-./])[0-9]{{2}}(?P=m)[0-9]{{2}}"
-             rf"|[0-9]{{2}}(?P<n>[-./])[0-9]{{2}}(?P=n)[0-9]{{4}}){_STOP}", date),
+             rf"|[0-9]{{2}}(?P<n>[-./])[0-9]{{2}}(?P=n)[0-9]{{4}})(?:{_STOP}|(?=[Tt][0-9]{{2}}))", date),
     ("email", r"(?<![\w.%+-])(?P<v>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
      email),
     ("secret", r"(?<!\w)(?P<v>AKIA[0-9A-Z]{16})(?!\w)", secret),
@@ -278,24 +368,70 @@ FINDERS: list[tuple[str, str, Callable]] = [
 ]
 _MAY_HOLD = re.compile(r"[0-9@]|AKIA|(?i:password|passwd|pwd|token|secret|api[_-]?key)").search
 _COMPILED = [(kind, re.compile(pattern), fn) for kind, pattern, fn in FINDERS]
+# digit groups with one blank or hyphen between
+_DIGIT_GROUPS, _GROUP = re.compile(rf"{_EDGE}[0-9]+(?:[ -][0-9]+)*"), re.compile("[0-9]+")
+_AT_STOP = re.compile(_STOP).match
+_IBAN_HEAD = re.compile(r"(?:^|\W)([A-Z]{2})[0-9]{2} $").search
+
+
+def _matches(text: str, kind: str, pattern: re.Pattern, fn: Callable, key: bytes,
+             undo: bool) -> Iterator[tuple[int, int, str]]:
+    """(start, end, pseudonym) of one finder's valid values, from the left."""
+    at = 0
+    while m := pattern.search(text, at):
+        v, (start, end) = m.group("v"), m.span("v")
+        at = start + 1
+        for n in _iban_ends(v) if kind == "iban" else [end - start]:
+            new = fn(v[:n], key, undo)
+            if new is not None:
+                yield start, start + n, new
+                at = start + n
+                break
 
 
 def find(text: str, key: bytes, undo: bool = False) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the values in a text, in order."""
     if not _MAY_HOLD(text):
         return []
-    found = []
+    spans = list(_card_spans(text))
+    found, taken = [], []
+    # in the groups of cards, those that begin as the common cards do first
+    for start, end, grouped, _ in sorted(spans, key=lambda x: (
+            text[x[0]] not in "3456", x[0], -x[1] if text[x[0]] == "6" else x[1])):
+        if not grouped:
+            continue
+        at = bisect_left(taken, (start, end))
+        if (at and taken[at - 1][1] > start) or (at < len(taken) and taken[at][0] < end):
+            continue
+        taken.insert(at, (start, end))
+        found.append((start, -end, -1, "card", card(text[start:end], key, undo)))
     for rank, (kind, pattern, fn) in enumerate(_COMPILED):
-        for m in pattern.finditer(text):
-            new = fn(m.group("v"), key, undo)
-            if new is not None:
-                found.append((m.start("v"), -m.end("v"), rank, kind, new))
+        found += [(start, -end, rank, kind, new)
+                  for start, end, new in _matches(text, kind, pattern, fn, key, undo)]
     out, done = [], 0
     for start, end, _, kind, new in sorted(found):
         if start >= done:
             out.append((start, -end, kind, new))
             done = -end
-    return out
+    odd = sorted((start, -end, one) for start, end, grouped, one in spans if not grouped)
+    return _with_odd_cards(text, out, odd, key, undo) if odd else out
+
+
+def _with_odd_cards(text: str, found: list[tuple[int, int, str, str]], odd: list[tuple[int, int, bool]],
+                    key: bytes, undo: bool) -> list[tuple[int, int, str, str]]:
+    """Finds and cards in other groups, which give way to finds that they cut
+    and, if their separators are mixed, to all finds."""
+    starts, ends = [f[0] for f in found], [f[1] for f in found]
+    out, done, used = [], 0, 0
+    for start, end, one in odd:
+        end = -end
+        lo, hi = bisect_right(ends, start), bisect_left(starts, end)
+        if start < done or lo < hi and (not one or starts[lo] < start or ends[hi - 1] > end
+                                        or any(f[2] == "card" for f in found[lo:hi])):
+            continue
+        out += [*found[used:lo], (start, end, "card", card(text[start:end], key, undo))]
+        done, used = end, hi
+    return [*out, *found[used:]]
 
 
 def replace(text: str, found: list[tuple[int, int, str, str]]) -> str:
