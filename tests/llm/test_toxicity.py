@@ -45,6 +45,25 @@ def test_clauses_decide():
     assert s.score("anidiot") == s.score("")
 
 
+def test_long_clauses_are_read_whole():
+    s = tx.Scorer(tx.Model())
+    far = "x" * 500
+    assert s.features(f"you {far} idiot").tolist() == s.features("you x idiot").tolist()
+    assert s.features(f"idiot {far} you").tolist() == s.features("idiot x you").tolist()
+    assert s.features(f"kill {far} you").tolist() == s.features("kill x you").tolist()
+    assert s.features("she said " + "word " * 2000 + "idiot").tolist() == s.features("said idiot").tolist()
+    rng = random.Random(3)
+    words = ["idiot", "kill", "you", "not", "said", "clownish", "word", "y" * 150]
+    for _ in range(100):
+        clauses = [" ".join(rng.choices(words, k=rng.randint(1, 40))) for _ in range(3)]
+        parts = [s.fst.run(s.tag(w)[0] for w in c.split()) for c in clauses]
+        counts = [0.0] * len(tx.FEATURES)
+        for f in (tx.feature_of(x) for part in parts for x in part):
+            if f is not None:
+                counts[f] += 1
+        assert s.features(rng.choice(". ! ; \n".split(" ")).join(clauses)).tolist() == counts
+
+
 def corpus(spark, n=1500):
     rng = random.Random(2)
     words = ["".join(rng.choices("aeiou", k=2)) + "".join(rng.choices("bcdfg", k=2)) for _ in range(400)]

@@ -51,7 +51,8 @@ NEGATIONS = ["never", "no", "not", "nobody", "without", "isn", "aren", "wasn", "
 REPORTS = ["called", "claimed", "claims", "quoted", "said", "says", "shouted", "wrote",
            "sagte", "schrieb", "dijo", "dit"]
 
-CLAUSE_END = re.compile(r"[.!?;:\n]")
+CLAUSE_ENDS = ".!?;:\n"
+CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
 WORD = re.compile(r"[^\W_]+")
 
 # The prior: bias, then one weight per feature.
@@ -187,12 +188,13 @@ class Scorer:
             start = end - n + 1
             if start < done or start and low[start - 1].isalnum():
                 continue
-            cuts = [m.end() for m in CLAUSE_END.finditer(low, max(done, start - 400), start)]
-            begin = cuts[-1] if cuts else max(done, start - 400)
-            stop = CLAUSE_END.search(low, end + 1, end + 400)
-            done = stop.start() if stop else min(len(low), end + 400)
-            tags = [self.tag(m.group()) for m in WORD.finditer(low, begin, done)]
-            for letter, (_, strength) in zip(self.fst.run(t for t, _ in tags), tags):
+            begin = max(done, *(low.rfind(c, done, start) + 1 for c in CLAUSE_ENDS))
+            stop = CLAUSE_END.search(low, end + 1)
+            done = stop.start() if stop else len(low)
+            state = self.fst.start  # word by word: a clause may be as long as the text
+            for m in WORD.finditer(low, begin, done):
+                tag, strength = self.tag(m.group())
+                state, letter = self.fst.step(state, tag)
                 f = feature_of(letter)
                 if f is not None:
                     total[f] += strength
