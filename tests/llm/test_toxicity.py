@@ -98,6 +98,21 @@ def test_held_out_labels_are_never_read(spark):
     assert a.stems == b.stems and a.weights.tolist() == b.weights.tolist()
 
 
+def test_only_near_copies_teach_once(spark):
+    rng = random.Random(4)
+    def text(n):
+        return " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    passage, ids = text(12), [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"{passage} {text(40)}") for i in ids[:60]]       # share a passage
+    copy = text(60)
+    rows += [(i, copy + f" end{i}") for i in ids[60:80]] + [(i, copy) for i in ids[80:100]]
+    labels = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id long, toxic int")
+    shared = {t for i, t in rows[:60]}
+    for df in (docs(spark, rows).repartition(7), docs(spark, rows[::-1]).coalesce(1)):
+        got = [r.text for r in tx._training(df, labels, "toxic", "doc_id", "text", 20_000).collect()]
+        assert sorted(got) == sorted([*shared, rows[60][1]])      # the smallest id of the copies
+
+
 @pytest.mark.parametrize("labels", [[], [(1, None), (None, 1), (2, 5)], [(1, 1), (1, 0), (1, 1)]])
 def test_without_usable_labels(spark, labels):
     df = docs(spark, [(1, "You are an idiot"), (2, "fine"), (None, "x")])

@@ -15,7 +15,9 @@ around a prior that discounts negated and reported matches.
 
 Learning never sees held-out rows (crc32 of the id as text, modulo 5, is 0) nor
 any column but text and label. It is bounded by ``max_fit_rows`` labelled rows,
-taken in the order of a hash; scoring reads every row and whole texts.
+taken in the order of a hash; of equal texts and near copies (half of their
+shingles common) of one label, the one with the smallest id teaches. Scoring
+reads every row and whole texts.
 
 Defined cases: null and empty texts have no match and get the score of such a
 text; a null id counts as held out; labels other than 0 and 1 are not learned
@@ -63,6 +65,9 @@ MIN_PREFIX, MAX_PREFIX = 3, 10
 MIN_PRECISION = 0.95
 MAX_PATTERNS = 5_000
 
+# Near copies: shingles kept of a text, those looked up, and the common share.
+SKETCH, COPY_KEYS, SIMILAR = 128, 4, 0.5
+
 
 # ------------------------------------------------------------ transducers
 class Transducer:
@@ -220,19 +225,40 @@ def _training(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, t
     # max_fit_rows bounds the chosen labels (20,000 of an id and an int by
     # default), so they are sent to the documents
     rows = docs.select(ids.alias("__id"), F.col(quoted(text_col)).cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "__id").select("y", "text").where("text is not null")
-    # near copies teach once: rows with the same least three-word hash are one
-    schema = T.StructType([T.StructField("same", T.LongType())])
-    return add_text_columns(rows, "text", schema, lambda: lambda texts: [
-        [least_shingle(t) for t in texts]], keep=["y", "text"]).dropDuplicates(["same", "y"]).drop("same")
+        .join(F.broadcast(chosen), "__id").where("text is not null")
+    return _without_copies(rows.groupBy("y", "text").agg(F.min("__id").alias("__id")))
 
 
-def least_shingle(text: str, k: int = 3) -> int:
-    """The least hash of the text's shingles of ``k`` words."""
+def _without_copies(rows: DataFrame) -> DataFrame:
+    """(y, text) of the rows that are no near copy of a row of the same label
+    with a smaller id. Rows that share one of their least shingles are compared
+    with the first row that has it, and go if ``SIMILAR`` of the shingles of
+    the two are common: a shared passage alone merges nothing."""
+    from wardstar.session import materialize
+    schema = T.StructType([T.StructField("sketch", T.ArrayType(T.LongType()))])
+    sketched = add_text_columns(
+        rows.withColumn("row", F.struct("__id", F.xxhash64("text").alias("hash"))).drop("__id"), "text", schema,
+        lambda: lambda texts: [[sketch(t) for t in texts]], keep=["y", "text", "row"])
+    sketched = materialize(sketched, "toxicity-sketches")
+    keyed = sketched.select("y", "row", "sketch", F.explode(F.slice("sketch", 1, COPY_KEYS)).alias("key"))
+    # a few times max_fit_rows at most, and only shingles of two rows or more
+    firsts = keyed.groupBy("y", "key").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
+    pairs = keyed.join(F.broadcast(firsts.drop("n")), ["y", "key"]).where("row <> first") \
+        .select("row", "sketch", "first")
+    both = pairs.join(sketched.select(F.col("row").alias("first"), F.col("sketch").alias("other")), "first")
+    least = F.slice(F.array_sort(F.array_union("sketch", "other")), 1, SKETCH)
+    common = F.size(F.array_intersect(F.array_intersect("sketch", "other"), least))
+    copies = both.where(common >= SIMILAR * F.size(least)).select("row").distinct()
+    return sketched.join(copies, "row", "left_anti").select("y", "text")
+
+
+def sketch(text: str, k: int = 3) -> list[int]:
+    """The least ``SKETCH`` hashes of the text's shingles of ``k`` words: all
+    of a short text, else a fair sample of them."""
     from xxhash import xxh3_64_intdigest
     words = text.lower().split()
-    return min(xxh3_64_intdigest(" ".join(words[i:i + k]))
-               for i in range(max(1, len(words) - k + 1))) >> 1
+    return sorted({xxh3_64_intdigest(" ".join(words[i:i + k])) >> 1
+                   for i in range(max(1, len(words) - k + 1))})[:SKETCH]
 
 
 def learn_stems(rows: DataFrame, seeds: Iterable[str] = SEED_INSULTS) -> dict[str, float]:
@@ -281,6 +307,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         scorer = model.scorer()
         return lambda texts: [[scorer.features(t).tolist() for t in texts]]
     seen = add_text_columns(rows, "text", schema, make, keep=["y"]).groupBy("y", "x").count().collect()
+    seen.sort(key=lambda r: (r.y, r.x))  # sums in one order give one model
     if seen:
         x = np.array([r.x for r in seen])
         model.weights = _fit_weights(1.0 - np.exp(-x), np.array([r.y for r in seen], float),
