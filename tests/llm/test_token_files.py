@@ -59,6 +59,20 @@ def test_many_parts_have_prefix_sums(spark, tmp_dir):
     check(spark, df, folder, rows)
 
 
+def test_a_hot_id_spreads_over_parts(spark, tmp_dir):
+    rows = [(i, f"text {i}") for i in range(200)] + [(77, f"hot {i}") for i in range(200)] \
+        + [(None, f"null {i}") for i in range(200)]
+    df = docs(spark, rows)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = tf.write_token_files(df, PATH, folder=f"{tmp_dir}/hot")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert max(p.n_docs for p in tf.read_manifest(spark, folder).collect()) < 150
+    check(spark, df, folder, rows)
+
+
 def test_empty_table(spark, tmp_dir):
     folder = tf.write_token_files(docs(spark, []), PATH, folder=f"{tmp_dir}/none")
     assert tf.read_token_files(spark, folder).count() == 0

@@ -1,6 +1,7 @@
 """Token ids as flat unsigned integer files with 64-bit document offsets.
 
-A run folder holds, per range partition of the document id:
+A run folder holds, per range partition of the document id and, for equal ids,
+of the first 256 characters of the text:
 
 * ``part-NNNNN.ids``   the ids of its documents one after another, unsigned
   little-endian, 16 bits if the vocabulary fits, else 32;
@@ -9,7 +10,7 @@ A run folder holds, per range partition of the document id:
   allowed);
 
 and ``manifest``, a Parquet table with one row per part. Parts are ascending
-in the document id, so the start of a part in the whole corpus is the prefix
+in the document id and text, so the start of a part in the whole corpus is the prefix
 sum of the counts before it.
 
 Files are written under a temporary name and renamed, and their names depend
@@ -49,6 +50,8 @@ CACHE_PIECES = 500_000
 SLICE_CHARS = 3 << 20
 # Pieces given to the library as one text.
 JOINED = 2_000
+# Characters of the text by which equal ids are ranged.
+RANGE_CHARS = 256
 # White space other than blanks and line ends; runs of those two.
 OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 RUNS = ("  ", " \n", "\n ", "\n\n")
@@ -172,7 +175,10 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int | None = 0,
     src = df.select(F.col(quoted(id_col)).alias("id"),
                     F.col(quoted(text_col)).cast("string").alias("text"))
     bound_batches(spark)
-    ranged = src.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # by the text too, so that a repeated id spreads over parts; a prefix has the
+    # same order and bounds what the sample of the ranges takes to the driver
+    ranged = src.repartitionByRange("id", F.substring("text", 1, RANGE_CHARS)) \
+        .sortWithinPartitions("id", "text")
 
     def write(batches):
         from pyspark import TaskContext
