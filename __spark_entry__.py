@@ -719,7 +719,14 @@ def q_chunks(spark, sf):
 
 # kNN: the query vectors are the per-label centroids of the embedding table,
 # the corpus is the whole table.
-def _knn_sql(metric):
+_CENTROIDS_SQL = """u AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v
+           FROM embeddings, range(1, len(embedding) + 1) r(i) GROUP BY label, i),
+q AS (SELECT label AS qid, list(v ORDER BY i) AS qv FROM u GROUP BY label)"""
+_QUERY_ROWS_SQL = """q AS (SELECT vec_id AS qid, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings
+      WHERE vec_id % 20 = 0)"""
+
+
+def _knn_sql(metric, queries=_CENTROIDS_SQL):
     if metric == "l2":
         dist = ("list_sum(list_transform(range(1, len(e.embedding) + 1), lambda j: "
                 "(CAST(e.embedding[j] AS DOUBLE) - q.qv[j]) * (CAST(e.embedding[j] AS DOUBLE) "
@@ -732,9 +739,7 @@ def _knn_sql(metric):
         nq = "sqrt(list_sum(list_transform(q.qv, lambda x: x * x)))"
         dist = f"1.0 - CASE WHEN {ne} * {nq} > 0 THEN {dot} / ({ne} * {nq}) ELSE 0.0 END"
     return f"""
-WITH u AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS v
-           FROM embeddings, range(1, len(embedding) + 1) r(i) GROUP BY label, i),
-q AS (SELECT label AS qid, list(v ORDER BY i) AS qv FROM u GROUP BY label),
+WITH {queries},
 d AS (SELECT q.qid, e.vec_id, e.label, {dist} AS distance FROM q, embeddings e),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS rank FROM d)
 """
@@ -768,6 +773,21 @@ def q_knn_sources(spark, sf):
     return rt.sources_per_query(_knn_spark(spark, sf, "l2"), "qid", "label")
 
 
+# The query vectors are rows, one in twenty, so that both sides grow with the table.
+for _metric in ["l2", "cosine"]:
+    def _mk_knn(metric):
+        def q(spark, sf):
+            emb = spark.read.parquet(f"{sf}/embeddings.parquet")
+            rows = emb.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+            return knn(emb, rows, k=3, metric=metric).select(
+                "qid", "vec_id", F.col("rank").cast("long").alias("rank"),
+                (F.round("distance", 6) + F.lit(0.0)).alias("distance"))  # no -0.0
+        q.__name__ = f"q_knn_rows_{metric}"
+        return q
+    _register(f"knn_rows_{_metric}", _knn_sql(_metric, _QUERY_ROWS_SQL) + "SELECT qid, vec_id, rank, "
+              "round(distance, 6) + 0.0 AS distance FROM r WHERE rank <= 3")(_mk_knn(_metric))
+
+
 _CHUNKS_SQL = _SQL["chunk_documents"].strip()
 _TERMS_SQL = f"""
 WITH ch AS ({_CHUNKS_SQL}),

@@ -55,3 +55,14 @@ def test_centroids_match_mean(spark):
     rows = [("a", [1.0, 3.0]), ("a", [3.0, 5.0]), ("a", None), ("b", [0.5, 0.25])]
     df = spark.createDataFrame(rows, "g string, embedding array<float>")
     assert {r.g: r.embedding for r in centroids(df, "g").collect()} == {"a": [2.0, 4.0], "b": [0.5, 0.25]}
+
+
+def test_registered_row_queries_grow_with_the_table(spark):
+    import __spark_entry__ as se
+    from conftest import SF_SMALL
+    ids = {r.vec_id for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id").collect()}
+    want = {i for i in ids if i % 20 == 0}
+    for metric in ("l2", "cosine"):
+        got = se.queries()[f"knn_rows_{metric}"](spark, SF_SMALL).collect()
+        assert want and {r.qid for r in got} == want and len(got) == 3 * len(want)
+        assert all(r.vec_id == r.qid for r in got if r["rank"] == 1 and metric == "l2")
