@@ -162,6 +162,16 @@ def q_fact_partitions(spark, sf):
                                                  F.sum("los_days").alias("days"))
 
 
+@_register("fact_months", tw.with_star(
+    "SELECT admission_year, admission_month, count(*) AS n, CAST(sum(los_days) AS BIGINT) AS days "
+    "FROM fact_admission GROUP BY ALL"))
+def q_fact_months(spark, sf):
+    """The written fact read back whole, all years and months."""
+    fact = spark.read.parquet(f"{inputs.encounter_star(spark, sf)['folder']}/fact_admission")
+    return fact.groupBy("admission_year", "admission_month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("los_days").alias("days"))
+
+
 @_register("surrogate_keys", tw.with_star(
     "SELECT 'patient' AS dim, count(*) AS n, count(DISTINCT patient_key) AS n_keys, "
     "min(patient_key) AS min_key, max(patient_key) AS max_key FROM dim_patient "

@@ -57,3 +57,12 @@ def test_relationships_counts_orphan_rows(spark):
     assert r.failures == 11 and r.passed is False  # key 3 once, key 5 ten times; NULL ignored
     ok = qa.check_relationships(child.filter("k <= 2"), "c", "k", parent, "k").first()
     assert ok.failures == 0 and ok.passed is True
+
+
+def test_fact_months_count_the_whole_fact(spark):
+    import __spark_entry__ as se
+    from conftest import SF_SMALL
+    from wardstar.plans import inputs
+    months = se.queries()["fact_months"](spark, SF_SMALL).collect()
+    assert sum(r.n for r in months) == inputs.encounter_star(spark, SF_SMALL)["fact_admission"].count()
+    assert {r.admission_year for r in months} > set(range(2000, 2005))
