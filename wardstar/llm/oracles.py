@@ -96,3 +96,66 @@ SELECT pair_id, conv_id, CASE WHEN shared THEN 'prompt' ELSE side END AS part, p
   NOT shared AND coalesce(role = 'assistant', false) AS train
 FROM p WHERE NOT shared OR side = 'chosen'
 """
+
+# CRC-32 of a short text, bit by bit: a value below 256 is a byte to take in, -1 a shift.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split({0}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))"""
+
+
+def _field(x: str) -> str:
+    return f"coalesce(strlen({x}) || ':' || {x}, '-')"
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(map(_field, fields)) + ")"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE
+leaf AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_leaf("text")} AS leaf,
+    CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 3 = 0
+      THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+      ELSE {_leaf("text")} END AS claim FROM documents),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+tree AS (
+  SELECT g, 0 AS lvl, pos AS i, n, leaf AS d FROM placed
+  UNION ALL
+  SELECT g, lvl + 1, i // 8, any_value((n + 7) // 8), sha256(string_agg(d, '' ORDER BY i))
+  FROM tree WHERE n > 1 GROUP BY g, lvl, i // 8),
+sub AS (SELECT g, lvl AS h, d AS subroot, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, g - 1 AS i, n, subroot AS d FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 8, any_value((n + 7) // 8), sha256(string_agg(d, '' ORDER BY i))
+  FROM top WHERE n > 1 GROUP BY lvl, i // 8),
+climb AS (
+  SELECT r, g, lvl, pos // (8 ** lvl)::BIGINT AS i, lvl AS step
+  FROM placed JOIN sub USING (g), LATERAL (SELECT unnest(generate_series(0, h - 1)) AS lvl)
+  UNION ALL
+  SELECT r, NULL, lvl, (g - 1) // (8 ** lvl)::BIGINT, 1000 + lvl
+  FROM placed, LATERAL (SELECT unnest(generate_series(0, (SELECT max(lvl) FROM top) - 1)) AS lvl)),
+sides AS (
+  SELECT c.r, c.step, coalesce(string_agg(t.d, '' ORDER BY t.i) FILTER (t.i < c.i), '') AS a,
+    coalesce(string_agg(t.d, '' ORDER BY t.i) FILTER (t.i > c.i), '') AS b
+  FROM climb c JOIN (
+    SELECT g, lvl, i, d FROM tree UNION ALL SELECT NULL, lvl, i, d FROM top) t
+  ON c.g IS NOT DISTINCT FROM t.g AND c.lvl = t.lvl AND c.i // 8 = t.i // 8
+  GROUP BY c.r, c.step),
+paths AS (
+  SELECT r, list({{'a': a, 'b': b}} ORDER BY step) AS path, string_agg(a || b, '' ORDER BY step) AS s
+  FROM sides GROUP BY r),
+folded AS (
+  SELECT r, coalesce(path, []) AS path, coalesce(s, '') AS s, 1 AS k, claim AS d
+  FROM placed LEFT JOIN paths USING (r)
+  UNION ALL
+  SELECT r, path, s, k + 1, sha256(path[k].a || d || path[k].b) FROM folded WHERE k <= len(path))
+SELECT doc_id, leaf, subroot, (SELECT d FROM top WHERE n = 1) AS root, sha256(s) AS proof_sha256,
+  d AS folded_root, d = (SELECT d FROM top WHERE n = 1) AS verified
+FROM folded JOIN placed USING (r) JOIN sub USING (g) WHERE k > len(path)
+"""

@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat_format, decontaminate, pii, quality_rules, simhash, token_counts, token_files,
+from . import (bpe, chat_format, decontaminate, merkle, pii, quality_rules, simhash, token_counts, token_files,
                toxicity, url_filter)
-from .common import table
-from .oracles import OP6_SQL, OP8_SQL, OP9_SQL
+from .common import ascii_lower, table
+from .oracles import OP6_SQL, OP8_SQL, OP9_SQL, OP11_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -121,3 +121,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.write_token_files(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0)
     return token_files.read_token_files(spark, folder, docs.schema["doc_id"].dataType,
                                         with_ids=False)
+
+
+@_query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third row, by the checksum of its id, claims a text in lower case."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.leaf_digest(*head, F.col("text"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    claim = F.when(tampered, merkle.leaf_digest(*head, ascii_lower(F.col("text")))).otherwise(leaf)
+    manifest = merkle.build_manifest(docs, leaf, "lang", "doc_id",
+                                     carry=[F.col("doc_id"), claim.alias("claim")])
+    return merkle.audit(manifest, F.col("row.claim")).select(
+        "row.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("witness")).alias("proof_sha256"),
+        "folded_root", "verified")
