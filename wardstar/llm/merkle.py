@@ -249,7 +249,7 @@ def build_manifest(df: DataFrame, leaf: Column, group_col: str, order_col: str,
     order = global_row_number(top, ["grp"], out="place", total_col="total")
     trees = _rounds(order.select(F.lit(0).alias("grp"), (F.col("place") - 1).alias("pos"), "total", "digest",
                                  F.struct("grp").alias("row")), "merkle-groups")
-    root = trees[-1].where("run = 0").select(F.lit(0).alias("grp_above"), "root", _steps().alias("steps"))
+    root = trees[-1].where("run = 0").select(F.col("grp").alias("grp_above"), "root", _steps().alias("steps"))
     groups = _witnessed(trees, root).select(F.col("row.grp").alias("group"), F.col("digest").alias("subroot"),
                                             "root", F.col("steps").alias("witness"))
     return Manifest(rounds, materialize(groups, "merkle-tops"))

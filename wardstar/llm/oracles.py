@@ -159,3 +159,25 @@ SELECT doc_id, leaf, subroot, (SELECT d FROM top WHERE n = 1) AS root, sha256(s)
   d AS folded_root, d = (SELECT d FROM top WHERE n = 1) AS verified
 FROM folded JOIN placed USING (r) JOIN sub USING (g) WHERE k > len(path)
 """
+
+OP13_SQL = """
+WITH e AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, c.vec_id, c.r, a.label = c.label AS same,
+    list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM e a JOIN e c ON a.r <> c.r AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, r) AS i FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY a, i ORDER BY score DESC, vec_id NULLS LAST, r) AS rank
+  FROM p JOIN s USING (a)
+  WHERE i <= 5 AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""

@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat_format, decontaminate, merkle, pii, quality_rules, simhash, token_counts, token_files,
-               toxicity, url_filter)
+from . import (bpe, chat_format, decontaminate, hard_negatives, merkle, pii, quality_rules, sharding,
+               simhash, token_counts, token_files, toxicity, url_filter)
 from .common import ascii_lower, table
-from .oracles import OP6_SQL, OP8_SQL, OP9_SQL, OP11_SQL
+from .oracles import OP6_SQL, OP8_SQL, OP9_SQL, OP11_SQL, OP13_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -50,14 +50,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"])
 
 
-# A deployment passes its own secret.
-PII_KEY = "wardstar-query-key"
+def pii_key(spark: SparkSession) -> str:
+    """A deployment sets its own secret; the fallback is for trials only."""
+    return spark.conf.get("spark.wardstar.piiKey", "wardstar-query-key")
 
 
 @_query("op3_pii")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = pii.pseudonymize(docs, PII_KEY)
+    out = pii.pseudonymize(docs, pii_key(spark))
     return out.select("doc_id", "text", "pii", F.size("pii").cast("long").alias("n_pii"))
 
 
@@ -136,3 +137,21 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(manifest, F.col("row.claim")).select(
         "row.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("witness")).alias("proof_sha256"),
         "folded_root", "verified")
+
+
+@_query("op12_sharding")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sharding.shard_by_bytes(docs, n_shards=16, tolerance=0.01, keep=["doc_id"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row is given the next label."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine_hard_negatives(rows, vec_id % 100 == 0, n_positives=5, n_negatives=10,
+                                              low_percent=30, high_percent=90, scale=256)
