@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wardstar.llm import bpe, decontaminate, pii, simhash, toxicity
 from wardstar.llm.common import table
-from wardstar.llm.queries import PII_KEY, tokenizer_path
+from wardstar.llm.queries import pii_key, tokenizer_path
 from wardstar.session import materialize
 
 
@@ -35,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms; the length column follows the text."""
-    out = pii.pseudonymize(docs, PII_KEY)
+    out = pii.pseudonymize(docs, pii_key(spark))
     length = F.when(F.size("pii") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", length).select(*docs.columns)
 
