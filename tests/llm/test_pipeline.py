@@ -60,7 +60,7 @@ def test_decontamination_stage(spark, steps):
 def test_pii_stage(steps):
     import hashlib
     before, after = map(rows, steps[3])
-    key = hashlib.blake2b(queries.PII_KEY.encode(), digest_size=32).digest()
+    key = hashlib.blake2b(queries.pii_key(spark).encode(), digest_size=32).digest()
     for i, r in before.items():
         found = pii.find(r.text, key)
         assert after[i].text == pii.replace(r.text, found)
@@ -88,6 +88,6 @@ def test_queries_equal_duckdb(spark, name):
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_queries_give_one_row_per_input_row(spark, name):
-    source = {"op4_url_filter": "pages", "op8_chat_format": None}.get(name, "documents")
+    source = {"op4_url_filter": "pages", "op8_chat_format": None, "op13_hard_negatives": None}.get(name, "documents")
     if source:
         assert queries.QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{source}.parquet").count()

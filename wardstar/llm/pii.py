@@ -9,16 +9,20 @@ are written with. The permutation can be undone with the key.
 
 ==========  ============================================================
 card        13 to 19 digits with Luhn's check digit, in groups of any size
-            with a blank or a hyphen between; first digit stays
+            with a blank (also one that does not break) or a hyphen between;
+            first digit stays
 iban        country and length stay, check digits are made anew
 ssn         AAA-GG-SSSS with a valid area, group and serial
 phone       +C... (7 to 15 digits), (AAA) EEE-LLLL or AAA-EEE-LLLL; country
             code stays
-ip          four octets
+ip          four octets; version 6 as it is written, three groups at least
 date        YYYY-MM-DD, DD.MM.YYYY, DD/MM/YYYY or MM/DD/YYYY, 1900 to 2099;
-            a time may follow after T
+            a time may follow after T; with a month's full name 5 March 2021,
+            March 5, 2021, 5. Mai 2021, 5 mai 2021 and 5 de mayo de 2021
 email       letters and digits of the local part; the domain stays
-secret      access keys and assigned passwords or tokens, by character class
+secret      access keys by their heads, signed web tokens, bearer tokens, the
+            body of private keys, assigned passwords or tokens; by character
+            class, heads stay
 ==========  ============================================================
 
 A match that fails its validation does not hide others: the search goes on one
@@ -32,12 +36,19 @@ from the digits of an IBAN that is not valid. One span in ten
 passes Luhn's check by chance, so beside other numbers a pseudonym can be read
 in other borders than the value was; the finds (``pii``) hold the true ones.
 
+A value of up to ``LONG`` symbols is one number, moved by a Feistel network
+over its two halves as numbers. A longer one, such as a key file or minified
+script after an equals sign, is two halves of symbols: every symbol of a half is
+shifted within its class by a keyed stream that is as long as the half and
+depends on all of the other, so no run of it stays and the cost is linear.
+
 A text is worked on by itself in Arrow batches: no shuffle, no shared state.
 
 Defined cases: a null text stays null and has no finds; an empty text stays
 empty; overlapping finds are taken from the left, the longer and then the
 earlier kind of the table first; repeated rows are replaced alike; extra
-columns pass through, those that clash with ``pii`` are replaced.
+columns pass through, those that clash with ``pii`` are replaced; texts and
+values may be of any length; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -46,9 +57,11 @@ import datetime
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from ipaddress import IPv6Address
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +70,9 @@ from pyspark.sql import types as T
 from .common import add_text_columns, quoted
 
 ROUNDS = 10
+# Symbols up to which a value is moved as one number: half of them, at most 36
+# apiece, leave the 64 bytes of the round function 16 bytes to spare.
+LONG = 128
 DIGITS = "0123456789"
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 N_DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
@@ -98,6 +114,8 @@ def permute(x: int, n: int, key: bytes, tweak: str, undo: bool = False) -> int:
 def permute_digits(values: list[int], radices: list[int], key: bytes, tweak: str,
                    undo: bool = False) -> list[int]:
     """The same for a number given by its digits in a mixed radix."""
+    if len(values) > LONG:
+        return permute_symbols(values, radices, key, tweak, undo)
     x, n = 0, 1
     for v, r in zip(values, radices):
         x, n = x * r + v, n * r
@@ -109,6 +127,28 @@ def permute_digits(values: list[int], radices: list[int], key: bytes, tweak: str
     return out[::-1]
 
 
+def _shifts(key: bytes, tweak: bytes, i: int, half: np.ndarray, n: int) -> np.ndarray:
+    """``n`` keyed 64-bit numbers that depend on all symbols of ``half``."""
+    seed = hashlib.blake2b(tweak + i.to_bytes(1, "big") + half.tobytes(), key=key[:64]).digest()
+    return np.frombuffer(hashlib.shake_256(seed).digest(8 * n), "<u8")
+
+
+def permute_symbols(values: list[int], radices: list[int], key: bytes, tweak: str,
+                    undo: bool = False) -> list[int]:
+    """A keyed permutation of the sequences of these radices (256 at most), in
+    linear time: a Feistel network over two halves of the sequence, in which a
+    half's symbols are shifted by a stream made from the other half."""
+    x, r = np.array(values, np.int64), np.array(radices, np.uint64)
+    form = tweak.encode() + b"|" + hashlib.blake2b(r.astype(np.uint8).tobytes()).digest()
+    cut = len(x) // 2
+    sides = [(slice(0, cut), slice(cut, None)), (slice(cut, None), slice(0, cut))]
+    for i in range(ROUNDS)[::-1] if undo else range(ROUNDS):
+        known, moved = sides[i % 2]
+        shift = (_shifts(key, form, i, x[known].astype(np.uint8), len(x[moved])) % r[moved]).astype(np.int64)
+        x[moved] = (x[moved] + (-shift if undo else shift)) % r[moved].astype(np.int64)
+    return x.tolist()
+
+
 # ------------------------------------------------------------ formats
 def _refill(shape: str, values: str, chars: str = DIGITS) -> str:
     """``shape`` with its characters of ``chars`` replaced by ``values``."""
@@ -182,15 +222,35 @@ def _card_spans(text: str) -> Iterator[tuple[int, int, bool, bool]]:
                         yield lo, groups[j][1], grouped, one
 
 
-def _by_class(s: str, key: bytes, tweak: str, undo: bool) -> str:
-    """Letters and digits moved within their classes; case and all other
-    characters stay. Upper and lower case are one value."""
-    kinds = [10 if c in DIGITS else 26 if c.isascii() and c.isalpha() else 0 for c in s]
-    values = [int(c) if k == 10 else ord(c.lower()) - 97 for c, k in zip(s, kinds) if k]
+@lru_cache(maxsize=4096)
+def _letters(c: str) -> str:
+    """The letters among which a letter beyond ASCII is moved: those of its case
+    in its row of 32 code points."""
+    row = ord(c) & ~31
+    return "".join(x for x in map(chr, range(row, row + 32)) if x.isalpha() and x.isupper() == c.isupper())
+
+
+def _class(c: str) -> int:
+    if c.isascii():
+        return 10 if c in DIGITS else 26 if c.isalpha() else 0
+    return len(_letters(c)) if c.isalpha() else 0
+
+
+def _by_class(s: str, key: bytes, tweak: str, undo: bool, stays: Sequence[tuple[int, int]] = ()) -> str:
+    """Letters and digits moved within their classes; case, all other
+    characters and those in the ranges ``stays`` stay. Upper and lower case of
+    ASCII letters are one value."""
+    kinds = [_class(c) for c in s]
+    for lo, hi in stays:
+        kinds[lo:hi] = [0] * (hi - lo)
+    values = [int(c) if k == 10 and c in DIGITS else ord(c.lower()) - 97 if c.isascii() else _letters(c).index(c)
+              for c, k in zip(s, kinds) if k]
     new = iter(permute_digits(values, [k for k in kinds if k], key, tweak, undo))
     out = []
     for c, k in zip(s, kinds):
-        if k == 10:
+        if k and not c.isascii():
+            c = _letters(c)[next(new)]
+        elif k == 10:
             c = str(next(new))
         elif k:
             c = chr((65 if c.isupper() else 97) + next(new))
@@ -287,6 +347,31 @@ def ip(s: str, key: bytes, undo: bool) -> str | None:
     return ".".join(map(str, permute_digits(octets, [256] * 4, key, "ip", undo)))
 
 
+def ip6(s: str, key: bytes, undo: bool) -> str | None:
+    """Hexadecimal digits of an address as it is written: a group keeps its
+    digits and is led by a nought only if it was."""
+    try:
+        IPv6Address(s)
+    except ValueError:
+        return None
+    groups = [g for g in s.split(":") if g]
+    if len(groups) < 3 or "." in s or not any(c in DIGITS for c in s):
+        return None
+    values, low, radices = [], [], []
+    for g in groups:
+        for i, c in enumerate(g):
+            first = not i and len(g) > 1
+            low.append(int(first and c != "0"))
+            radices.append(1 if first and c == "0" else 16 - low[-1])
+            values.append(int(c, 16) - low[-1])
+    new = iter([v + k for v, k in zip(permute_digits(values, radices, key, "ip6", undo), low)])
+    return "".join(c if c == ":" else _like(c, next(new)) for c in s)
+
+
+def _like(c: str, value: int) -> str:
+    return f"{value:X}" if c.isupper() else f"{value:x}"
+
+
 def _day(y: int, m: int, d: int) -> int | None:
     try:
         n = datetime.date(y, m, d).toordinal() - FIRST_DAY
@@ -320,6 +405,35 @@ def date(s: str, key: bytes, undo: bool) -> str | None:
     return parts[order[0]] + marks[0] + parts[order[1]] + marks[1] + parts[order[2]]
 
 
+# The months' names.
+_MONTHS = {lang: names.split() for lang, names in {
+    "en": "January February March April May June July August September October November December",
+    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+}.items()}
+
+
+def _named(lang: str) -> Callable:
+    """A date with a month's name in one language; the order and marks stay."""
+    number = {n.lower(): i + 1 for i, n in enumerate(_MONTHS[lang])}
+
+    def named_date(s: str, key: bytes, undo: bool) -> str | None:
+        words = re.findall(r"[^\W\d_]+|[0-9]+", s)
+        month = next(w for w in words if w.lower() in number)
+        day, year = (w for w in words if w[0] in DIGITS)
+        n = _day(int(year), number[month.lower()], int(day))
+        if n is None or len(day) > 1 and day[0] == "0":
+            return None
+        new = datetime.date.fromordinal(FIRST_DAY + permute(n, N_DAYS, key, "date", undo))
+        name = _MONTHS[lang][new.month - 1]
+        name = name.upper() if month.isupper() else name.lower() if month.islower() else name.capitalize()
+        it = iter([name if w == month else f"{new.year:04d}" if len(w) == 4 else str(new.day)
+                   for w in words if w == month or w[0] in DIGITS])
+        return re.sub(rf"{month}|[0-9]+", lambda _: next(it), s)
+    return named_date
+
+
 @lru_cache
 def _slashed(order: str) -> list[int] | range:
     """Days that a slashed date of this order can stand for: with the month
@@ -339,14 +453,27 @@ def secret(s: str, key: bytes, undo: bool) -> str | None:
     if re.fullmatch("[0-9a-f]+", s):
         return "".join(f"{v:x}" for v in permute_digits([int(c, 16) for c in s], [16] * len(s), key,
                                                         "hex", undo))
-    head = "AKIA" if re.fullmatch("AKIA[0-9A-Z]{16}", s) else ""
+    if _SIGNED(s):
+        second = s.index(".") + 1
+        return _by_class(s, key, "signed", undo, [(0, 3), (second, second + 3)])
+    m = _KEY_HEAD(s)
+    head = m.group() if m else ""
     new = s[len(head):]
-    while True:  # walk on where it would be read as hexadecimal
+    while True:  # walk on where it would be read in another way
         new = _by_class(new, key, "secret" + head, undo)
-        if head or not re.fullmatch("[0-9a-f]+", new):
+        if head or not (re.fullmatch("[0-9a-f]+", new) or _KEY_HEAD(new) or _SIGNED(new)):
             return head + new
 
 
+# Fixed patterns: keys with a head of their own, web tokens signed by their issuer.
+_KEYS = (r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|sk-[A-Za-z0-9_-]{20,}"
+         r"|AIza[0-9A-Za-z_-]{35}")
+_KEY_HEAD = re.compile(rf"(?=(?:{_KEYS})\Z)(?:AKIA|gh[pousr]_|github_pat_|sk-|AIza)").match
+_SIGNED_TOKEN = r"eyJ[A-Za-z0-9_-]{5,}\.eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{5,}"
+_SIGNED = re.compile(_SIGNED_TOKEN).fullmatch
+_SECRET_NAMES = r"(?:password|passwd|pwd|token|secret|(?:api|access|private)[_-]?key)"
+
+
 # Fixed patterns; the named group is the value. Order breaks ties.
 _EDGE, _STOP = r"(?<![\w.+-])", r"(?![\w])(?!\.[0-9])"
 _NANP = r"\+1[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
@@ -360,16 +487,25 @@ FINDERS: list[tuple[str, str, Callable]] = [
     ("ip", rf"{_EDGE}(?P<v>[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}){_STOP}", ip),
     ("date", rf"{_EDGE}(?P<v>[0-9]{{4}}(?P<m>[-./])[0-9]{{2}}(?P=m)[0-9]{{2}}"
              rf"|[0-9]{{2}}(?P<n>[-./])[0-9]{{2}}(?P=n)[0-9]{{4}})(?:{_STOP}|(?=[Tt][0-9]{{2}}))", date),
-    ("email", r"(?<![\w.%+-])(?P<v>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
-     email),
-    ("secret", r"(?<!\w)(?P<v>AKIA[0-9A-Z]{16})(?!\w)", secret),
-    ("secret", r"(?i)(?<!\w)(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+    ("ip", r"(?<![\w:.])(?P<v>(?=[0-9A-Fa-f:]*[0-9])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){3,8})(?![\w:])", ip6),
+    *[("date", rf"(?i)(?<![\w.-])(?P<v>{form.format(m='(?:' + '|'.join(_MONTHS[lang]) + ')')})(?!\w)", _named(lang))
+      for lang, form in (("en", "{m} [0-9]{{1,2}}, [0-9]{{4}}"), ("en", "[0-9]{{1,2}} {m},? [0-9]{{4}}"),
+                         ("de", r"[0-9]{{1,2}}\. {m} [0-9]{{4}}"), ("fr", "[0-9]{{1,2}} {m} [0-9]{{4}}"),
+                         ("es", "[0-9]{{1,2}} de {m} de [0-9]{{4}}"))],
+    ("email", r"(?<![\w.%+-])(?P<v>[^\W_][\w.%+-]*@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)*"
+              r"\.[^\W\d_]{2,})", email),
+    ("secret", rf"(?<![\w-])(?P<v>{_SIGNED_TOKEN})(?![\w-])", secret),
+    ("secret", rf"(?<!\w)(?P<v>{_KEYS})(?!\w)", secret),
+    ("secret", r"(?i)(?<!\w)bearer\s{1,3}(?P<v>(?=[^\s0-9]*[0-9])[A-Za-z0-9._~+/-]{16,}=*)", secret),
+    ("secret", r"-----BEGIN (?P<k>[A-Z0-9 ]{0,40}PRIVATE KEY)-----\s+(?:[A-Za-z-]{1,40}: [^\n]*\n)*"
+               r"(?P<v>[A-Za-z0-9+/=\s]+)-----END (?P=k)-----", secret),
+    ("secret", rf"(?i)(?<![A-Za-z0-9]){_SECRET_NAMES}(?:[_-](?:access[_-])?key)?\s{{0,3}}[=:]\s{{0,3}}[\"']?"
                r"(?P<v>[^\s\"']{6,})", secret),
 ]
-_MAY_HOLD = re.compile(r"[0-9@]|AKIA|(?i:password|passwd|pwd|token|secret|api[_-]?key)").search
+_MAY_HOLD = re.compile(rf"[0-9@]|AKIA|gh[pousr]_|github_pat_|sk-|AIza|eyJ|PRIVATE KEY|(?i:{_SECRET_NAMES})").search
 _COMPILED = [(kind, re.compile(pattern), fn) for kind, pattern, fn in FINDERS]
-# digit groups with one blank or hyphen between
-_DIGIT_GROUPS, _GROUP = re.compile(rf"{_EDGE}[0-9]+(?:[ -][0-9]+)*"), re.compile("[0-9]+")
+# digit groups with one blank, breaking or not, or hyphen between
+_DIGIT_GROUPS, _GROUP = re.compile(rf"{_EDGE}[0-9]+(?:[ \u00a0\u2007\u202f-][0-9]+)*"), re.compile("[0-9]+")
 _AT_STOP = re.compile(_STOP).match
 _IBAN_HEAD = re.compile(r"(?:^|\W)([A-Z]{2})[0-9]{2} $").search
 
