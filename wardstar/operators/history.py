@@ -6,6 +6,10 @@ missing from the current data stay open (no hard deletes); new keys get a
 first version. Comparison is NULL-safe (NULL = NULL is unchanged). Closed
 versions are passed through untouched; only open versions meet the current
 rows, in one full outer join on the key.
+
+A key may stand for one current row only. Of a key that is repeated the least
+row counts (column by column in their order, NULL first), so that repeated
+runs agree; with ``repeats="error"`` a repeated key fails the run.
 """
 
 from __future__ import annotations
@@ -20,6 +24,20 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], repeats: str = "least") -> DataFrame:
+    """One row per key; map-side combine reduces a hot key before the shuffle."""
+    if repeats not in ("least", "error"):
+        raise ValueError("repeats must be 'least' or 'error'")
+    values = [c for c in df.columns if c not in keys]
+    row = F.struct(F.lit(0).alias("_ws_0"), *[F.col(c) for c in values])
+    one = df.groupBy(*keys).agg(F.min(row).alias("_ws_row"), F.count(F.lit(1)).alias("_ws_n"))
+    if repeats == "error":
+        said = F.concat(F.lit("repeated key in the current rows: "), F.to_json(F.struct(*keys)))
+        one = one.withColumn("_ws_row", F.when(F.col("_ws_n") == 1, F.col("_ws_row")).otherwise(
+            F.raise_error(said).cast(one.schema["_ws_row"].dataType)))
+    return one.select(*[c if c in keys else F.col(f"_ws_row.{c}").alias(c) for c in df.columns])
+
+
 def scd2_init(current: DataFrame, as_of, valid_from: str = "valid_from",
               valid_to: str = "valid_to", ts_type: str = "date") -> DataFrame:
     return current.withColumns({valid_from: _lit(as_of).cast(ts_type),
@@ -28,8 +46,9 @@ def scd2_init(current: DataFrame, as_of, valid_from: str = "valid_from",
 
 def scd2_merge(history: DataFrame | None, current: DataFrame, key: Sequence[str] | str,
                check_cols: Sequence[str], as_of, valid_from: str = "valid_from",
-               valid_to: str = "valid_to", ts_type: str = "date") -> DataFrame:
+               valid_to: str = "valid_to", ts_type: str = "date", repeats: str = "least") -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
+    current = one_per_key(current, keys, repeats)
     if history is None:
         return scd2_init(current, as_of, valid_from, valid_to, ts_type)
     value_cols = [c for c in current.columns if c not in keys]

@@ -4,30 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import exact_mean_2dp, exact_pct_2dp
 
 
-def mart_readmission(fact: DataFrame, dim: DataFrame, key: str, group: str,
-                     extra: Sequence[tuple[str, str]] = (("num_medications", "avg_medications"),)
-                     ) -> DataFrame:
-    """Per ``group``: encounters, 30-day readmissions, rate %, mean LOS, extra means.
+DEPARTMENT_MART = ("department_key", "medical_specialty", (("num_medications", "avg_medications"),))
+DIAGNOSIS_MART = ("diagnosis_key", "diag_1_group", (("prior_visits_total", "avg_prior_visits"),))
 
-    Same result as joining fact to dim and grouping, but the fact is reduced
-    to one row per key first (partial aggregation map-side), so only the
-    per-key sums meet the dimension: the fact is never shuffled whole.
-    Means and the rate are rounded half-up to 2 decimals exactly.
-    """
-    sums = [F.count(F.lit(1)).alias("_n"), F.sum("readmitted_30d").alias("_r"),
-            F.sum("los_days").alias("_los")]
-    sums += [F.sum(src).alias(f"_x{i}") for i, (src, _) in enumerate(extra)]
-    per_key = fact.groupBy(key).agg(*sums)
+
+def mart_sums(extra: Sequence[tuple[str, str]]) -> dict[str, Column]:
+    """The whole-number sums that a mart is made of, by name; sums of parts of
+    the fact may be summed again."""
+    return {"_n": F.count(F.lit(1)), "_r": F.sum("readmitted_30d"), "_los": F.sum("los_days"),
+            **{f"_x{i}": F.sum(src) for i, (src, _) in enumerate(extra)}}
+
+
+def mart_of_sums(per_key: DataFrame, dim: DataFrame, key: str, group: str,
+                 extra: Sequence[tuple[str, str]]) -> DataFrame:
+    """A mart from sums per key (one or more rows per key)."""
     joined = per_key.join(dim.select(key, group), key, "inner")
-    roll = joined.groupBy(group).agg(
-        F.sum("_n").alias("_n"), F.sum("_r").alias("_r"), F.sum("_los").alias("_los"),
-        *[F.sum(f"_x{i}").alias(f"_x{i}") for i in range(len(extra))])
+    roll = joined.groupBy(group).agg(*[F.sum(c).alias(c) for c in mart_sums(extra)])
     out = roll.select(
         F.col(group),
         F.col("_n").cast("long").alias("n_encounters"),
@@ -39,14 +37,25 @@ def mart_readmission(fact: DataFrame, dim: DataFrame, key: str, group: str,
     return out.orderBy(F.desc("n_encounters"), F.asc(group))
 
 
+def mart_readmission(fact: DataFrame, dim: DataFrame, key: str, group: str,
+                     extra: Sequence[tuple[str, str]] = DEPARTMENT_MART[2]) -> DataFrame:
+    """Per ``group``: encounters, 30-day readmissions, rate %, mean LOS, extra means.
+
+    Same result as joining fact to dim and grouping, but the fact is reduced
+    to one row per key first (partial aggregation map-side), so only the
+    per-key sums meet the dimension: the fact is never shuffled whole.
+    Means and the rate are rounded half-up to 2 decimals exactly.
+    """
+    per_key = fact.groupBy(key).agg(*[c.alias(n) for n, c in mart_sums(extra).items()])
+    return mart_of_sums(per_key, dim, key, group, extra)
+
+
 def mart_by_department(fact: DataFrame, dim_department: DataFrame) -> DataFrame:
-    return mart_readmission(fact, dim_department, "department_key", "medical_specialty",
-                            [("num_medications", "avg_medications")])
+    return mart_readmission(fact, dim_department, *DEPARTMENT_MART)
 
 
 def mart_by_diagnosis(fact: DataFrame, dim_diagnosis: DataFrame) -> DataFrame:
-    return mart_readmission(fact, dim_diagnosis, "diagnosis_key", "diag_1_group",
-                            [("prior_visits_total", "avg_prior_visits")])
+    return mart_readmission(fact, dim_diagnosis, *DIAGNOSIS_MART)
 
 
 # The model's input columns and their order.

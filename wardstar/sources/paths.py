@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -26,3 +28,29 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole or not at all; raises if there is one."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs, p = _fs(spark, path)
+    temp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
+    stream = fs.create(temp, False)
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        # unlike FileSystem.rename, this one refuses to replace a file
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), conf).rename(temp, p, options)
+    except Exception as e:
+        fs.delete(temp, False)
+        raise FileExistsError(f"{path} is there already, or cannot be written") from e
