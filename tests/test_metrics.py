@@ -55,3 +55,16 @@ def test_class_report_class_never_actual(spark):
     assert abs(rep["0"].recall - 2 / 3) < 1e-15
     assert abs(rep["accuracy"].f1_score - 2 / 3) < 1e-15
     assert rep["macro avg"].support == 3
+
+
+def test_rows_without_a_label_or_a_score_are_left_out(spark):
+    nan = float("nan")
+    known = [(1, 0.9), (0, 0.5), (1, 0.5), (0, 0.1)]
+    gaps = known + [(1, None), (0, None), (None, 0.7), (None, None), (1, nan), (0, nan)]
+    a, b = (spark.createDataFrame(r, "label int, score double") for r in (known, gaps))
+    assert mx.roc_auc(a).first() == mx.roc_auc(b).first()
+    assert sorted(mx.pr_curve(a).collect()) == sorted(mx.pr_curve(b).collect())
+    assert mx.best_threshold(mx.pr_curve(b)).first() == mx.best_threshold(mx.pr_curve(a)).first()
+    none = spark.createDataFrame([(1, None), (None, 0.5)], "label int, score double")
+    assert mx.pr_curve(none).count() == 0 and mx.best_threshold(mx.pr_curve(none)).first() is None
+    assert mx.roc_auc(none).first().roc_auc is None

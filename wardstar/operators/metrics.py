@@ -4,6 +4,11 @@ Everything reduces to counts: the confusion matrix is a group-by, the
 report is arithmetic on it, and the ROC-AUC and the precision-recall curve
 come from per-score positive / negative counts and their running totals
 (``prefix_sums``), never from sorting all rows in one task.
+
+A row whose score is NULL or NaN, or whose label is NULL, says nothing about a
+threshold: curves and ROC-AUC leave it out, so that without other rows the
+curve is empty and there is no best threshold. The confusion matrix shows NULL
+as a value of its own.
 """
 
 from __future__ import annotations
@@ -73,8 +78,11 @@ def class_report(df: DataFrame, y: str = "label", yhat: str = "prediction") -> D
 
 
 def score_counts(df: DataFrame, y: str = "label", score: str = "score") -> DataFrame:
-    """(score, pos, neg) per distinct score; partial aggregation map-side."""
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    """(score, pos, neg) per distinct score; partial aggregation map-side. Rows
+    without a label or a score that is a number are left out."""
+    value = F.col(score).cast("double")
+    known = df.where(value.isNotNull() & ~F.isnan(value) & F.col(y).isNotNull())
+    return known.groupBy(value.alias("score")).agg(
         F.sum(F.col(y).cast("long")).alias("pos"),
         F.sum((F.lit(1) - F.col(y)).cast("long")).alias("neg"))
 
