@@ -9,8 +9,8 @@ one numpy matrix and the best k rows of each query leave it, never all pairs;
 a window over those candidates (corpus blocks x k per query) picks the global
 top k. Ties are broken by corpus id.
 
-A NULL vector has no distance: such corpus rows are never neighbours, such
-queries get no row. Vectors of different lengths raise. Payload columns stay
+A NULL vector, or one with a NULL or NaN entry, has no distance: such corpus rows
+are never neighbours, such queries get no row. Vectors of different lengths raise. Payload columns stay
 in Arrow from end to end, so no type is converted.
 """
 
@@ -21,7 +21,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,12 @@ from ..session import materialize
 METRICS = ("l2", "cosine")
 
 
+def usable(vec_col: str) -> Column:
+    """Whether a vector has a distance: it and its entries are neither NULL nor NaN."""
+    v = F.col(vec_col)
+    return v.isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")))
+
+
 def _matrix(vectors, dims: int | None = None) -> np.ndarray:
     """(rows, dims) float64 from an Arrow list column without NULLs."""
     import pyarrow as pa
@@ -88,9 +94,9 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int = 3, metric: str = "l2",
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    q = materialize(queries.where(F.col(qvec_col).isNotNull()).select(
+    q = materialize(queries.where(usable(qvec_col)).select(
         F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv")), "knn-queries")
-    c = corpus.where(F.col(vec_col).isNotNull()).select(
+    c = corpus.where(usable(vec_col)).select(
         F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"), *payload_cols)
     n_c, n_q = _blocks(c, corpus_rows), _blocks(q, query_rows)
     # random by value, so that the blocks are even whatever the ids are
