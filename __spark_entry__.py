@@ -18,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from wardstar.functions.clean import exclude_values, fill_unknown, null_tokens  # noqa: E402
 from wardstar.functions.codes import icd9_group, prior_visits, readmit_target, risk_tier  # noqa: E402
 from wardstar.plans import inputs  # noqa: E402
-from wardstar.session import scratch_path  # noqa: E402
+from wardstar.session import materialize, scratch_path  # noqa: E402
 from wardstar.sources.fixtures import LOOKUP_ODD_LINES, encounter_exprs  # noqa: E402
 from wardstar.plans import sql_twins as tw  # noqa: E402
 from wardstar.plans.marts import (FEATURE_NUMERIC, mart_by_department, mart_by_diagnosis,  # noqa: E402
@@ -367,16 +367,24 @@ def q_check_accepted(spark, sf):
 
 
 def _floor_tables(spark, sf):
+    """The tables that the floors name: the staging view over the written star,
+    and the open and closed versions of a written patient history."""
+    from wardstar.plans.marts import register_views
+    from wardstar.plans.warehouse import read_history, snapshot_table
     s = inputs.encounter_star(spark, sf)
+    register_views(spark, s["folder"], prefix="stg_floor_")
+    snapshot = scratch_path(spark, "snapshot-dim-patient")
+    snapshot_table(spark, s["dim_patient"].select("patient_nbr", "race", "gender", "age"), snapshot,
+                   "patient_nbr", ["race", "gender", "age"], "2024-01-01")
     return {
         "fact_admission": s["fact_admission"], "dim_patient": s["dim_patient"],
         "dim_department": s["dim_department"], "dim_diagnosis": s["dim_diagnosis"],
-        "dim_date": s["dim_date"], "stg_fact_admission": s["fact_admission"],
+        "dim_date": s["dim_date"], "stg_fact_admission": spark.table("stg_floor_fact_admission"),
         "mart_readmission_by_department": mart_by_department(s["fact_admission"],
                                                              s["dim_department"]),
         "mart_readmission_by_diagnosis": mart_by_diagnosis(s["fact_admission"],
                                                            s["dim_diagnosis"]),
-        "snapshot_dim_patient": s["dim_patient"],
+        "snapshot_dim_patient": read_history(spark, snapshot),
     }
 
 
@@ -684,6 +692,39 @@ def q_best_threshold(spark, sf):
     return mx.best_threshold(mx.pr_curve(_scored(spark, sf), "label", "score"))
 
 
+# Scored rows some of which have no score, a NaN score or no label: they are in
+# no curve.
+_GAPS_SQL = _CUM_SQL.replace("GROUP BY score)", "WHERE score IS NOT NULL AND NOT isnan(score) AND label IS NOT NULL "
+                             "GROUP BY score)", 1).replace(
+    "l.quality AS label", "CASE WHEN d.doc_id % 13 <> 0 THEN l.quality END AS label").replace(
+    "CAST(d.n_chars AS DOUBLE) AS score", "CASE WHEN d.doc_id % 11 = 0 THEN NULL WHEN d.doc_id % 17 = 0 "
+    "THEN 'NaN'::DOUBLE ELSE CAST(d.n_chars AS DOUBLE) END AS score")
+
+
+def _scored_with_gaps(spark, sf):
+    i = F.col("doc_id")
+    return _scored(spark, sf).withColumns({
+        "label": F.when(i % 13 != 0, F.col("label")),
+        "score": F.when(i % 11 == 0, F.lit(None)).when(i % 17 == 0, F.lit(float("nan"))).otherwise(F.col("score"))})
+
+
+@_register("roc_auc_with_gaps", _GAPS_SQL + "SELECT CAST(2 * sum(pos * neg_below) + sum(pos * neg) AS DOUBLE)"
+           " / CAST(2 * sum(pos) * sum(neg) AS DOUBLE) AS roc_auc, CAST(sum(pos) AS BIGINT) AS "
+           "n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c")
+def q_roc_auc_gaps(spark, sf):
+    return mx.roc_auc(_scored_with_gaps(spark, sf), "label", "score")
+
+
+@_register("pr_curve_with_gaps", _GAPS_SQL + "SELECT * FROM pr3")
+def q_pr_curve_gaps(spark, sf):
+    return mx.pr_curve(_scored_with_gaps(spark, sf), "label", "score")
+
+
+@_register("best_threshold_with_gaps", _GAPS_SQL + "SELECT * FROM pr3 ORDER BY f1 DESC, threshold LIMIT 1")
+def q_best_threshold_gaps(spark, sf):
+    return mx.best_threshold(mx.pr_curve(_scored_with_gaps(spark, sf), "label", "score"))
+
+
 @_register("stratified_split_counts", _SCORED_SQL + """,
 n AS (SELECT label, count(*) AS n, CAST(ceil(CAST(0.2 AS DOUBLE) * count(*)) AS BIGINT) AS t
       FROM s GROUP BY label)
@@ -783,13 +824,17 @@ def q_knn_sources(spark, sf):
     return rt.sources_per_query(_knn_spark(spark, sf, "l2"), "qid", "label")
 
 
-# The query vectors are rows, one in twenty, so that both sides grow with the table.
+# The query vectors are rows, one in twenty, so that both sides grow with the
+# table; they are searched through the pivot index.
+from wardstar.operators import knn_index  # noqa: E402
+
 for _metric in ["l2", "cosine"]:
     def _mk_knn(metric):
         def q(spark, sf):
             emb = spark.read.parquet(f"{sf}/embeddings.parquet")
             rows = emb.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "embedding")
-            return knn(emb, rows, k=3, metric=metric).select(
+            index = knn_index.build_index(emb, metric)
+            return knn_index.search(index, rows, k=3).select(
                 "qid", "vec_id", F.col("rank").cast("long").alias("rank"),
                 (F.round("distance", 6) + F.lit(0.0)).alias("distance"))  # no -0.0
         q.__name__ = f"q_knn_rows_{metric}"
@@ -822,6 +867,22 @@ def q_text_embeddings(spark, sf):
     return rt.embed_chunks(chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"]))
 
 
+_INDEXES: dict = {}
+
+
+def _chunk_index(spark, sf):
+    """The inverted index over the stored chunks, built once per session and
+    input folder; every search of the session reads it."""
+    from wardstar.plans import inverted_index as ix
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _INDEXES:
+        docs = spark.read.parquet(f"{sf}/documents.parquet")
+        store = scratch_path(spark, "chunk-store")
+        rt.store_embeddings(spark, chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"]), store)
+        _INDEXES[key] = ix.build_inverted_index(rt.stored_chunks(spark, store))
+    return _INDEXES[key]
+
+
 @_register("retrieve_benchmark", _TERMS_SQL + f""",
 cw AS (SELECT doc_id || ':' || chunk_id AS chunk_key, doc_id, chunk_id, term, tf * {_idf_sql('df')} AS w
        FROM t JOIN f USING (term)),
@@ -844,14 +905,11 @@ top AS (SELECT * FROM r WHERE rank <= 3),
 s AS (SELECT qid, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM top GROUP BY qid)
 SELECT qid, chunk_key, rank, distance, source, sources FROM top JOIN s USING (qid)""")
 def q_retrieve(spark, sf):
-    """Benchmark items as questions against the stored chunks: top 3 and sources."""
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    chunks = chunk_documents(docs, _CHUNK_SIZE, _CHUNK_OVERLAP, keep_cols=["source"])
-    store = scratch_path(spark, "chunk-store")
-    rt.store_embeddings(spark, chunks, store)
+    """Benchmark items as questions against the indexed chunks: top 3 and sources."""
+    from wardstar.plans import inverted_index as ix
     bench = spark.read.parquet(f"{sf}/benchmark.parquet").select(
         F.col("item_id").alias("qid"), "text")
-    hits = rt.retrieve(rt.stored_chunks(spark, store), bench, k=3)
+    hits = materialize(ix.search(_chunk_index(spark, sf), bench, k=3), "hits")
     return hits.join(rt.sources_per_query(hits), "qid").withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -941,6 +999,13 @@ def q_model_eval(spark, sf):
         (n_pred >= 1).alias("predictions_present"))
 
 
+# ---------------------------------------------------------------- later loads
+from wardstar.plans import load_queries as _loads  # noqa: E402
+
+_SPARK.update(_loads.QUERIES)
+_SQL.update(_loads.ORACLE_SQL)
+
+
 # ------------------------------------------------- training-data operators
 try:
     import corpus_pipeline as _pipeline
