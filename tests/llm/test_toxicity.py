@@ -132,3 +132,55 @@ def test_frames(spark):
     assert tx.score_toxicity(docs(spark, []), tx.Model()).count() == 0
     long = docs(spark, [(1, "idiot " * 20_000), (2, "a " * 20_000 + "you idiot")])
     assert [r.predicted for r in tx.score_toxicity(long, tx.Model()).orderBy("doc_id").collect()] == [1, 1]
+
+
+def test_a_lone_seed_does_not_decide_and_a_clause_does():
+    score = tx.Scorer(tx.Model()).score
+    for text in ["idiot", "the pig farm sold trash bags and garbage", "beat them at chess", "hang the picture on his wall",
+                 "clownfish pigment pigeon trashcan", "an idiot. a clown", "he said she is a pig"]:
+        assert score(text) < 0.5, text
+    for text in ["You are an idiot", "you idiots", "what scum they are", "I will kill you", "burn them, and hurt her. beat him",
+                 "they are idiots and worthless clowns"]:
+        assert score(text) >= 0.5, text
+
+
+def test_labels_set_the_strength_of_a_seed(spark):
+    rng = random.Random(5)
+    ids = [i for i in range(600) if zlib.crc32(str(i).encode()) % 5]
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows, labels = [], []
+    for n, i in enumerate(ids):
+        w = [word() for _ in range(30)]
+        toxic = n % 4 == 0
+        w.insert(9, "moron" if toxic else rng.choice(["pig", "pigs", "pen"]))
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    model = tx.fit(docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.words["moron"] > 3 and model.words["pig"] == 0 and model.words["scum"] == 1
+    assert model.scorer().score("a moron here") > 0.5 > model.scorer().score("three pigs here")
+
+
+def test_repeated_ids_do_not_break_the_bound(spark):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(ids[0], f"text number {n} " + "xyz " * (n % 7)) for n in range(3_000)] + [(i, f"other {i}") for i in ids[1:]]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    got = tx._training(docs(spark, rows).repartition(6), labels, "toxic", "doc_id", "text", 5)
+    assert got.count() <= 5
+    one = labels.where(F.col("doc_id") == ids[0])
+    first = [tuple(r) for r in tx._training(docs(spark, rows), one, "toxic", "doc_id", "text", 1).collect()]
+    again = [tuple(r) for r in tx._training(docs(spark, rows[::-1]).repartition(9), one, "toxic", "doc_id", "text", 1).collect()]
+    assert len(first) == 1 and first == again
+    scored = tx.score_toxicity(docs(spark, rows), tx.Model())
+    assert scored.count() == len(rows)
+
+
+def test_held_out_recall_in_every_language(spark):
+    base = "/root/testdata/sf0.1"
+    df, labels = (spark.read.parquet(f"{base}/{n}.parquet") for n in ("documents", "labels"))
+    model = tx.fit(df.select("doc_id", "text"), labels)
+    assert any("bomente".startswith(x) for x in model.stems)  # Spanish
+    toxic = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    out = tx.score_toxicity(df, model, keep=["doc_id", "lang"]).join(toxic, "doc_id").where(tx.held_out(F.col("doc_id")))
+    for r in out.groupBy("lang").agg(F.sum("toxic").alias("pos"), F.sum(F.expr("toxic * predicted")).alias("found"),
+                                     F.sum(F.expr("(1 - toxic) * predicted")).alias("wrong")).collect():
+        assert r.pos and r.found >= 0.75 * r.pos and r.wrong <= 0.1 * r.pos + 1, r
