@@ -1,3 +1,5 @@
+import collections
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -67,3 +69,68 @@ def test_one_long_conversation_and_one_first_turn(spark):
 
 def test_empty_table(spark):
     assert run(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+# ------------------------------------------------------------ swapped replies
+def digest(text):
+    return hashlib.md5(("n" if text is None else "t" + text).encode()).hexdigest()
+
+
+def swapped_by_hand(rows):
+    null_first = lambda v: (v is not None, v if v is not None else 0)
+    convs = {}
+    for r in sorted(rows, key=lambda r: tuple(null_first(x) if i < 2 else (x is not None, x or "")
+                                              for i, x in enumerate(r))):
+        convs.setdefault(r[0], []).append(r[2:])
+    key = {c: "\0none" if c is None else str(c) for c in convs}
+    last = {c: max((p for p, t in enumerate(ts) if t[0] == "assistant"), default=None) for c, ts in convs.items()}
+    with_reply = sorted((c for c in convs if last[c] is not None), key=lambda c: (
+        digest(convs[c][last[c]][1]), hashlib.md5(key[c].encode()).hexdigest(), key[c]))
+    most = max(collections.Counter(digest(convs[c][last[c]][1]) for c in with_reply).values(), default=0)
+    donor = {c: with_reply[(i + most) % len(with_reply)] for i, c in enumerate(with_reply)}
+    out = []
+    for c, x in convs.items():
+        y = x if last[c] is None else [*x[:last[c]], convs[donor[c]][last[donor[c]]]]
+        cut = 0
+        while cut < min(len(x), len(y)) and x[cut] == y[cut]:
+            cut += 1
+        for side, turns in (("chosen", x), ("rejected", y)):
+            for p, (role, text) in enumerate(turns):
+                if p < cut and side == "rejected":
+                    continue
+                whose = donor[c] if side == "rejected" and p == last[c] else c
+                out.append((key[c], c, whose, "prompt" if p < cut else side, p if p < cut else p - cut, p + 1, role,
+                            f"<|{role or ''}|>\n{text or ''}\n", p >= cut and role == "assistant"))
+    return sorted(out, key=str)
+
+
+def run_swapped(df):
+    return cf.format_samples(cf.with_swapped_reply(cf.positions(df)))
+
+
+def test_swapped_replies_equal_brute_force(spark):
+    hot = [(1000 + c, t, "user" if t % 2 == 0 else "assistant", "same" if t == 1 else f"q{c}")
+           for c in range(25) for t in range(2)]
+    long = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(2000)]
+    for rows in (made_up(), made_up() + hot, long + hot[:8], hot, [(1, 0, "user", "a"), (1, 1, "assistant", "b")]):
+        df = spark.createDataFrame(rows, SCHEMA).withColumns({"digest": F.lit("clash"), "branch": F.lit(1)})
+        out = run_swapped(df)
+        assert sorted((tuple(r) for r in out.collect()), key=str) == swapped_by_hand(rows)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+    assert run_swapped(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_given_table_forms_whole_samples(spark):
+    conv = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    out = run_swapped(conv).toPandas()
+    replied = {r.conv_id for r in conv.where("role = 'assistant'").select("conv_id").distinct().collect()}
+    parts = out.groupby("pair_id").part.agg(set)
+    assert len(replied) > 80
+    assert all((parts[c] == {"prompt", "chosen", "rejected"}) for c in replied)
+    trained = out[out.train].groupby("pair_id").part.agg(set)
+    assert all(trained[c] == {"chosen", "rejected"} for c in replied)
+    assert (out[(out.part == "rejected") & out.train].conv_id != out[(out.part == "rejected") & out.train].pair_id).all()
+    one = out.sort_values("segment")
+    for _, g in list(one.groupby(["sample_id", "part"]))[:50]:
+        assert list(g.segment) == list(range(len(g)))

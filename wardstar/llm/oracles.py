@@ -71,27 +71,31 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 
 OP8_SQL = """
 WITH t AS (
-  SELECT conv_id, role, text, row_number() OVER (
+  SELECT conv_id, coalesce(conv_id::VARCHAR, chr(0) || 'none') AS key, role, text, row_number() OVER (
     PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS position
   FROM conversations),
-one AS (
-  SELECT conv_id, role AS r1, text AS t1,
-    row_number() OVER (PARTITION BY role, text ORDER BY conv_id NULLS FIRST) - 1 AS i
-  FROM t WHERE position = 1),
+reply AS (
+  SELECT *, md5(CASE WHEN text IS NULL THEN 'n' ELSE 't' || text END) AS digest FROM t
+  WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY key ORDER BY position DESC) = 1),
 placed AS (
-  SELECT conv_id, CASE WHEN i % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
-    first_value(conv_id) OVER (PARTITION BY r1, t1, i // 2 ORDER BY i) AS pair_id FROM one),
+  SELECT *, row_number() OVER (ORDER BY digest, md5(key), key) AS n, count(*) OVER () AS total FROM reply),
+most AS (SELECT max(c) AS m FROM (SELECT count(*) AS c FROM reply GROUP BY digest)),
 s AS (
-  SELECT pair_id, side, t.* FROM t JOIN placed ON t.conv_id IS NOT DISTINCT FROM placed.conv_id),
+  SELECT key, conv_id AS pair_id, 'chosen' AS side, conv_id, position, role, text FROM t
+  UNION ALL
+  SELECT t.key, t.conv_id, 'rejected', t.conv_id, t.position, t.role, t.text
+  FROM t LEFT JOIN reply r USING (key) WHERE r.position IS NULL OR t.position < r.position
+  UNION ALL
+  SELECT a.key, a.conv_id, 'rejected', b.conv_id, a.position, b.role, b.text
+  FROM placed a, most JOIN placed b ON b.n = (a.n - 1 + m) % a.total + 1),
 cut AS (
-  SELECT pair_id, min(position) AS cut FROM (
-    SELECT pair_id, position FROM s GROUP BY ALL
+  SELECT key, min(position) AS cut FROM (
+    SELECT key, position FROM s GROUP BY ALL
     HAVING count(*) < 2 OR count(DISTINCT (coalesce(role, chr(1)), coalesce(text, chr(1)))) > 1)
-  GROUP BY pair_id),
-p AS (
-  SELECT s.*, coalesce(position < cut, true) AS shared
-  FROM s LEFT JOIN cut ON s.pair_id IS NOT DISTINCT FROM cut.pair_id)
-SELECT pair_id, conv_id, CASE WHEN shared THEN 'prompt' ELSE side END AS part, position, role,
+  GROUP BY key),
+p AS (SELECT s.*, cut, coalesce(position < cut, true) AS shared FROM s LEFT JOIN cut USING (key))
+SELECT key AS sample_id, pair_id, conv_id, CASE WHEN shared THEN 'prompt' ELSE side END AS part,
+  position - CASE WHEN shared THEN 1 ELSE cut END AS segment, position, role,
   '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS rendered,
   NOT shared AND coalesce(role = 'assistant', false) AS train
 FROM p WHERE NOT shared OR side = 'chosen'
