@@ -1,3 +1,5 @@
+import collections
+import math
 import random
 
 import public_tokenizers as P
@@ -7,6 +9,8 @@ from frames import ODD_TEXTS, docs, odd_docs
 from wardstar.llm import token_counts as tc
 
 PATH = P.path("piece_bpe_32k.model")
+PIECES = tc.read_pieces(PATH)
+SCORES = {p: -round(tc.UNIT * math.log(2 + i)) for i, p in enumerate(PIECES)}
 
 
 def by_all_cuts(word, c):
@@ -24,7 +28,7 @@ def by_all_cuts(word, c):
 
 
 def test_counts_equal_brute_force():
-    c = tc.counter(PATH)
+    c = tc.counter(SCORES)
     rng = random.Random(2)
     words = sorted({tc.SPACE + "".join(rng.choices("abcdeinorst漢é", k=rng.randint(1, 12))) for _ in range(3000)})
     for w, n in zip(words, c.learn(words)):
@@ -44,9 +48,9 @@ def test_ties_take_fewer_tokens():
 
 def test_frames(spark):
     df = odd_docs(spark).withColumns({"n_words": F.lit("clash"), "other": F.lit(1)})
-    out = tc.count_tokens(df, PATH)
+    out = tc.count_tokens(df, SCORES)
     assert out.columns == ["doc_id", "text", "other", "n_words", "n_tokens"]
-    c = tc.counter(PATH)
+    c = tc.counter(SCORES)
     rows = out.collect()
     assert len(rows) == len(ODD_TEXTS) + 3
     for r in rows:
@@ -54,4 +58,32 @@ def test_frames(spark):
         assert r.n_words == len(words)
         if len(r.text or "") < 10_000:
             assert r.n_tokens == sum(by_all_cuts(tc.SPACE + w.decode(), c) for w in words)
-    assert tc.count_tokens(docs(spark, []), PATH).count() == 0
+    assert tc.count_tokens(docs(spark, []), SCORES).count() == 0
+
+
+def test_cuts_have_the_best_score_and_the_counted_tokens():
+    c = tc.TokenCounter(SCORES)
+    rng = random.Random(3)
+    for word in [tc.SPACE + "".join(rng.choices("abcdeinorst漢é🙂", k=rng.randint(1, 12))) for _ in range(500)]:
+        pieces = c.cut(word)
+        rest = len(word.encode()) - sum(len(p.encode()) for p in pieces)
+        assert len(pieces) + rest == by_all_cuts(word, c)
+    long = tc.SPACE + "in" * 100_000
+    assert len(c.cut(long)) == c.learn([long])[0]
+
+
+def test_scores_are_fitted_to_the_corpus(spark):
+    rows = [(1, "aaa aaa ab"), (2, "aaa\tb"), (3, None), (4, ""), (4, "ab")]
+    scores = tc.fit_scores(docs(spark, rows).withColumn("w", F.lit(1)), PATH, rounds=2)
+    assert scores.keys() == set(PIECES) and max(scores.values()) < 0
+    counts, now = collections.Counter(), tc.scores_of({}, PIECES)
+    for _ in range(2):
+        counts = collections.Counter()
+        for _, text in rows:
+            for w in (text or "").split():
+                counts.update(tc.TokenCounter(now).cut(tc.SPACE + w))
+        now = tc.scores_of(counts, PIECES)
+    assert scores == now
+    used = [p for p in counts if counts[p]]
+    assert min(scores[p] for p in used) > scores[next(p for p in PIECES if p not in counts)]
+    assert tc.fit_scores(docs(spark, []), PATH) == tc.scores_of({}, PIECES)

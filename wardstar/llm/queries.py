@@ -47,7 +47,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"), keep=["doc_id"])
+    scores = token_counts.fit_scores(docs, tokenizer_path("piece_bpe_32k.model"), rounds=2)
+    return token_counts.count_tokens(docs, scores, keep=["doc_id"])
 
 
 def pii_key(spark: SparkSession) -> str:
@@ -103,8 +104,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op8_chat_format", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is a chosen side; another one's last reply stands in
+    its rejected side."""
     turns = chat_format.positions(table(spark, sf_dir, "conversations"))
-    return chat_format.format_preferences(turns, chat_format.pair_by_first_turn(turns))
+    return chat_format.format_samples(chat_format.with_swapped_reply(turns))
 
 
 @_query("op9_quality_rules", OP9_SQL)

@@ -10,24 +10,35 @@ depth-first order of their trie: the forward score of a prefix is computed
 once for all words that share it, and a word's terminal count is kept. Counts
 are kept between batches and tasks of a worker, up to a bound.
 
-Scores: a piece of id i gets -log(2 + i), in 2^-20 steps, so sums are exact and
-ties are real. The vocabulary files at hand hold ids in the order of their
-merges, not probabilities; ``piece_scores`` may be given instead.
+Scores are logarithms of piece probabilities in 2^-20 steps, so sums are exact
+and ties are real. The vocabulary files at hand hold ids in the order of their
+merges, not probabilities; :func:`fit_scores` fits them to the corpus: beginning
+with equal scores, that is fewest tokens, all distinct words of all documents are
+cut, the pieces of the cuts are counted, each as often as its word occurs, and
+the counts, with one added to each, are the next probabilities. A round reads
+the table of distinct words, and only sums per piece leave it.
 
 Defined cases: null, empty and blank texts have no words and no tokens;
-repeated rows are counted one by one; an empty table gives no rows. Columns
-that clash with ``n_words`` or ``n_tokens`` are replaced.
+repeated rows are counted one by one; texts and words may be of any length; an
+empty table gives no rows and equal scores. Columns that clash with ``n_words`` or
+``n_tokens`` are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections import Counter
 from os.path import commonprefix
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_text_columns
+from wardstar.session import materialize
+
+from .common import add_text_columns, bound_batches, quoted
 
 # A worker forgets its counts beyond this many words.
 CACHE_WORDS = 500_000
@@ -37,12 +48,18 @@ SPACE = "▁"
 _COUNTERS: dict[str, "TokenCounter"] = {}
 
 
-def read_pieces(path: str) -> dict[str, int]:
-    """Ordinary pieces of a vocabulary file, with their scores."""
+def read_pieces(path: str) -> list[str]:
+    """Ordinary pieces of a vocabulary file."""
     from sentencepiece import SentencePieceProcessor
     sp = SentencePieceProcessor(model_file=path)
-    return {sp.id_to_piece(i): -round(UNIT * math.log(2 + i)) for i in range(sp.get_piece_size())
-            if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
+    return [sp.id_to_piece(i) for i in range(sp.get_piece_size())
+            if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+
+
+def scores_of(counts: dict[str, int], pieces: list[str]) -> dict[str, int]:
+    """Logarithms of the share of each piece, one added to every count; below 0."""
+    total = sum(counts.values()) + len(pieces) + 1
+    return {p: round(UNIT * math.log((counts.get(p, 0) + 1) / total)) for p in pieces}
 
 
 class TokenCounter:
@@ -73,6 +90,29 @@ class TokenCounter:
                 top, fewest = s, tokens[i] + 1
         return top, fewest
 
+    def cut(self, word: str) -> list[str]:
+        """The pieces of the best cut of a word; of those by bytes only the
+        ordinary pieces are named."""
+        best, tokens = [0], [0]
+        for k in range(1, len(word) + 1):
+            s, n = self._position(word, k, best, tokens)
+            best.append(s)
+            tokens.append(n)
+        out, k, get = [], len(word), self.endings.get
+        while k:
+            i = k
+            while i:
+                i -= 1
+                s = get(word[i:k], 0)
+                if s is not None and s and best[i] + s == best[k] and tokens[i] + 1 == tokens[k]:
+                    out.append(word[i:k])
+                    k = i
+                    break
+                if s == 0 or not i:
+                    k -= 1  # by bytes
+                    break
+        return out[::-1]
+
     def learn(self, words: list[str]) -> list[int]:
         """Counts of distinct words in sorted order: the lists hold the trie's
         path to the word before; what two words share stays."""
@@ -103,21 +143,49 @@ class TokenCounter:
         return list(map(len, cut)), [sum(map(get, c)) for c in cut]
 
 
-def counter(path: str) -> TokenCounter:
+def counter(scores: dict[str, int]) -> TokenCounter:
     """The counter of this worker, kept between its tasks."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = TokenCounter(read_pieces(path))
-    return _COUNTERS[path]
-
-
-def count_tokens(df: DataFrame, vocabulary: str, text_col: str = "text",
+    name = hashlib.sha256(repr(sorted(scores.items())).encode()).hexdigest()
+    if name not in _COUNTERS:
+        _COUNTERS.clear()
+        _COUNTERS[name] = TokenCounter(scores)
+    return _COUNTERS[name]
+
+
+def fit_scores(df: DataFrame, vocabulary: str, text_col: str = "text", rounds: int = 2) -> dict[str, int]:
+    """Scores of the pieces of a vocabulary, fitted to all texts of ``df``. The
+    result has a number per piece, and so has what a round collects."""
+    pieces = read_pieces(vocabulary)
+    scores = scores_of({}, pieces)
+    words = F.filter(F.split(F.col(quoted(text_col)).cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    distinct = materialize(df.select(F.explode(words).alias("w")).groupBy("w").agg(
+        F.count(F.lit(1)).alias("n")), "distinct-words")
+    schema = T.StructType([T.StructField("piece", T.StringType()), T.StructField("n", T.LongType())])
+    bound_batches(df.sparkSession)
+    for _ in range(rounds):
+        now = scores
+
+        def run(batches):
+            found, c = Counter(), TokenCounter(now)
+            for batch in batches:
+                for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    for piece in c.cut(SPACE + word):
+                        found[piece] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(found.values(), pa.int64())],
+                                             names=schema.names)
+        sums = distinct.mapInArrow(run, schema).groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        scores = scores_of({r.piece: r.n for r in sums}, pieces)
+    return scores
+
+
+def count_tokens(df: DataFrame, scores: dict[str, int], text_col: str = "text",
                  keep: list[str] | None = None) -> DataFrame:
-    """Append ``n_words`` and ``n_tokens`` (long). ``vocabulary`` is a piece
-    model file that every machine has."""
+    """Append ``n_words`` and ``n_tokens`` (long) by the given piece scores, as
+    of :func:`fit_scores`."""
     schema = T.StructType([T.StructField("n_words", T.LongType(), False),
                            T.StructField("n_tokens", T.LongType(), False)])
 
     def make():
-        c = counter(vocabulary)
+        c = counter(scores)
         return lambda texts: list(c.count(texts))
     return add_text_columns(df, text_col, schema, make, keep)
