@@ -116,6 +116,17 @@ def check_fanout_count(fact: DataFrame, expected: int, table: str = "fact_admiss
     return fact.agg(*result_row("fanout", table, "*", F.abs(F.count(F.lit(1)) - F.lit(expected))))
 
 
+def check_rejects(rejected: DataFrame, table: str, n_lines: int, kept: DataFrame,
+                  most_percent: float = 1.0) -> DataFrame:
+    """Rejected lines of a scan: they and the kept rows must be all lines, and
+    at most ``most_percent`` of them."""
+    n_kept = kept.select(F.count(F.lit(1))).scalar()
+    n = F.count(F.lit(1))
+    fine = (n + n_kept == n_lines) & (n * 100.0 <= most_percent * n_lines)
+    return rejected.agg(*result_row("rejects", table, f"<={most_percent}%", F.when(fine, 0).otherwise(F.greatest(n, F.lit(1)))),
+                        n.alias("n_rejected"))
+
+
 def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
     out = checks[0].select(*RESULT_COLS)
     for c in checks[1:]:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 # Settings the library assumes. AQE re-plans joins and partition counts from
 # runtime sizes (broadcast only when the measured side is small, split skewed
@@ -79,6 +82,17 @@ def release_scratch(spark: SparkSession) -> None:
     remove(spark, _scratch_root(spark))
 
 
+def run_all(spark: SparkSession, tasks: Sequence[Callable], parallelism: int = 4) -> list:
+    """Run independent actions, up to ``parallelism`` at once; results in order.
+    Each submits its own Spark jobs, and the scheduler fills executor slots that
+    one leaves idle with tasks of another."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]
+        return [f.result() for f in futures]
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read
     it back: a lineage cut that survives lost executors, stores columns
@@ -89,5 +103,5 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize", "release_scratch",
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize", "release_scratch", "run_all",
            "DEFAULT_CONF"]
