@@ -930,10 +930,10 @@ def _trained(spark, sf):
         feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"],
                               s["dim_diagnosis"])
         model, data, ev = train_readmission(feats)
-        from wardstar.sources.sinks import write_table
+        from wardstar.sources.sinks import read_table, replace_table
         path = scratch_path(spark, "predictions")
-        write_table(model.score(data), path)
-        preds = spark.read.parquet(path)
+        replace_table(model.score(data), path)
+        preds = read_table(spark, path)
         _MODELS[key] = (model, data, ev, preds)
     return _MODELS[key]
 
@@ -973,6 +973,45 @@ def q_high_risk(spark, sf):
     return high_risk(_trained(spark, sf)[3], 50)
 
 
+@_register("high_risk_ranks", tw.with_star(
+    "SELECT least(50, count(*)) AS n_listed, least(50, count(*)) AS n_encounters, CAST(0 AS BIGINT) AS n_missed "
+    "FROM fact_admission"))
+def q_high_risk_ranks(spark, sf):
+    """The list's rows and encounters, and predictions off the list with a
+    probability above the least on it (none)."""
+    preds = _trained(spark, sf)[3]
+    listed = materialize(q_high_risk(spark, sf), "high-risk")
+    least = listed.select(F.min("predicted_readmit_probability")).scalar()
+    missed = preds.join(listed.select("encounter_id"), "encounter_id", "left_anti").where(
+        F.col("predicted_readmit_probability") > least)
+    return listed.agg(F.count(F.lit(1)).alias("n_listed"), F.count_distinct("encounter_id").alias("n_encounters")) \
+        .withColumn("n_missed", missed.select(F.count(F.lit(1))).scalar())
+
+
+@_register("model_reload", tw.with_star(
+    "SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_differences FROM fact_admission"))
+def q_model_reload(spark, sf):
+    """The model saved, loaded and run over all rows again: scores that differ
+    from the stored ones (none)."""
+    from wardstar.plans.model import ReadmissionModel
+    model, data, _, preds = _trained(spark, sf)
+    path = scratch_path(spark, "model")
+    model.save(spark, path)
+    again = ReadmissionModel.load(spark, path).score(data)
+    both = again.select("encounter_id", F.col("predicted_readmit_probability").alias("p")).join(
+        preds.select("encounter_id", F.col("predicted_readmit_probability").alias("q")), "encounter_id", "full_outer")
+    same = F.col("p").eqNullSafe(F.col("q"))
+    return both.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~same).alias("n_differences"))
+
+
+@_register("check_predictions_present", tw.with_star(
+    "SELECT 'row_floor' AS check_name, 'predictions' AS table_name, '>=1' AS column_name, "
+    "CAST(CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END AS BIGINT) AS failures, count(*) >= 1 AS passed FROM fact_admission"))
+def q_predictions_present(spark, sf):
+    from wardstar.plans.warehouse import floor_checks
+    return floor_checks({"predictions": _trained(spark, sf)[3]}, {"predictions": 1})[0]
+
+
 @_register("feature_importance")
 def q_importance(spark, sf):
     return _trained(spark, sf)[0].feature_importance(spark, 10)
@@ -1002,6 +1041,7 @@ def q_model_eval(spark, sf):
 # ---------------------------------------------------------------- later loads
 from wardstar.plans import load_queries as _loads  # noqa: E402
 
+_loads.add_vitals_queries(_VITALS_SQL)
 _SPARK.update(_loads.QUERIES)
 _SQL.update(_loads.ORACLE_SQL)
 

@@ -64,3 +64,25 @@ def test_publish_json_to_text_and_write_table(spark, tmp_dir):
     write_table(df, f"{tmp_dir}/table")
     write_table(df.where("k = 2"), f"{tmp_dir}/table")
     assert [r.k for r in spark.read.parquet(f"{tmp_dir}/table").collect()] == [2]
+
+
+def test_replaced_tables_are_read_through_their_pointer(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from wardstar.sources.sinks import read_table, replace_star, replace_table
+    from wardstar.sources.versions import VersionedTable
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    assert read_table(spark, f"{tmp_dir}/t") is None
+    assert [replace_table(df, f"{tmp_dir}/t"), replace_table(df.where("k = 2"), f"{tmp_dir}/t")] == [1, 2]
+    bad = df.withColumn("v", F.when(F.col("k") == 2, F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        replace_table(bad, f"{tmp_dir}/t")
+    assert [tuple(r) for r in read_table(spark, f"{tmp_dir}/t").collect()] == [(2, None)]
+
+    def fact(rows):
+        return spark.createDataFrame(rows, "encounter_id long, admission_year int, admission_month int")
+    replace_star({"fact_admission": fact([(1, 2003, 1), (2, 2003, 2)]), "dim_x": df}, f"{tmp_dir}/star")
+    replace_star({"fact_admission": fact([(2, 2003, 2), (3, 2004, 12)]), "dim_x": df.limit(1)}, f"{tmp_dir}/star")
+    assert sorted(r.encounter_id for r in read_table(spark, f"{tmp_dir}/star/fact_admission").collect()) == [2, 3]
+    assert set(VersionedTable(spark, f"{tmp_dir}/star/fact_admission").commit().parts) == {"2003-02", "2004-12"}
+    assert read_table(spark, f"{tmp_dir}/star/dim_x").count() == 1

@@ -1,4 +1,5 @@
-"""Queries over loads after the first, for the driver entry, with DuckDB twins.
+"""Queries over later loads, scans with quarantine, restarted and compacted
+streams and small sinks, for the driver entry, with DuckDB twins.
 
 The cleaned encounters come in two loads, a third of the ids in the second,
 which also delivers some encounters of the first again.
@@ -159,3 +160,122 @@ def q_history(spark, sf):
         current = spark.sql(sql.replace("FROM customer", f"FROM {view}"))
         loads.snapshot_buckets(spark, path, current, "key", ["segment", "nation"], as_of, n_buckets=16)
     return VersionedTable(spark, path).read()
+
+
+@_query("star_versions", tw.with_star(
+    "SELECT 'fact_admission' AS name, count(*) AS n, CAST(sum(los_days) AS BIGINT) AS total FROM fact_admission "
+    "UNION ALL SELECT 'dim_patient', count(*), CAST(sum(patient_key) AS BIGINT) FROM dim_patient "
+    "UNION ALL SELECT 'dim_date', count(*), CAST(sum(date_key) AS BIGINT) FROM dim_date"))
+def q_star_versions(spark, sf):
+    """The star replaced through commit pointers: a part of it first, then all."""
+    from ..sources.sinks import read_table, replace_star
+    star = inputs.encounter_star(spark, sf)
+    tables = {n: star[n] for n in ("fact_admission", "dim_patient", "dim_date")}
+    path = scratch_path(spark, "star-versions")
+    replace_star({**tables, "fact_admission": star["fact_admission"].where("admission_year < 2003")}, path)
+    replace_star(tables, path)
+    parts = [read_table(spark, f"{path}/{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"),
+                                                  F.sum(c).cast("long").alias("total"))
+             for n, c in (("fact_admission", "los_days"), ("dim_patient", "patient_key"), ("dim_date", "date_key"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ------------------------------------------------------------ scan with quarantine
+# A third of the days in hospital is no number where the id divides by 97; files
+# come with their columns forwards and backwards; one group of files has no
+# column ``readmitted``.
+_LACKING, _BAD_DAYS = "encounter_id % 89 = 0", "encounter_id % 97 = 0"
+
+
+@_query("encounter_quarantine", tw.with_star(
+    f"SELECT 'kept' AS status, readmitted AS detail, count(*) AS n, CAST(sum(time_in_hospital) AS BIGINT) AS days, "
+    f"CAST(sum(encounter_id) AS BIGINT) AS ids FROM enc WHERE NOT ({_LACKING}) AND NOT ({_BAD_DAYS}) GROUP BY readmitted "
+    f"UNION ALL SELECT 'rejected', 'malformed', count(*), NULL, NULL FROM enc WHERE NOT ({_LACKING}) AND {_BAD_DAYS} "
+    f"UNION ALL SELECT 'rejected', 'header lacks readmitted', count(*), NULL, NULL FROM enc WHERE {_LACKING} "
+    f"UNION ALL SELECT 'check', 'rejects', CAST(count(*) FILTER (WHERE {_LACKING} OR {_BAD_DAYS}) AS BIGINT), 0, count(*) FROM enc"))
+def q_quarantine(spark, sf):
+    """Kept rows, rejected lines by reason, and the check that they are all lines."""
+    from ..operators.quality import check_rejects
+    from ..sources.encounters import ENCOUNTER_SCHEMA, count_lines, scan_encounters
+    names = [f.name for f in ENCOUNTER_SCHEMA.fields]
+    raw = inputs.encounter_raw(spark, sf).select(*[F.col(c).cast("string") for c in names]).withColumn(
+        "time_in_hospital", F.when(F.expr(_BAD_DAYS), F.concat("time_in_hospital", F.lit(" days")))
+        .otherwise(F.col("time_in_hospital")))
+    path = scratch_path(spark, "encounters-mixed")
+    groups = [(f"NOT ({_LACKING}) AND encounter_id % 2 = 0", names), (f"NOT ({_LACKING}) AND encounter_id % 2 = 1", names[::-1]),
+              (_LACKING, [c for c in names if c != "readmitted"])]
+    for where, columns in groups:
+        raw.where(where).select(*columns).write.mode("append").option("header", True).csv(path)
+    kept, rejected = scan_encounters(spark, path)
+    n = count_lines(spark, path)
+    null = F.lit(None).cast("long")
+    good = kept.groupBy(F.lit("kept").alias("status"), F.col("readmitted").alias("detail")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("time_in_hospital").alias("days"), F.sum("encounter_id").alias("ids"))
+    bad = rejected.groupBy(F.lit("rejected").alias("status"), F.col("reason").alias("detail")).agg(
+        F.count(F.lit(1)).alias("n"), F.first(null).alias("days"), F.first(null).alias("ids"))
+    check = check_rejects(rejected, "encounters", n, kept, most_percent=10.0).select(
+        F.lit("check").alias("status"), F.col("check_name").alias("detail"), F.col("n_rejected").alias("n"),
+        F.col("failures").cast("long").alias("days"), F.lit(n).cast("long").alias("ids"))
+    return good.unionByName(bad).unionByName(check)
+
+
+# ------------------------------------------------------------ small sinks and sources
+@_query("json_messages", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_json(spark, sf):
+    """Rows sent as JSON messages to a text topic, read back and parsed."""
+    from ..sources.sinks import publish_json
+    customers = spark.read.parquet(f"{sf}/customer.parquet")
+    path = scratch_path(spark, "topic")
+    publish_json(customers, {"path": path}, fmt="text")
+    return spark.read.text(path).select(F.from_json("value", customers.schema).alias("m")).select("m.*").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@_query("documents_from_folder", "SELECT text, strlen(text) AS n_bytes FROM benchmark")
+def q_documents(spark, sf):
+    """Every benchmark item as a text file of its own, read back whole."""
+    from ..sources.documents import read_documents
+    path = scratch_path(spark, "documents")
+    spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").write.partitionBy("item_id").text(path)
+    text = F.expr("left(text, length(text) - 1)")  # without the line end of the file
+    return read_documents(spark, path).select(text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
+
+
+# ------------------------------------------------------------ streams
+def vitals_restarted(spark, sf, run) -> str:
+    """The vitals messages in two deliveries, the second after a restart of the
+    stream on its checkpoint; ``run(raw, root)`` runs what is there to its end."""
+    from ..sources.fixtures import vitals_messages
+    from ..streaming.vitals import read_vitals_stream
+    root = scratch_path(spark, "vitals-restart")
+    messages = vitals_messages(spark, sf)
+    half = F.crc32(F.col("value").cast("binary")) % 2
+    for i in range(2):
+        messages.where(half == i).write.mode("append").text(f"{root}/source")
+        run(read_vitals_stream(spark, "text", {"maxFilesPerTrigger": "2"}, f"{root}/source"), root)
+    return root
+
+
+def add_vitals_queries(vitals_sql: str) -> None:
+    """Registered by the entry, which holds the messages' DuckDB twin."""
+    @_query("vitals_restart", vitals_sql + "SELECT * FROM v")
+    def q_restart(spark, sf):
+        from ..streaming.vitals import run_vitals
+
+        def run(raw, root):
+            run_vitals(spark, raw, f"{root}/all", f"{root}/alerts", f"{root}/ckpt", trigger={"availableNow": True}, wait=True)
+        return spark.read.parquet(f"{vitals_restarted(spark, sf, run)}/all")
+
+    @_query("vitals_compacted", vitals_sql + "SELECT * FROM v")
+    def q_compacted(spark, sf):
+        """Compacted after the first delivery and after the second, old folders
+        removed in between."""
+        from ..streaming.compaction import compact, read_sink, remove_compacted
+        from ..streaming.vitals import run_vitals_single_read
+
+        def run(raw, root):
+            remove_compacted(spark, f"{root}/all")
+            run_vitals_single_read(spark, raw, f"{root}/all", f"{root}/alerts", f"{root}/ckpt",
+                                   trigger={"availableNow": True}, wait=True)
+            compact(spark, f"{root}/all", f"{root}/ckpt/both")
+        return read_sink(spark, f"{vitals_restarted(spark, sf, run)}/all").drop("batch_id")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key
 from ..operators.history import one_per_key, scd2_merge
 from ..operators.registry import KeyRegistry
-from ..session import materialize
+from ..session import materialize, run_all
 from ..sources.versions import Commit, VersionedTable
 from .marts import mart_of_sums, mart_sums
 from .star import DIAGNOSIS_COLS, FACT_COLS
@@ -80,8 +80,7 @@ def load_fact(spark: SparkSession, clean: DataFrame, out_dir: str) -> Commit:
     """Register the members of a batch of cleaned encounters and put its fact
     rows into their months."""
     keys = registries(spark, out_dir)
-    for r in keys.values():
-        r.extend(clean)
+    run_all(spark, [lambda r=r: r.extend(clean) for r in keys.values()])
     return upsert_parts(VersionedTable(spark, f"{out_dir}/fact_admission"), fact_rows(clean, keys),
                         "encounter_id", month())
 

@@ -22,7 +22,7 @@ from ..functions.codes import icd9_group, prior_visits, readmit_target, risk_tie
 from ..functions.dates import calendar_parts, date_key
 from ..operators.keys import first_by, with_surrogate_key
 from ..operators.rownum import global_row_number
-from ..session import materialize
+from ..session import materialize, run_all
 from ..sources.lookups import lookup
 
 # Start and span of the interpolated admission dates.
@@ -80,8 +80,9 @@ def decode(df: DataFrame, blocks: DataFrame, specs=LOOKUP_SPECS, fill: str = "Un
     is written first: Spark then broadcasts it, or not, by its real size.
     """
     blocks = materialize(blocks, "lookups")  # parsed once, read by three lookups
-    for id_col, desc_col in specs:
-        table = materialize(lookup(blocks, id_col, id_col, desc_col), id_col)
+    tables = run_all(df.sparkSession, [
+        lambda i=i, d=d: materialize(lookup(blocks, i, i, d), i) for i, d in specs])
+    for (id_col, _), table in zip(specs, tables):
         df = df.join(table, on=id_col, how="left")
     return df.fillna({desc: fill for _, desc in specs})
 
@@ -164,12 +165,10 @@ def fact_admission(clean: DataFrame, patients: DataFrame, departments: DataFrame
 
 def star_tables(clean: DataFrame, num_partitions: int | None = None) -> dict[str, DataFrame]:
     """Dims (written to the checkpoint folder) and the fact from one cleaned frame."""
-    dims = {
-        "dim_patient": materialize(dim_patient(clean, num_partitions), "dim_patient"),
-        "dim_department": materialize(dim_department(clean, num_partitions), "dim_department"),
-        "dim_diagnosis": materialize(dim_diagnosis(clean, num_partitions), "dim_diagnosis"),
-        "dim_date": dim_date(clean),
-    }
+    build = {"dim_patient": dim_patient, "dim_department": dim_department, "dim_diagnosis": dim_diagnosis}
+    made = run_all(clean.sparkSession, [
+        lambda n=n, f=f: materialize(f(clean, num_partitions), n) for n, f in build.items()])
+    dims = {**dict(zip(build, made)), "dim_date": dim_date(clean)}
     return {**dims, "fact_admission": fact_admission(
         clean, dims["dim_patient"], dims["dim_department"], dims["dim_diagnosis"])}
 
@@ -187,13 +186,11 @@ def build_star(raw: DataFrame, blocks: DataFrame, out_dir: str,
     out_dir = out_dir.rstrip("/")
     write_star({"clean": clean_encounters(raw, blocks, num_partitions=num_partitions)}, out_dir)
     clean = spark.read.parquet(f"{out_dir}/clean")
-    dims = {
-        "dim_patient": dim_patient(clean, num_partitions),
-        "dim_department": dim_department(clean, num_partitions),
-        "dim_diagnosis": dim_diagnosis(clean, num_partitions),
-        "dim_date": dim_date(clean),
-    }
-    write_star(dims, out_dir)
+    # the dimensions need nothing of each other
+    dims = {"dim_patient": lambda: dim_patient(clean, num_partitions),
+            "dim_department": lambda: dim_department(clean, num_partitions),
+            "dim_diagnosis": lambda: dim_diagnosis(clean, num_partitions), "dim_date": lambda: dim_date(clean)}
+    run_all(spark, [lambda n=n, f=f: write_star({n: f()}, out_dir) for n, f in dims.items()])
     written = {k: spark.read.parquet(f"{out_dir}/{k}") for k in dims}
     fact = fact_admission(clean, written["dim_patient"], written["dim_department"],
                           written["dim_diagnosis"])

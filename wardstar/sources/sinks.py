@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .versions import VersionedTable
+
 # Fact partition columns.
 FACT_PARTITIONS = ["admission_year", "admission_month"]
 
@@ -72,6 +74,30 @@ def publish_json(df: DataFrame, options: dict, fmt: str = "kafka",
         msgs.write.format(fmt).options(**options).save()
 
 
+def replace_table(df: DataFrame, path: str) -> int:
+    """Replace a table as a whole: readers see the old rows until all new ones
+    are written, and go on seeing them if that fails. Returns the version."""
+    return VersionedTable(df.sparkSession, path).replace(df).number
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest version of a table of ``replace_table`` or ``replace_star``."""
+    return VersionedTable(spark, path).read()
+
+
+def replace_star(tables: dict[str, DataFrame], out_dir: str) -> None:
+    """Each table under ``out_dir`` as a new version; the fact by months, so
+    that later loads can put single months. Dimensions come first: a reader that
+    opens the fact first finds all of its keys."""
+    for name in sorted(tables, key=lambda n: n == "fact_admission"):
+        table, df = VersionedTable(next(iter(tables.values())).sparkSession, f"{out_dir.rstrip('/')}/{name}"), tables[name]
+        if name != "fact_admission":
+            table.replace(df)
+            continue
+        base = table.commit()
+        table.put_parts(df, F.format_string("%04d-%02d", *FACT_PARTITIONS), drop=base.parts if base else ())
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Replace-table sink (no index column)."""
     df.write.mode(mode).parquet(path)
