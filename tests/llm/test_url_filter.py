@@ -70,3 +70,22 @@ def test_frames(spark):
     assert uf.judge_urls(df.limit(0), URL_RULES, model).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_urls_are_read_whole_in_linear_time(spark):
+    import time
+    model = uf.fit(labelled(spark))
+    long = "http://a.net/" + "é/x?" * 100_000
+    df = spark.createDataFrame([(1, long), (2, "http://" + "h" * 300_000 + ".org/"), (3, "x" * 300_000)], SCHEMA)
+    began = time.time()
+    got = {r.page_id: r for r in uf.judge_urls(df, URL_RULES, model).collect()}
+    assert time.time() - began < 60
+    assert got[1].host == "a.net" and got[1].path == "/é/x" and got[2].rule == "org/" and got[3].host == ""
+
+
+def test_grams_are_the_characters_of_the_marked_text(spark):
+    texts = ["", "a", "ab", "äö🙂z", "abcdefg"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", uf._grams(F.col("t"), "p").alias("g")).collect():
+        t = f"^{r.t}$"
+        assert r.g == [f"p{t[i:i + n]}" for n in uf.NGRAMS for i in range(max(1, len(t) - n + 1))]

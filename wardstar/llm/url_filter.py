@@ -14,8 +14,10 @@ hash, so the fit does not grow with the urls; every url is scored.
 Defined cases: a null url, or one without ``://``, has an empty host and path,
 no rule, and is judged by the classifier like any other; without a usable
 labelled row, or with one label only, the verdict is that label's, else allow;
-equal urls get equal verdicts; an empty table gives no rows. Columns that clash
-with a made one are replaced.
+equal urls get equal verdicts; a url of any length is read whole; of equally
+long rules that fit the first given counts; a probability equal to
+the threshold blocks; an empty table gives no rows. Columns that clash with a
+made one are replaced.
 """
 
 from __future__ import annotations
@@ -77,13 +79,16 @@ def apply_rules(df: DataFrame, rules: list[Rule], url_col: str = "url") -> DataF
 
 
 def _grams(text: Column, mark: str) -> Column:
-    """Character n-grams of ``^text$``, marked with the part they are from."""
+    """Character n-grams of ``^text$``, marked with the part they are from. The
+    text is cut into characters once, so that a long one takes linear time."""
     t = F.concat(F.lit("^"), text, F.lit("$"))
 
-    def of(n: int) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - (n - 1)))
-        return F.transform(at, lambda i: F.concat(F.lit(mark), F.substring(t, i, F.lit(n))))
-    return F.concat(*[of(n) for n in NGRAMS])
+    def all_of(chars: Column) -> Column:
+        def of(n: int) -> Column:
+            at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(chars) - (n - 1)))
+            return F.transform(at, lambda i: F.concat(F.lit(mark), F.array_join(F.slice(chars, i, F.lit(n)), "")))
+        return F.concat(*[of(n) for n in NGRAMS])
+    return F.get(F.transform(F.array(F.split(t, "")), all_of), 0)
 
 
 def _features(df: DataFrame) -> DataFrame:
@@ -110,7 +115,6 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "label",
     """Train on at most ``max_fit_rows`` distinct labelled urls (label 0 or 1)."""
     from wardstar.session import materialize
     url = F.col(quoted(url_col)).cast("string")
-    host, path = host_and_path(url)
     rows = labelled.where(F.col(quoted(label_col)).isin(0, 1) & url.isNotNull()) \
         .groupBy(url.alias("u")).agg(F.max(quoted(label_col)).cast("double").alias("label")) \
         .orderBy(F.xxhash64("u"), "u").limit(max_fit_rows)
