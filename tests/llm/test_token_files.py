@@ -76,3 +76,18 @@ def test_a_hot_id_spreads_over_parts(spark, tmp_dir):
 def test_empty_table(spark, tmp_dir):
     folder = tf.write_token_files(docs(spark, []), PATH, folder=f"{tmp_dir}/none")
     assert tf.read_token_files(spark, folder).count() == 0
+
+
+def test_equal_rows_spread_over_parts(spark, tmp_dir):
+    rows = [(7, "the same text " * 40)] * 900 + [(i, f"other {i}") for i in range(100)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    try:
+        folder = tf.write_token_files(docs(spark, rows).repartition(5), PATH, folder=f"file://{tmp_dir}/run")
+        sizes = [r.n_docs for r in tf.read_manifest(spark, folder).collect()]
+        assert len(sizes) == 6 and max(sizes) < 400
+        check(spark, None, folder, rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

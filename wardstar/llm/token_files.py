@@ -1,7 +1,7 @@
 """Token ids as flat unsigned integer files with 64-bit document offsets.
 
 A run folder holds, per range partition of the document id and, for equal ids,
-of the first 256 characters of the text:
+of the first 256 characters of the text and then of the row's place:
 
 * ``part-NNNNN.ids``   the ids of its documents one after another, unsigned
   little-endian, 16 bits if the vocabulary fits, else 32;
@@ -10,7 +10,7 @@ of the first 256 characters of the text:
   allowed);
 
 and ``manifest``, a Parquet table with one row per part. Parts are ascending
-in the document id and text, so the start of a part in the whole corpus is the prefix
+in the document id, so the start of a part in the whole corpus is the prefix
 sum of the counts before it.
 
 Files are written under a temporary name and renamed, and their names depend
@@ -19,8 +19,9 @@ equal one. Reading maps files of a mounted file system into memory; files of
 other stores are read through ``pyarrow.fs``.
 
 Defined cases: a null text is empty, a document without ids still gets its end
-id; documents with equal ids are ordered by their text; null document ids come
-first; an empty table gives an empty manifest. Only the id and the text are
+id; documents with equal ids are ordered by the first 256 characters of their
+text and, inside a part, by all of it; null document ids come first; texts may be
+of any length; an empty table gives an empty manifest. Only the id and the text are
 stored, other columns are not read.
 """
 
@@ -176,9 +177,11 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int | None = 0,
                     F.col(quoted(text_col)).cast("string").alias("text"))
     bound_batches(spark)
     # by the text too, so that a repeated id spreads over parts; a prefix has the
-    # same order and bounds what the sample of the ranges takes to the driver
-    ranged = src.repartitionByRange("id", F.substring("text", 1, RANGE_CHARS)) \
-        .sortWithinPartitions("id", "text")
+    # same order and bounds what the sample of the ranges takes to the driver. Rows
+    # that are equal in both spread by their place, a number of its own for each
+    ranged = src.withColumn("place", F.monotonically_increasing_id()) \
+        .repartitionByRange("id", F.substring("text", 1, RANGE_CHARS), "place") \
+        .sortWithinPartitions("id", "text").select("id", "text")
 
     def write(batches):
         from pyspark import TaskContext
