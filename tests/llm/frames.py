@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
 
 ODD_TEXTS = [None, "", " \t\n\x0b ", "one", "One two", "a\u00a0b\x1cc", "ÉCOLE Straße ΣΑΣ İ",
-             "漢字 🙂 \U0001F468‍\U0001F469", "x" * 30_000, "word " * 20_000, "tab\there\r\nend ",
+             "漢字 🙂 \U0001F468‍\U0001F469", "x" * 120_000, "word " * 25_000, "tab\there\r\nend ",
              "  two  blanks  ", "nul\0byte", "don't we'll <|endoftext|> it", "é́́ combining"]
 
 

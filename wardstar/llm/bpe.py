@@ -14,7 +14,8 @@ and an NFC / white space / lower-case normalizer or none.
 
 Defined cases: a null text is encoded as the empty text (no ids, decoded to
 the empty string); truncation and padding of the file are not applied;
-repeated rows are encoded one by one; the rows of an empty table are none;
+repeated rows are encoded one by one; texts and words of any length are encoded
+whole; the rows of an empty table are none;
 columns that clash with ``ids``, ``n_tokens`` or ``decoded`` are replaced.
 """
 

@@ -23,8 +23,9 @@ one and results go back to every copy; ids play no part in the join.
 Defined cases: null and empty texts have no words; items without words are
 not windows; an item with a null id marks words as hit but is not listed;
 equal ids or rows among documents are judged one by one; repeated items count
-once; empty tables give rows without hits, or no rows. Input columns that
-clash with a made one are replaced.
+once; shingles that are equally rare are ordered by their text; texts of any
+length are read whole; empty tables give rows without hits, or no rows. Input
+columns that clash with a made one are replaced.
 """
 
 from __future__ import annotations

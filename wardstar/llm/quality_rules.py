@@ -6,7 +6,9 @@ a new policy, or an ablation of one, never reads a text again.
 
 Defined cases: a null text has no words and all measurements are 0; an empty
 text likewise (both fail ``too_few_words``). Repeated rows are judged one by
-one. Columns of the input that clash with a ledger column are replaced.
+one, texts of any length whole; a measurement equal to a rule's bound passes it;
+an empty table gives no rows. Columns of the input that clash with a ledger
+column are replaced.
 """
 
 from __future__ import annotations

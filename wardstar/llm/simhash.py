@@ -21,7 +21,8 @@
 Defined cases: null and empty texts, and texts of white space, have
 fingerprint zero and link like any other; rows with equal ids share one
 component through their texts' fingerprints; a null id is never a component's
-name unless all its documents have null ids; an empty table gives no rows.
+name unless all its documents have null ids; texts of any length are read whole;
+a bit set in exactly half of the hashes is 0; an empty table gives no rows.
 Columns that clash with ``fingerprint`` or ``component_id`` are replaced.
 """
 
