@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from os.path import commonprefix
 
 import pyarrow as pa
@@ -73,10 +74,11 @@ class TokenCounter:
         self.counts: dict[bytes, int] = {}
         self.n_positions = self.n_characters = 0
 
-    def _position(self, word: str, k: int, best: list[int], tokens: list[int]) -> tuple[int, int]:
-        """Forward score and count of the prefix of k characters."""
+    def _position(self, word: str, k: int, best: list[int], tokens: list[int]) -> tuple[int, int, int]:
+        """Forward score and count of the prefix of k characters, and where the
+        last piece begins; -1 if its last character is cut into bytes."""
         n = len(word[k - 1].encode("utf-8", "surrogatepass"))
-        top, fewest = best[k - 1] + n * self.byte_score, tokens[k - 1] + n
+        top, fewest, begin = best[k - 1] + n * self.byte_score, tokens[k - 1] + n, -1
         i, get = k, self.endings.get
         while i:
             i -= 1
@@ -87,48 +89,44 @@ class TokenCounter:
                 break
             s += best[i]
             if s > top or s == top and tokens[i] + 1 < fewest:
-                top, fewest = s, tokens[i] + 1
-        return top, fewest
-
-    def cut(self, word: str) -> list[str]:
-        """The pieces of the best cut of a word; of those by bytes only the
-        ordinary pieces are named."""
-        best, tokens = [0], [0]
-        for k in range(1, len(word) + 1):
-            s, n = self._position(word, k, best, tokens)
-            best.append(s)
-            tokens.append(n)
-        out, k, get = [], len(word), self.endings.get
-        while k:
-            i = k
-            while i:
-                i -= 1
-                s = get(word[i:k], 0)
-                if s is not None and s and best[i] + s == best[k] and tokens[i] + 1 == tokens[k]:
-                    out.append(word[i:k])
-                    k = i
-                    break
-                if s == 0 or not i:
-                    k -= 1  # by bytes
-                    break
-        return out[::-1]
+                top, fewest, begin = s, tokens[i] + 1, i
+        return top, fewest, begin
 
     def learn(self, words: list[str]) -> list[int]:
         """Counts of distinct words in sorted order: the lists hold the trie's
         path to the word before; what two words share stays."""
-        best, tokens, last, out = [0], [0], "", []
+        return [tokens[-1] for tokens, _ in self._walk(words)]
+
+    def _walk(self, words: Iterable[str]) -> Iterator[tuple[list[int], list[int]]]:
+        """Per word the counts and the last pieces' beginnings of its prefixes."""
+        best, tokens, begins, last = [0], [0], [0], ""
         for word in words:
             keep = len(commonprefix((last, word)))
-            del best[keep + 1:], tokens[keep + 1:]
+            del best[keep + 1:], tokens[keep + 1:], begins[keep + 1:]
             for k in range(keep + 1, len(word) + 1):
-                s, n = self._position(word, k, best, tokens)
+                s, n, begin = self._position(word, k, best, tokens)
                 best.append(s)
                 tokens.append(n)
+                begins.append(begin)
             self.n_positions += len(word) - keep
             self.n_characters += len(word)
-            out.append(tokens[-1])
             last = word
-        return out
+            yield tokens, begins
+
+    def cuts(self, words: Iterable[str]) -> Iterator[list[str]]:
+        """The ordinary pieces of the best cut of each word, words in sorted
+        order; characters cut into bytes are left out."""
+        words = list(words)
+        for word, (_, begins) in zip(words, self._walk(words)):
+            out, k = [], len(word)
+            while k:
+                begin = begins[k]
+                if begin < 0:
+                    k -= 1
+                else:
+                    out.append(word[begin:k])
+                    k = begin
+            yield out[::-1]
 
     def count(self, texts: list[str | None]) -> tuple[list[int], list[int]]:
         """Per text the words and the tokens."""
@@ -152,24 +150,49 @@ def counter(scores: dict[str, int]) -> TokenCounter:
     return _COUNTERS[name]
 
 
+def _word_counts(df: DataFrame, text_col: str) -> DataFrame:
+    """(w, n): how often each word occurs in all texts. A task adds up what it
+    reads, up to a bound, before the words are shuffled."""
+    schema = T.StructType([T.StructField("w", T.StringType()), T.StructField("n", T.LongType())])
+
+    def run(batches):
+        found = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text:
+                    found.update(text.encode("utf-8", "surrogatepass").split())
+                if len(found) > CACHE_WORDS:
+                    yield from flush(found)
+        yield from flush(found)
+
+    def flush(found):
+        words, counts = list(found), list(found.values())
+        found.clear()
+        for lo in range(0, len(words), 50_000):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([w.decode("utf-8", "surrogatepass") for w in words[lo:lo + 50_000]], pa.string()),
+                pa.array(counts[lo:lo + 50_000], pa.int64())], names=schema.names)
+    return df.select(F.col(quoted(text_col)).cast("string")).mapInArrow(run, schema).groupBy("w").agg(
+        F.sum("n").alias("n"))
+
+
 def fit_scores(df: DataFrame, vocabulary: str, text_col: str = "text", rounds: int = 2) -> dict[str, int]:
     """Scores of the pieces of a vocabulary, fitted to all texts of ``df``. The
     result has a number per piece, and so has what a round collects."""
     pieces = read_pieces(vocabulary)
     scores = scores_of({}, pieces)
-    words = F.filter(F.split(F.col(quoted(text_col)).cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    distinct = materialize(df.select(F.explode(words).alias("w")).groupBy("w").agg(
-        F.count(F.lit(1)).alias("n")), "distinct-words")
-    schema = T.StructType([T.StructField("piece", T.StringType()), T.StructField("n", T.LongType())])
     bound_batches(df.sparkSession)
+    distinct = materialize(_word_counts(df, text_col).sortWithinPartitions("w"), "distinct-words")
+    schema = T.StructType([T.StructField("piece", T.StringType()), T.StructField("n", T.LongType())])
     for _ in range(rounds):
         now = scores
 
         def run(batches):
             found, c = Counter(), TokenCounter(now)
             for batch in batches:
-                for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    for piece in c.cut(SPACE + word):
+                words = [SPACE + w for w in batch.column(0).to_pylist()]
+                for pieces, n in zip(c.cuts(words), batch.column(1).to_pylist()):
+                    for piece in pieces:
                         found[piece] += n
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(found.values(), pa.int64())],
                                              names=schema.names)
