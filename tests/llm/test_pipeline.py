@@ -57,7 +57,7 @@ def test_decontamination_stage(spark, steps):
     assert len(after) < len(before)
 
 
-def test_pii_stage(steps):
+def test_pii_stage(spark, steps):
     import hashlib
     before, after = map(rows, steps[3])
     key = hashlib.blake2b(queries.pii_key(spark).encode(), digest_size=32).digest()
