@@ -65,3 +65,34 @@ def test_evaluation_all_rows_and_present(spark):
     assert 0.0 <= al.mean_probability_all <= 1.0
     present = qa.check_row_floor(model.score(data), "predictions", 1).first()
     assert present.passed is True
+
+
+def test_forest_scores_by_arrays_are_those_of_the_forest(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from wardstar.plans.model import _positive, build_features, build_forest, forest_score
+    n = lambda i: F.pmod(F.xxhash64("id", F.lit(i)), F.lit(40)).cast("int")
+    rows = spark.range(3000).select(n(1).alias("a"), n(2).alias("b"), F.concat(F.lit("c"), n(3) % 5).alias("c"),
+                                    F.concat(F.lit("d"), n(4) % 2).alias("d"),
+                                    ((n(1) + n(3) % 5 * 9 + n(5)) > 50).cast("int").alias("readmitted_30d"))
+    vectors = build_features(["a", "b"], ["c", "d"]).fit(rows).transform(rows).withColumn("weight", F.lit(1.0))
+    forest = build_forest(params=ForestParams(num_trees=7, max_depth=6)).fit(vectors)
+    score = forest_score(spark, forest)
+    both = forest.transform(vectors).select(_positive("probability").alias("p"), score(F.col("features")).alias("q"))
+    got = both.agg(F.count_if(F.col("p") != F.col("q")).alias("differ"), F.count_distinct("p").alias("values")).first()
+    assert got.differ == 0 and got.values > 50
+    # not a number goes right, in the arrays as in the trees
+    odd = VectorAssembler(inputCols=["nan", *[f"z{i}" for i in range(forest.numFeatures - 1)]], outputCol="features",
+                          handleInvalid="keep").transform(
+        spark.range(1).select(F.lit(float("nan")).alias("nan"), *[F.lit(0.0).alias(f"z{i}") for i in range(forest.numFeatures - 1)]))
+    r = forest.transform(odd).select(_positive("probability").alias("p"), score(F.col("features")).alias("q")).first()
+    assert r.p == r.q
+
+
+def test_rows_are_scored_once_for_evaluation_and_predictions(spark):
+    s = inputs.encounter_star(spark, SF_SMALL)
+    feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"], s["dim_diagnosis"])
+    model, data, ev = train_readmission(feats, ForestParams(num_trees=3, max_depth=2, folds=2))
+    assert ev["predictions"].exceptAll(model.score(data)).isEmpty() and ev["predictions"].count() == data.count()
+    for name in ("predictions", "class_report", "confusion", "all_rows"):
+        plan = ev[name]._jdf.queryExecution().executedPlan().toString()
+        assert "UDF" not in plan and "Python" not in plan, name
