@@ -93,3 +93,16 @@ def iter_plan(node):
     children = node.children()
     for i in range(children.size()):
         yield from iter_plan(children.apply(i))
+
+
+def test_batches_meet_blocks_without_a_broadcast(spark):
+    from pyspark.sql import functions as F
+    from wardstar.operators import knn_index as ki
+    vec = F.transform(F.sequence(F.lit(1), F.lit(8)), lambda j: F.pmod(F.xxhash64("id", j), F.lit(1000)) / 1000.0)
+    rows = spark.range(400).select(F.col("id").alias("vec_id"), vec.alias("embedding"))
+    index = ki.build_index(rows, "l2", pivots=4, block_rows=50)
+    q = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("n"), F.col("embedding").alias("v"))
+    batches = ki._batches(index, q, 3, 5)
+    plan = ki.pairs_of(index, batches.withColumn("cell", F.explode("home")))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert ki.search(index, rows.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "qid"), 3).count() == 60
