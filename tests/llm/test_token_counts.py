@@ -1,6 +1,7 @@
 import collections
 import math
 import random
+import sys
 
 import public_tokenizers as P
 from pyspark.sql import functions as F
@@ -41,6 +42,18 @@ def test_prefixes_are_shared():
     assert c.n_positions == 5 + 1 + 1 and c.n_characters == 5 + 6 + 5
 
 
+def test_positions_are_walked_without_calls_of_their_own():
+    c = tc.TokenCounter(SCORES)
+    words = sorted(tc.SPACE + a + "漢é" * 50 for a in "abcd")
+    seen = collections.Counter()
+    sys.setprofile(lambda frame, event, _: seen.update([event]) if frame.f_code.co_filename == tc.__file__ else None)
+    try:
+        c.learn(words)
+    finally:
+        sys.setprofile(None)
+    assert seen["call"] < 20 < c.n_positions
+
+
 def test_ties_take_fewer_tokens():
     c = tc.TokenCounter({"▁": -2, "a": -1, "aa": -2})
     assert c.learn(["▁aa"]) == [2]

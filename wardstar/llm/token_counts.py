@@ -74,24 +74,6 @@ class TokenCounter:
         self.counts: dict[bytes, int] = {}
         self.n_positions = self.n_characters = 0
 
-    def _position(self, word: str, k: int, best: list[int], tokens: list[int]) -> tuple[int, int, int]:
-        """Forward score and count of the prefix of k characters, and where the
-        last piece begins; -1 if its last character is cut into bytes."""
-        n = len(word[k - 1].encode("utf-8", "surrogatepass"))
-        top, fewest, begin = best[k - 1] + n * self.byte_score, tokens[k - 1] + n, -1
-        i, get = k, self.endings.get
-        while i:
-            i -= 1
-            s = get(word[i:k], 0)  # scores are below 0
-            if s is None:
-                continue
-            if not s:
-                break
-            s += best[i]
-            if s > top or s == top and tokens[i] + 1 < fewest:
-                top, fewest, begin = s, tokens[i] + 1, i
-        return top, fewest, begin
-
     def learn(self, words: list[str]) -> list[int]:
         """Counts of distinct words in sorted order: the lists hold the trie's
         path to the word before; what two words share stays."""
@@ -100,13 +82,29 @@ class TokenCounter:
     def _walk(self, words: Iterable[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Per word the counts and the last pieces' beginnings of its prefixes."""
         best, tokens, begins, last = [0], [0], [0], ""
+        get, byte_score = self.endings.get, self.byte_score
         for word in words:
             keep = len(commonprefix((last, word)))
             del best[keep + 1:], tokens[keep + 1:], begins[keep + 1:]
             for k in range(keep + 1, len(word) + 1):
-                s, n, begin = self._position(word, k, best, tokens)
-                best.append(s)
-                tokens.append(n)
+                # forward score and count of the prefix of k characters, and where
+                # the last piece begins; -1 if its last character is cut into bytes
+                c = word[k - 1]
+                n = 1 if c < "\x80" else len(c.encode("utf-8", "surrogatepass"))
+                top, fewest, begin = best[-1] + n * byte_score, tokens[-1] + n, -1
+                i = k
+                while i:
+                    i -= 1
+                    s = get(word[i:k], 0)  # scores are below 0
+                    if s is None:
+                        continue
+                    if not s:
+                        break
+                    s += best[i]
+                    if s > top or s == top and tokens[i] + 1 < fewest:
+                        top, fewest, begin = s, tokens[i] + 1, i
+                best.append(top)
+                tokens.append(fewest)
                 begins.append(begin)
             self.n_positions += len(word) - keep
             self.n_characters += len(word)
