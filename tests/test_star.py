@@ -66,3 +66,16 @@ def test_fact_months_count_the_whole_fact(spark):
     months = se.queries()["fact_months"](spark, SF_SMALL).collect()
     assert sum(r.n for r in months) == inputs.encounter_star(spark, SF_SMALL)["fact_admission"].count()
     assert {r.admission_year for r in months} > set(range(2000, 2005))
+
+
+def test_days_are_one_literal_of_the_plan(spark):
+    df = spark.range(4000).select(F.col("id").alias("encounter_id"))
+    got = interpolate_dates(df)
+    # an expression per day is made by the driver and analysed by every later step
+    assert "more fields" not in got._jdf.queryExecution().analyzed().toString()
+    days = got.groupBy("admission_date").count()
+    assert days.count() == 3651 and str(got.agg(F.max("admission_date")).first()[0]) == "2008-12-29"
+    # order values that are no whole numbers, and NULLs
+    texts = df.select(F.format_string("%05d", "encounter_id").alias("k")).union(df.limit(1).select(F.lit(None).cast("string")))
+    same = interpolate_dates(texts, "k").groupBy("admission_date").count()
+    assert same.agg(F.sum("count")).first()[0] == 4001 and str(same.agg(F.max("admission_date")).first()[0]) == "2008-12-29"
