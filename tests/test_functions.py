@@ -60,3 +60,13 @@ def test_alert_rules(spark):
     assert got[0][1] == "Heart rate too slow" and got[3][1] == "Heart rate too fast"
     assert got[5][1] == "Low blood oxygen (SpO2)" and got[9][1] == "Heart rate too fast"
     assert got[1][1] is None
+
+
+def test_icd9_group_casts_a_code_once(spark):
+    codes = ["250", "250.83", "251", "459", "459.5", "785", "786", "787", "580", "800", "710", "139", "V45", "E812", "x", "NaN", "", None]
+    want = ["Diabetes", "Diabetes", "Other", "Circulatory", "Other", "Circulatory", "Respiratory", "Digestive", "Genitourinary",
+            "Injury", "Musculoskeletal", "Other", "Supplemental (V-code)", "External cause (E-code)", "Other", "Other", "Other", "Unknown"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "i int, c string").select("i", icd9_group("c").alias("g"))
+    assert [r.g for r in df.orderBy("i").collect()] == want
+    # a cast in each comparison is a method that the JVM does not compile
+    assert df._jdf.queryExecution().analyzed().toString().lower().count("cast(c") == 1
