@@ -88,6 +88,23 @@ def test_forest_scores_by_arrays_are_those_of_the_forest(spark):
     assert r.p == r.q
 
 
+def test_a_forest_scores_arrow_arrays_of_any_number_of_rows(spark):
+    from pyspark.util import PythonEvalType
+    from wardstar.plans.model import SCORE_ROWS, _positive, build_features, build_forest, forest_score
+    rows = spark.range(2 * SCORE_ROWS + 5).select(
+        F.pmod(F.xxhash64("id"), F.lit(40)).alias("a"), F.concat(F.lit("c"), F.pmod(F.xxhash64("id"), F.lit(7))).alias("c"),
+        F.pmod(F.hash("id"), F.lit(2)).alias("readmitted_30d")).coalesce(1)
+    vectors = build_features(["a"], ["c"]).fit(rows).transform(rows).withColumn("weight", F.lit(1.0))
+    forest = build_forest(params=ForestParams(num_trees=5, max_depth=4)).fit(vectors)
+    both = forest.transform(vectors).select(
+        _positive("probability").alias("p"), forest_score(spark, forest)(F.col("features")).alias("q"))
+    # columns reach it as arrays, without an object for each row
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert f"], {PythonEvalType.SQL_SCALAR_ARROW_UDF}" in plan
+    assert both.count() == 2 * SCORE_ROWS + 5 and both.where("p <> q OR q IS NULL").isEmpty()
+    assert both.limit(0).count() == 0 and both.where("p < 0").isEmpty()
+
+
 def test_rows_are_scored_once_for_evaluation_and_predictions(spark):
     s = inputs.encounter_star(spark, SF_SMALL)
     feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"], s["dim_diagnosis"])
