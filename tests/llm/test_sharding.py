@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from frames import docs, odd_docs
-from wardstar.llm import sharding
+from wardstar.llm import queries, sharding
 
 
 def signed(x):
@@ -101,3 +101,23 @@ def test_written_shards_are_read_back(spark, tmp_dir):
     back = spark.read.parquet(f"{tmp_dir}/shards")
     assert sorted((r.doc_id, r.text, r.shard, r.slot) for r in back.collect()) == sorted(
         (r.doc_id, r.text, r.shard, r.slot) for r in sharded.collect())
+
+
+def test_shards_of_the_query_hold_whole_texts(spark, tmp_dir):
+    """Sizes and checksums are read from shards that hold every text."""
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choices("abé漢 ", k=rng.randint(0, 300)))) for i in range(400)] + [(None, None), (7, ""), (7, "")]
+    docs(spark, rows).repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    out = queries.QUERIES["op12_sharding"](spark, tmp_dir)
+    got = out.collect()
+    assert out.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    check(rows, got, 16, 0.01)
+    files = [f for f in out.inputFiles() if "/shard=" in f]
+    stored = spark.read.option("basePath", files[0].split("/shard=")[0]).parquet(*files).select("shard", "row.*").collect()
+    assert sorted((r.shard, r.doc_id is None, r.doc_id or 0, r.text or "") for r in stored) == sorted(
+        (r.shard, r.doc_id is None, r.doc_id or 0, t or "") for r in got for t in [next(
+            t for i, t in rows if i == r.doc_id and zlib.crc32((t or "").encode()) == r.text_crc32 and n_bytes(t) == r.size)])
+
+
+def test_written_shards_of_an_empty_table(spark, tmp_dir):
+    assert sharding.shard_by_bytes(docs(spark, []), 4, folder=f"{tmp_dir}/none").collect() == []
