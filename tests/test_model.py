@@ -113,3 +113,23 @@ def test_rows_are_scored_once_for_evaluation_and_predictions(spark):
     for name in ("predictions", "class_report", "confusion", "all_rows"):
         plan = ev[name]._jdf.queryExecution().executedPlan().toString()
         assert "UDF" not in plan and "Python" not in plan, name
+
+
+def test_as_many_fits_at_once_as_the_executors_can_keep(spark, monkeypatch):
+    from wardstar.plans import model as m
+    from wardstar.session import storage_memory
+    memory = storage_memory(spark)
+    assert memory > 0
+    p = ForestParams()
+    row = 4 * (57 + 4 * p.num_trees) + 128
+    assert [m.fits_at_once(f * 1000 * row, 1000, 57, p) for f in (0.5, 1, 2.9, 6, 60)] == [1, 1, 2, 6, 6]
+    assert m.fits_at_once(1e9, 0, 57, p) == p.parallelism
+    assert m.build_forest().getCheckpointInterval() > p.max_depth + 1
+    # a training whose rows fill the memory fits one forest after another
+    seen = []
+    monkeypatch.setattr(m, "storage_memory", lambda spark: 1)
+    monkeypatch.setattr(m, "run_all", lambda spark, tasks, n: seen.append(n) or [t() for t in tasks])
+    s = inputs.encounter_star(spark, SF_SMALL)
+    feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"], s["dim_diagnosis"])
+    model, data, ev = m.train_readmission(feats, ForestParams(num_trees=2, max_depth=2, folds=2))
+    assert seen == [1] and ev["predictions"].count() == data.count()
