@@ -133,3 +133,21 @@ def test_as_many_fits_at_once_as_the_executors_can_keep(spark, monkeypatch):
     feats = star_features(s["fact_admission"], s["dim_patient"], s["dim_department"], s["dim_diagnosis"])
     model, data, ev = m.train_readmission(feats, ForestParams(num_trees=2, max_depth=2, folds=2))
     assert seen == [1] and ev["predictions"].count() == data.count()
+
+
+def test_forests_are_saved_and_loaded_side_by_side(spark, tmp_dir, monkeypatch):
+    from pyspark.ml import PipelineModel
+    from wardstar.plans import model as m
+    rows = spark.range(400).select(F.pmod(F.xxhash64("id"), F.lit(40)).cast("double").alias("a"), F.col("id").alias("encounter_id"),
+                                   F.pmod(F.hash("id"), F.lit(2)).alias("readmitted_30d"), F.lit(1.0).alias("weight"))
+    prep = m.VectorAssembler(inputCols=["a"], outputCol="features")
+    forests = [m.build_forest(params=ForestParams(num_trees=2, max_depth=2, seed=s)).fit(prep.transform(rows)) for s in (1, 2, 3)]
+    cal = m.CalibratedForest(PipelineModel([prep]), forests[1:], [(3.0, -1.0), (2.0, -1.0)])
+    was = ReadmissionModel(PipelineModel([prep, forests[0]]), cal, 0.5, ForestParams(num_trees=2), {0: "a"})
+    seen, run_all = [], m.run_all
+    monkeypatch.setattr(m, "run_all", lambda spark, tasks, *n: seen.append(len(tasks)) or run_all(spark, tasks, *n))
+    was.save(spark, f"{tmp_dir}/model")
+    again = ReadmissionModel.load(spark, f"{tmp_dir}/model")
+    assert seen == [4, 4]  # two pipelines and two forests
+    assert again.score(rows).exceptAll(was.score(rows)).isEmpty() and seen == [4, 4, 2, 2]
+    assert [f.totalNumNodes for f in again.calibrated.forests] == [f.totalNumNodes for f in forests[1:]]
